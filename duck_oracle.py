@@ -74,7 +74,8 @@ RATE6_CASE = """CASE
     WHEN {c} = 'BYR' THEN 28700000
   END"""
 
-FACT = f"""f AS (
+def fact_cte(name: str, src: str) -> str:
+    return f"""{name} AS (
   SELECT DISTINCT
     id AS vacancy_id,
     {ROLE_CASE.format(t='vacancy_name')} AS vacancy_name,
@@ -82,9 +83,13 @@ FACT = f"""f AS (
     {EXP_CASE.format(e='experience_id')} AS grade_experience,
     published_at, is_archive, is_open, employer_id, experience_id, area_id,
     salary_from, salary_to, is_gross, salary_currency
-  FROM v
+  FROM {src}
 )"""
 
+
+FACT = fact_cte("f", "v")
+
+
 CUR = f"""cur AS (
   SELECT DISTINCT salary_currency AS currency_id, {RATE6_CASE.format(c='salary_currency')} AS rate6 FROM v
 )"""
@@ -243,6 +248,81 @@ def _dbl(x: str) -> str:
     return f"CAST({x} AS DOUBLE)"
 
 
+# --------------------------------------------------------------- day batches
+D1 = "d1 AS (SELECT * FROM v WHERE published_at < TIMESTAMP '1999-01-01')"
+D2 = """d2 AS (
+  SELECT * REPLACE (
+    salary_from + 1 AS salary_from,
+    NOT is_open AS is_open,
+    CASE WHEN area_id % 2 = 0 THEN area_name || ' (new)' ELSE area_name END AS area_name,
+    CASE WHEN employer_id % 2 = 0 THEN employer_name || ' (new)' ELSE employer_name END AS employer_name,
+    CASE WHEN length(experience_name) % 2 = 0 THEN experience_name || ' (new)' ELSE experience_name END
+      AS experience_name)
+  FROM v WHERE published_at >= TIMESTAMP '1998-07-01'
+)"""
+
+
+def _dim_merge(key: str, name: str, extra: str = "") -> str:
+    return (
+        _with(V, D1, D2)
+        + f"SELECT COALESCE(t.{key}, s.{key}) AS {key},\n"
+        f"  CASE WHEN s.p IS NOT NULL AND (t.p IS NULL OR COALESCE(t.name, '') <> COALESCE(s.name, ''))"
+        f" THEN s.name ELSE t.name END AS name{extra}\n"
+        f"FROM (SELECT DISTINCT {key}, {name} AS name, 1 AS p FROM d1) t\n"
+        f"FULL OUTER JOIN (SELECT DISTINCT {key}, {name} AS name, 1 AS p FROM d2) s ON t.{key} = s.{key}"
+    )
+
+
+FACT_COLS = [
+    "vacancy_id", "vacancy_name", "grade", "grade_experience", "published_at", "is_archive", "is_open",
+    "employer_id", "experience_id", "area_id", "salary_from", "salary_to", "is_gross", "salary_currency",
+]
+
+
+def _fact_merge() -> str:
+    def pick(c):
+        e = f"CASE WHEN s.p IS NOT NULL THEN s.{c} ELSE t.{c} END"
+        return f"CAST({e} AS DOUBLE) AS {c}" if c.startswith("salary_") and c != "salary_currency" else f"{e} AS {c}"
+
+    return (
+        _with(V, D1, D2, fact_cte("f1", "d1"), fact_cte("f2", "d2"))
+        + "SELECT "
+        + ", ".join(pick(c) for c in FACT_COLS)
+        + "\nFROM (SELECT *, 1 AS p FROM f1) t FULL OUTER JOIN (SELECT *, 1 AS p FROM f2) s"
+        " ON t.vacancy_id = s.vacancy_id"
+    )
+
+
+CUR_MERGE = (
+    _with(V, D1, D2)
+    + f"""SELECT COALESCE(t.currency_id, s.currency_id) AS currency_id,
+  CAST(CASE WHEN s.p IS NOT NULL AND (t.p IS NULL OR t.rate6 <> s.rate6) THEN s.rate6 ELSE t.rate6 END AS DOUBLE)
+    / 1000000 AS to_rub
+FROM (SELECT DISTINCT salary_currency AS currency_id,
+        CASE WHEN salary_currency = 'USD' THEN 80000000 WHEN salary_currency = 'EUR' THEN 100000000
+             ELSE {RATE6_CASE.format(c='salary_currency')} END AS rate6, 1 AS p FROM d1) t
+FULL OUTER JOIN (SELECT DISTINCT salary_currency AS currency_id, {RATE6_CASE.format(c='salary_currency')} AS rate6,
+        1 AS p FROM d2) s
+  ON t.currency_id = s.currency_id"""
+)
+
+DUP = """dup AS (
+  SELECT * FROM d2 UNION ALL SELECT * REPLACE (salary_to + 1 AS salary_to) FROM d2
+)"""
+
+EMP1 = "emp1 AS (SELECT DISTINCT employer_id FROM d1 WHERE employer_id IS NOT NULL)"
+
+LIMITS = [
+    ("vacancy_name", 255), ("employer_name", 255), ("experience_id", 255),
+    ("experience_name", 255), ("area_name", 255), ("salary_currency", 10),
+]
+LONG = """ln AS (
+  SELECT * REPLACE (
+    CASE WHEN employer_name IS NOT NULL
+      THEN repeat(employer_name || ' ', CAST(id % 20 AS INTEGER)) || employer_name END AS employer_name)
+  FROM v
+)"""
+
 SQL: dict[str, str] = {
     "class_title": _with(V) + f"SELECT id, {ROLE_CASE.format(t='vacancy_name')} AS role FROM v",
     "class_grade": _with(V) + f"SELECT id, {GRADE_CASE.format(t='vacancy_name')} AS grade FROM v",
@@ -278,4 +358,25 @@ SQL: dict[str, str] = {
     + "SELECT CAST(ROW_NUMBER() OVER (ORDER BY employer_id ASC NULLS LAST) AS BIGINT) AS id, employer_id,"
     " CAST(SUM(CASE WHEN is_open = TRUE THEN 1 ELSE 0 END) AS BIGINT) AS cnt_vacancy FROM f GROUP BY employer_id",
     **{k: mart_sql(*a) for k, a in MART_ARGS.items()},
+    "upsert_dim_area": _dim_merge("area_id", "area_name"),
+    "upsert_dim_employer": _dim_merge(
+        "employer_id", "employer_name", ",\n  CAST(NULL AS BOOLEAN) AS is_accredited_it_employer"
+    ),
+    "upsert_dim_experience": _dim_merge("experience_id", "experience_name"),
+    "upsert_dim_currency": CUR_MERGE,
+    "upsert_fact_vacancy": _fact_merge(),
+    "chk_unique": _with(V, D1, D2, DUP, fact_cte("fd", "dup"))
+    + "SELECT vacancy_id, CAST(COUNT(*) AS BIGINT) AS n FROM fd WHERE vacancy_id IS NOT NULL"
+    " GROUP BY vacancy_id HAVING COUNT(*) > 1",
+    "chk_fk": _with(V, D1, FACT, EMP1)
+    + "SELECT vacancy_id, employer_id FROM f WHERE employer_id IS NOT NULL"
+    " AND NOT EXISTS (SELECT 1 FROM emp1 WHERE emp1.employer_id = f.employer_id)",
+    "fk_set_null": _with(V, D1, FACT, EMP1)
+    + "SELECT vacancy_id, CASE WHEN EXISTS (SELECT 1 FROM emp1 WHERE emp1.employer_id = f.employer_id)"
+    " THEN employer_id END AS employer_id FROM f",
+    "chk_length": _with(V, LONG)
+    + "SELECT id, concat_ws(',', "
+    + ", ".join(f"CASE WHEN length({c}) > {n} THEN '{c}' END" for c, n in LIMITS)
+    + ") AS violations FROM ln WHERE "
+    + " OR ".join(f"length({c}) > {n}" for c, n in LIMITS),
 }

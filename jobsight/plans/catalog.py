@@ -25,9 +25,19 @@ from jobsight.operators.candidates import (
     dim_candidates,
     fact_candidates,
 )
+from jobsight.operators.checks import duplicate_keys, nullify_orphans, orphans, over_length
 from jobsight.operators.numbering import numbered
+from jobsight.operators.upsert import upsert_table
 from jobsight.plans.marts import MARTS, build_mart, per_key
-from jobsight.sources.fixture import vacancy_records
+from jobsight.schemas import VARCHAR_LIMITS
+from jobsight.sources.fixture import (
+    day1_batch,
+    day2_batch,
+    duplicated_batch,
+    long_name_records,
+    vacancy_records,
+    with_changed_rates,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,7 +64,9 @@ def first_load(staging: DataFrame) -> Star:
     """Targets after one MERGE into empty tables: every candidate is inserted."""
     dims = {
         "area": as_dim(dim_candidates(staging, "area_id", "area_name"), "area_id", "area_name"),
-        "employer": as_dim(dim_candidates(staging, "employer_id", "employer_name"), "employer_id", "employer_name"),
+        # The reference never writes the accreditation flag of an employer.
+        "employer": as_dim(dim_candidates(staging, "employer_id", "employer_name"), "employer_id", "employer_name")
+        .withColumn("is_accredited_it_employer", F.lit(None).cast("boolean")),
         "experience": as_dim(
             dim_candidates(staging, "experience_id", "experience_name"), "experience_id", "experience_name"
         ),
@@ -171,6 +183,63 @@ def _mart(name):
     return q
 
 
+# ---------------------------------------------------------------- upserts
+# Targets: the first load of the day-1 batch. Source: candidates of the day-2
+# batch, which overlaps day 1 and renames / re-prices / re-opens (fixture).
+def _days(spark, sf_dir):
+    recs = vacancy_records(spark, sf_dir)
+    return first_load(day1_batch(recs)), day2_batch(recs)
+
+
+def _dim_upsert(table, dim, key, name):
+    def q(spark, sf_dir):
+        old, batch = _days(spark, sf_dir)
+        source = as_dim(dim_candidates(batch, key, name), key, name)
+        return upsert_table(table, old.dims[dim], source)
+
+    return q
+
+
+q_upsert_dim_area = _dim_upsert("dim_area", "area", "area_id", "area_name")
+q_upsert_dim_employer = _dim_upsert("dim_employer", "employer", "employer_id", "employer_name")
+q_upsert_dim_experience = _dim_upsert("dim_experience", "experience", "experience_id", "experience_name")
+
+
+def q_upsert_dim_currency(spark, sf_dir):
+    old, batch = _days(spark, sf_dir)
+    source = as_currency_dim(currency_candidates(batch))
+    return at_boundary(upsert_table("dim_currency", with_changed_rates(old.currency), source))
+
+
+def q_upsert_fact_vacancy(spark, sf_dir):
+    old, batch = _days(spark, sf_dir)
+    return at_boundary(upsert_table("fact_vacancy", old.fact, fact_candidates(batch)))
+
+
+# ---------------------------------------------------------------- checks
+def q_chk_unique(spark, sf_dir):
+    _, batch = _days(spark, sf_dir)
+    return duplicate_keys(fact_candidates(duplicated_batch(batch)), "vacancy_id")
+
+
+def q_chk_fk(spark, sf_dir):
+    recs = vacancy_records(spark, sf_dir)
+    old = first_load(day1_batch(recs))
+    return orphans(first_load(recs).fact, old.dims["employer"], "employer_id").select("vacancy_id", "employer_id")
+
+
+def q_fk_set_null(spark, sf_dir):
+    recs = vacancy_records(spark, sf_dir)
+    old = first_load(day1_batch(recs))
+    fixed = nullify_orphans(first_load(recs).fact, old.dims["employer"], "employer_id")
+    return fixed.select("vacancy_id", "employer_id")
+
+
+def q_chk_length(spark, sf_dir):
+    recs = long_name_records(vacancy_records(spark, sf_dir))
+    return over_length(recs, VARCHAR_LIMITS["staging"], ["id"])
+
+
 QUERIES: dict[str, Query] = {
     "class_title": q_class_title,
     "class_grade": q_class_grade,
@@ -195,4 +264,13 @@ QUERIES: dict[str, Query] = {
     "salary_ratio": q_salary_ratio,
     "mart_row_number": q_mart_row_number,
     **{name: _mart(name) for name in MARTS},
+    "upsert_dim_area": q_upsert_dim_area,
+    "upsert_dim_employer": q_upsert_dim_employer,
+    "upsert_dim_experience": q_upsert_dim_experience,
+    "upsert_dim_currency": q_upsert_dim_currency,
+    "upsert_fact_vacancy": q_upsert_fact_vacancy,
+    "chk_unique": q_chk_unique,
+    "chk_fk": q_chk_fk,
+    "fk_set_null": q_fk_set_null,
+    "chk_length": q_chk_length,
 }

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobsight.operators.joins import broadcast_if_bounded
-from jobsight.schemas import MONEY
+from jobsight.schemas import MONEY, RATE
 
 # ---------------------------------------------------------------------------
 # Fixed values of the fixture (FIXTURES.md §2).
@@ -42,6 +42,11 @@ NO_EXPERIENCE_PRIORITY = "1-URGENT"
 DAY1_BEFORE = "1999-01-01"
 DAY2_FROM = "1998-07-01"
 
+RENAME_SUFFIX = " (new)"
+# Existing currency rows before day 2: USD must move to the standard rate,
+# EUR must keep its rate (the standard rule has none for it).
+CHANGED_RATES = [("USD", "80"), ("EUR", "100")]
+
 # Lookback fixture: the run date.
 AS_OF = "2001-08-01"
 
@@ -107,15 +112,44 @@ def day1_batch(records: DataFrame) -> DataFrame:
 
 
 def day2_batch(records: DataFrame) -> DataFrame:
-    """The day-2 batch: overlaps day 1 for half a year; changed salaries and status."""
+    """The day-2 batch: overlaps day 1 for half a year.
+
+    Changed on every row: ``salary_from + 1`` and ``is_open`` negated (so
+    re-published vacancies must be overwritten), and dimension names renamed
+    with a `` (new)`` suffix where the area / employer key is even or the
+    experience name has even length (so matched dimension rows change).
+    """
+    renamed = F.lit(RENAME_SUFFIX)
     return records.where(F.col("published_at") >= F.lit(DAY2_FROM).cast("timestamp_ntz")).withColumns(
         {
             "salary_from": (F.col("salary_from") + F.lit(1)).cast(MONEY),
             "is_open": ~F.col("is_open"),
+            "area_name": F.when((F.col("area_id") % 2) == 0, F.concat("area_name", renamed)).otherwise(
+                F.col("area_name")
+            ),
+            "employer_name": F.when((F.col("employer_id") % 2) == 0, F.concat("employer_name", renamed)).otherwise(
+                F.col("employer_name")
+            ),
+            "experience_name": F.when(
+                (F.length("experience_name") % 2) == 0, F.concat("experience_name", renamed)
+            ).otherwise(F.col("experience_name")),
         }
     )
 
 
+def with_changed_rates(currency_dim: DataFrame) -> DataFrame:
+    """Existing currency rows with rates that differ from the standard ones."""
+    rate = F.col("to_rub")
+    for code, value in CHANGED_RATES:
+        rate = F.when(F.col("currency_id") == code, F.lit(value).cast(RATE)).otherwise(rate)
+    return currency_dim.withColumn("to_rub", rate.cast(RATE))
+
+
+def duplicated_batch(batch: DataFrame) -> DataFrame:
+    """The batch twice, the copy with ``salary_to + 1``: duplicate vacancy ids."""
+    return batch.unionByName(batch.withColumn("salary_to", (F.col("salary_to") + F.lit(1)).cast(MONEY)))
+
+
 def long_name_records(records: DataFrame) -> DataFrame:
     """Records whose employer names are repeated to exceed VARCHAR bounds for some rows."""
     k = F.col("id")
