@@ -323,7 +323,56 @@ LONG = """ln AS (
   FROM v
 )"""
 
+# --------------------------------------------------------------- ingest
+# Items as the loader sees them: archived only as the JSON string "true"
+# (even keys among the archived), area guarded by the experience keys.
+NORM = """n AS (
+  SELECT id, vacancy_name, published_at, is_archive AND id % 2 = 0 AS is_archive, is_open,
+    employer_id, employer_name, is_accredited_it_employer, experience_id, experience_name,
+    CASE WHEN experience_id IS NOT NULL THEN area_id END AS area_id,
+    CASE WHEN experience_name IS NOT NULL THEN area_name END AS area_name,
+    CAST(salary_from AS DOUBLE) AS salary_from, CAST(salary_to AS DOUBLE) AS salary_to,
+    salary_currency, is_gross
+  FROM v
+)"""
+# Each item on page floor(id/100); positions >= 95 again on the next page.
+PAGED = """pg AS (
+  SELECT CAST(floor(id / 100) AS INTEGER) AS page, * FROM v
+  UNION ALL
+  SELECT CAST(floor(id / 100) AS INTEGER) + 1 AS page, * FROM v WHERE id % 100 >= 95
+)"""
+PHRASES = ["Data Engineer", "Дата Инженер", "Инженер данных", "Аналитик данных", "Data Analyst", "Data scientist",
+           "Исследователь данных"]
+RUNS = "runs AS (SELECT DISTINCT CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS date_start FROM orders)"
+
 SQL: dict[str, str] = {
+    "ingest_flatten_pages": _with(V, PAGED)
+    + "SELECT page, CAST(id AS VARCHAR) AS id, vacancy_name AS name,"
+    " strftime(published_at, '%Y-%m-%dT%H:%M:%S') || '+0300' AS published_at FROM pg",
+    "ingest_normalise": _with(V, NORM) + "SELECT * FROM n UNION ALL SELECT * FROM n WHERE id % 100 >= 95",
+    "ingest_distinct": _with(V, NORM) + "SELECT DISTINCT * FROM n",
+    "stage_refresh": _with(V, NORM) + "SELECT DISTINCT * FROM n",
+    # NULL inner keys are omitted from the items, so an area without id/name
+    # is "{}" while experience has its keys; every fifth salary-less item
+    # lacks the salary key.
+    "chk_required": _with(V, PAGED)
+    + "SELECT page, CAST(id AS VARCHAR) AS id, concat_ws(',',"
+    " CASE WHEN experience_id IS NOT NULL AND area_id IS NULL THEN 'area.id' END,"
+    " CASE WHEN experience_name IS NOT NULL AND area_name IS NULL THEN 'area.name' END,"
+    " CASE WHEN salary_currency IS NULL AND id % 5 = 0 THEN 'salary' END) AS missing FROM pg"
+    " WHERE (experience_id IS NOT NULL AND area_id IS NULL) OR (experience_name IS NOT NULL AND area_name IS NULL)"
+    " OR (salary_currency IS NULL AND id % 5 = 0)",
+    "ingest_title_search": _with(V)
+    + "SELECT id, vacancy_name FROM v WHERE "
+    + " OR ".join(f"vacancy_name ILIKE '%{p}%'" for p in PHRASES),
+    "ingest_lookback": _with(V)
+    + "SELECT id, published_at FROM v WHERE published_at >= TIMESTAMP '2001-08-01' - INTERVAL 30 DAY",
+    "ingest_lookback_daily": _with(V)
+    + "SELECT id, published_at FROM v WHERE published_at >= TIMESTAMP '2001-08-01' - INTERVAL 1 DAY",
+    "bookmark_probe": _with(RUNS)
+    + "SELECT COUNT(*) > 0 AS has_bookmark, CASE WHEN COUNT(*) > 0 THEN 1 ELSE 30 END AS lookback_days"
+    " FROM (SELECT 1 FROM runs LIMIT 1) r",
+    "bookmark_append": _with(RUNS) + "SELECT date_start FROM runs UNION ALL SELECT TIMESTAMP '2001-08-01'",
     "class_title": _with(V) + f"SELECT id, {ROLE_CASE.format(t='vacancy_name')} AS role FROM v",
     "class_grade": _with(V) + f"SELECT id, {GRADE_CASE.format(t='vacancy_name')} AS grade FROM v",
     "class_grade_experience": _with(V)

@@ -26,18 +26,32 @@ from jobsight.operators.candidates import (
     fact_candidates,
 )
 from jobsight.operators.checks import duplicate_keys, nullify_orphans, orphans, over_length
+from jobsight.operators.normalise import distinct_records, missing_required, normalise
 from jobsight.operators.numbering import numbered
 from jobsight.operators.upsert import upsert_table
 from jobsight.plans.marts import MARTS, build_mart, per_key
 from jobsight.schemas import VARCHAR_LIMITS
+from jobsight.session import storage_root
+from jobsight.sinks.versioned import append_bookmark, refresh
 from jobsight.sources.fixture import (
+    AS_OF,
     day1_batch,
     day2_batch,
     duplicated_batch,
+    landed_pages,
     long_name_records,
+    run_log,
     vacancy_records,
     with_changed_rates,
 )
+from jobsight.sources.pages import (
+    bookmark_state,
+    flatten_pages,
+    has_bookmark,
+    lookback,
+    parse_pages,
+    title_search,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -240,7 +254,74 @@ def q_chk_length(spark, sf_dir):
     return over_length(recs, VARCHAR_LIMITS["staging"], ["id"])
 
 
+# ---------------------------------------------------------------- ingest
+# Pages are landed from the records as API-shaped JSON (fixture), then read
+# back through the same path a real landing takes.
+def _items(spark, sf_dir):
+    return flatten_pages(parse_pages(landed_pages(vacancy_records(spark, sf_dir))))
+
+
+def q_ingest_flatten_pages(spark, sf_dir):
+    items = _items(spark, sf_dir)
+    return items.select(
+        "page",
+        F.try_variant_get("item", "$.id", "string").alias("id"),
+        F.try_variant_get("item", "$.name", "string").alias("name"),
+        F.try_variant_get("item", "$.published_at", "string").alias("published_at"),
+    )
+
+
+def q_ingest_normalise(spark, sf_dir):
+    return at_boundary(normalise(_items(spark, sf_dir)))
+
+
+def q_ingest_distinct(spark, sf_dir):
+    return at_boundary(distinct_records(normalise(_items(spark, sf_dir))))
+
+
+def q_chk_required(spark, sf_dir):
+    return missing_required(_items(spark, sf_dir))
+
+
+def q_stage_refresh(spark, sf_dir):
+    staged = refresh(distinct_records(normalise(_items(spark, sf_dir))), storage_root(spark))
+    return at_boundary(staged)
+
+
+def q_ingest_title_search(spark, sf_dir):
+    return title_search(vacancy_records(spark, sf_dir)).select("id", "vacancy_name")
+
+
+def q_ingest_lookback(spark, sf_dir):
+    """First run: no bookmark, the 30-day window."""
+    return lookback(vacancy_records(spark, sf_dir), AS_OF, has_bookmark=False).select("id", "published_at")
+
+
+def q_ingest_lookback_daily(spark, sf_dir):
+    """Later run: the run log holds runs, so the 1-day window."""
+    recs = vacancy_records(spark, sf_dir)
+    return lookback(recs, AS_OF, has_bookmark(run_log(recs))).select("id", "published_at")
+
+
+def q_bookmark_probe(spark, sf_dir):
+    return bookmark_state(run_log(vacancy_records(spark, sf_dir)))
+
+
+def q_bookmark_append(spark, sf_dir):
+    return append_bookmark(run_log(vacancy_records(spark, sf_dir)), AS_OF)
+
+
 QUERIES: dict[str, Query] = {
+    "ingest_flatten_pages": q_ingest_flatten_pages,
+    "ingest_title_search": q_ingest_title_search,
+    "ingest_lookback": q_ingest_lookback,
+    "ingest_lookback_daily": q_ingest_lookback_daily,
+    "ingest_normalise": q_ingest_normalise,
+    "ingest_distinct": q_ingest_distinct,
+    "chk_required": q_chk_required,
+    "stage_refresh": q_stage_refresh,
+    "bookmark_probe": q_bookmark_probe,
+    "bookmark_append": q_bookmark_append,
     "class_title": q_class_title,
     "class_grade": q_class_grade,
     "class_grade_experience": q_class_grade_experience,

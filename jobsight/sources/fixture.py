@@ -155,3 +155,90 @@ def long_name_records(records: DataFrame) -> DataFrame:
     k = F.col("id")
     repeated = F.concat_ws(" ", F.array_repeat(F.col("employer_name"), ((k % 20) + 1).cast("int")))
     return records.withColumn("employer_name", F.when(F.col("employer_name").isNotNull(), repeated))
+
+
+# ---------------------------------------------------------------------------
+# Landed API pages built from the records (FIXTURES.md "JSON pages").
+# ---------------------------------------------------------------------------
+PAGE_SIZE = 100
+# Page drift: items at positions >= 95 of a page are served again at the top
+# of the next page (identical copies the loader must drop).
+DRIFT_FROM = 95
+# Vacancies without salary carry ``"salary": null``, except every fifth one,
+# whose ``salary`` key is absent (a malformed item the required-key check reports).
+ABSENT_SALARY_EVERY = 5
+ZONE_SUFFIX = "+0300"
+
+
+def item_json(records: DataFrame) -> Column:
+    """One record as an API item: ids as text, ISO time with zone, NULL inner keys omitted."""
+    k = F.col("id")
+    archived = (
+        F.when(F.col("is_archive") & ((k % 2) == 0), F.parse_json(F.lit('"true"')))
+        .when(F.col("is_archive"), F.parse_json(F.lit("true")))
+        .otherwise(F.parse_json(F.lit("false")))
+    )
+    salary_obj = F.parse_json(
+        F.to_json(
+            F.struct(
+                F.col("salary_from").alias("from"),
+                F.col("salary_to").alias("to"),
+                F.col("salary_currency").alias("currency"),
+                F.col("is_gross").alias("gross"),
+            ),
+            {"ignoreNullFields": "false"},
+        )
+    )
+    salary = F.when(F.col("salary_currency").isNotNull(), salary_obj).when(
+        (k % ABSENT_SALARY_EVERY) != 0, F.parse_json(F.lit("null"))
+    )
+    item = F.struct(
+        k.cast("string").alias("id"),
+        F.col("vacancy_name").alias("name"),
+        F.concat(F.date_format("published_at", "yyyy-MM-dd'T'HH:mm:ss"), F.lit(ZONE_SUFFIX)).alias("published_at"),
+        archived.alias("archived"),
+        F.struct(F.when(F.col("is_open"), "open").otherwise("closed").alias("id")).alias("type"),
+        F.struct(
+            F.col("employer_id").cast("string").alias("id"),
+            F.col("employer_name").alias("name"),
+            F.col("is_accredited_it_employer").alias("accredited_it_employer"),
+        ).alias("employer"),
+        F.struct(F.col("experience_id").alias("id"), F.col("experience_name").alias("name")).alias("experience"),
+        F.struct(F.col("area_id").cast("string").alias("id"), F.col("area_name").alias("name")).alias("area"),
+        salary.alias("salary"),
+    )
+    return F.to_json(item)
+
+
+def landed_pages(records: DataFrame) -> DataFrame:
+    """Pages as JSON text (column ``value``), ``page = floor(id / 100)`` plus drift.
+
+    Grouping by page collects at most PAGE_SIZE + drift items per group
+    (ids are unique), so no group grows with the data.
+    """
+    k = F.col("id")
+    items = records.select(
+        F.floor(k / PAGE_SIZE).cast("int").alias("page"), (k % PAGE_SIZE).alias("_pos"), item_json(records).alias("_j")
+    )
+    drift = items.where(F.col("_pos") >= DRIFT_FROM).withColumn("page", F.col("page") + 1)
+    every = items.unionByName(drift)
+    found = records.select(F.count(F.lit(1))).scalar()
+    pages = every.select(F.max("page") + 1).scalar()
+    grouped = every.groupBy("page").agg(F.sort_array(F.collect_list("_j")).alias("_items"))
+    text = F.concat(
+        F.lit('{"page":'),
+        F.col("page").cast("string"),
+        F.lit(',"pages":'),
+        pages.cast("string"),
+        F.lit(',"found":'),
+        found.cast("string"),
+        F.lit(',"items":['),
+        F.array_join("_items", ","),
+        F.lit("]}"),
+    )
+    return grouped.select(text.alias("value"))
+
+
+def run_log(records: DataFrame) -> DataFrame:
+    """A run log with one completed run per publication day."""
+    return records.select(F.to_date("published_at").cast("timestamp_ntz").alias("date_start")).distinct()
