@@ -39,10 +39,10 @@ _TO = "_rub_to"
 def priced(fact: DataFrame, currency: DataFrame) -> DataFrame:
     """Fact rows with the effective grade and salaries in roubles.
 
-    The currency dimension is a lookup of a bounded code list; it is joined
-    by broadcast after a size probe, so the fact is never shuffled for it
-    (a shuffle would put every rouble-priced row in one task). An unlisted
-    or missing currency leaves the rouble amounts NULL.
+    The currency dimension is a short code list: Spark's size check
+    (``operators.joins``) broadcasts it, so the fact is not shuffled for it
+    (a shuffle on the currency would put every rouble-priced row in one
+    task). An unlisted or missing currency leaves the rouble amounts NULL.
     """
     rates = lookup(currency, "currency_id", ["to_rub"])
     joined = fact.join(rates, fact["salary_currency"] == rates["currency_id"], "left")
@@ -129,5 +129,82 @@ def salary_ratio_final() -> list[Column]:
 
 
 def salary_stats(priced_rows: DataFrame, key: str) -> DataFrame:
-    """A1-A4 and A9 in one pass: the 17 stats per grain key (NULL key is a group)."""
+    """A1-A4 and A9 over rows already priced per row (``priced``)."""
     return priced_rows.groupBy(key).agg(*stat_aggs()).select(key, *stat_final())
+
+
+# ---------------------------------------------------------------------------
+# Two-level form used by the marts: aggregate raw amounts per (key, currency),
+# convert the aggregated rows, then aggregate per key.
+#
+# Exact, because decimal arithmetic is: SUM(s * r) = r * SUM(s), and for
+# r >= 0 MIN(s * r) = r * MIN(s) (for r < 0 the bounds swap; a NULL rate gives
+# NULL, which MIN/MAX/COUNT skip, as they skip the per-row NULL products).
+# Per fact row only long-backed DECIMAL(18,2) sums, counts and comparisons
+# remain; wide decimal products happen once per (key, currency) group, and
+# the fact is never joined to the currency table.
+# ---------------------------------------------------------------------------
+_CUR = "salary_currency"
+
+
+def _level1_aggs() -> list[Column]:
+    pay = F.coalesce(F.col("salary_to"), F.col("salary_from"))
+    frm, to = F.col("salary_from"), F.col("salary_to")
+    out = count_aggs()
+    for g, s in GRADE_SUFFIXES:
+        out += [
+            F.sum(F.when(_is(g), pay)).alias(f"_s_{s}"),
+            F.count(F.when(_is(g), pay)).alias(f"_c_{s}"),
+            F.min(F.when(_is(g), frm)).alias(f"_lof_{s}"),
+            F.max(F.when(_is(g), frm)).alias(f"_hif_{s}"),
+            F.min(F.when(_is(g), to)).alias(f"_lot_{s}"),
+            F.max(F.when(_is(g), to)).alias(f"_hit_{s}"),
+        ]
+    out += [F.min(frm).alias("_lof"), F.max(frm).alias("_hif"), F.min(to).alias("_lot"), F.max(to).alias("_hit")]
+    return out
+
+
+def _low(lo: str, hi: str) -> Column:
+    r = F.col("to_rub")
+    return F.when(r >= 0, F.col(lo) * r).otherwise(F.col(hi) * r)
+
+
+def _high(lo: str, hi: str) -> Column:
+    r = F.col("to_rub")
+    return F.when(r >= 0, F.col(hi) * r).otherwise(F.col(lo) * r)
+
+
+def _units_of_sum(total: str) -> Column:
+    """SUM(s) * rate as an exact integer of 1e-8 roubles."""
+    cents = (F.col(total) * F.lit(100)).cast("decimal(38,0)")
+    micro_rate = (F.col("to_rub") * F.lit(1_000_000)).cast("decimal(38,0)")
+    return cents * micro_rate
+
+
+def _level2_aggs() -> list[Column]:
+    has_rate = F.col("to_rub").isNotNull()
+    out = [F.sum(c).alias(c) for c in COUNT_COLS]
+    for _, s in GRADE_SUFFIXES:
+        out += [
+            F.sum(_units_of_sum(f"_s_{s}")).alias(f"_sum_{s}"),
+            F.sum(F.when(has_rate, F.col(f"_c_{s}")).otherwise(F.lit(0))).alias(f"_n_{s}"),
+        ]
+    out += [F.min(_low(f"_lof_{s}", f"_hif_{s}")).alias(f"min_sal_{s}") for _, s in GRADE_SUFFIXES]
+    out += [F.max(_high(f"_lot_{s}", f"_hit_{s}")).alias(f"max_sal_{s}") for _, s in GRADE_SUFFIXES]
+    out += [F.min(_low("_lof", "_hif")).alias("min_salary"), F.max(_high("_lot", "_hit")).alias("max_salary")]
+    return out
+
+
+def grain_stats(fact: DataFrame, currency: DataFrame, key: str) -> DataFrame:
+    """The 7 counts (A5-A8) and 17 stats (A1-A4) per grain key.
+
+    The NULL key is a group with its stats, as in the reference's stats CTE.
+    Two exchanges: (key, currency) after a map-side partial aggregate of the
+    fact, then key over the already aggregated rows.
+    """
+    graded = fact.withColumn(_GRADE, effective_grade("grade", "grade_experience"))
+    level1 = graded.groupBy(key, _CUR).agg(*_level1_aggs())
+    rates = lookup(currency, "currency_id", ["to_rub"])
+    priced_groups = level1.join(rates, level1[_CUR] == rates["currency_id"], "left")
+    level2 = priced_groups.groupBy(key).agg(*_level2_aggs())
+    return level2.select(key, *COUNT_COLS, *stat_final())

@@ -1,31 +1,32 @@
-"""Lookup joins whose broadcast side has a checked size."""
+"""Dimension lookups.
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+Whether a dimension is broadcast is left to Spark's size check, never to an
+unconditional hint:
 
-# Lookup tables with at most this many rows are broadcast. A few columns of
-# this many rows stay well under a megabyte per executor.
-BROADCAST_MAX_ROWS = 100_000
+* a stored dimension is broadcast when its estimated size (file size) is
+  under ``spark.sql.autoBroadcastJoinThreshold``;
+* a dimension computed in the same plan (e.g. a DISTINCT over staging) is
+  measured at run time: AQE materialises its shuffle stage first and turns
+  the sort-merge join into a broadcast join when the measured size is under
+  ``spark.sql.adaptive.autoBroadcastJoinThreshold``, before the large side
+  is shuffled for the join.
 
+Beyond the threshold the join stays a shuffle join, and AQE splits a
+partition swollen by a hot key (``spark.sql.adaptive.skewJoin.enabled``).
+Lookups keep only the needed columns, so the measured size is small.
+"""
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only if it holds at most ``max_rows`` rows.
+from __future__ import annotations
 
-    The probe reads at most ``max_rows + 1`` rows, so it stays cheap even when
-    the table turns out to be large. Above the bound the join is left to the
-    planner: a shuffle join, where AQE splits partitions skewed by a hot key.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
-def lookup(df: DataFrame, key: str, columns: list[str], max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def lookup(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """The non-NULL-keyed rows of a dimension, pruned to ``key`` + ``columns``.
 
     NULL keys never satisfy an equality join, so dropping them first loses
-    nothing and keeps rows the reference lets accumulate out of the probe.
+    nothing; it also keeps the NULL-keyed rows the reference lets accumulate
+    out of the join.
     """
-    pruned = df.where(F.col(key).isNotNull()).select(key, *columns)
-    return broadcast_if_bounded(pruned, max_rows)
+    return df.where(F.col(key).isNotNull()).select(key, *columns)

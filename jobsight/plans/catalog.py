@@ -152,33 +152,28 @@ def q_fact_candidates(spark, sf_dir):
 GRAIN = "employer_id"
 
 
-def _agg(aggs, finals):
+def _agg(columns):
     def q(spark, sf_dir):
         s = star(spark, sf_dir)
-        rows = A.priced(s.fact, s.currency).groupBy(GRAIN).agg(*aggs())
-        return at_boundary(rows.select(GRAIN, *finals()))
+        return at_boundary(A.grain_stats(s.fact, s.currency, GRAIN).select(GRAIN, *columns))
 
     return q
 
 
-q_agg_salary_avg = _agg(A.salary_avg_aggs, A.salary_avg_final)
-q_agg_salary_min = _agg(A.salary_min_aggs, lambda: [F.col(c) for c in A.MIN_COLS])
-q_agg_salary_max = _agg(A.salary_max_aggs, lambda: [F.col(c) for c in A.MAX_COLS])
-q_agg_salary_overall = _agg(A.salary_overall_aggs, lambda: [F.col(c) for c in A.OVERALL_COLS])
-q_agg_open_count = _agg(A.open_count_aggs, lambda: [F.col("cnt_vacancy")])
-q_agg_salary_count = _agg(A.salary_count_aggs, lambda: [F.col("cnt_vac_salary")])
-q_agg_grade_counts = _agg(A.grade_count_aggs, lambda: [F.col(c) for _, c in A.COUNTED_GRADES])
-q_agg_lead_count = _agg(A.lead_count_aggs, lambda: [F.col("cnt_lead")])
-
-
-def q_agg_salary_by_key(spark, sf_dir):
-    s = star(spark, sf_dir)
-    return at_boundary(A.salary_stats(A.priced(s.fact, s.currency), GRAIN))
+q_agg_salary_avg = _agg(A.AVG_COLS)
+q_agg_salary_min = _agg(A.MIN_COLS)
+q_agg_salary_max = _agg(A.MAX_COLS)
+q_agg_salary_overall = _agg(A.OVERALL_COLS)
+q_agg_salary_by_key = _agg(A.STAT_COLS)
+q_agg_open_count = _agg(["cnt_vacancy"])
+q_agg_salary_count = _agg(["cnt_vac_salary"])
+q_agg_grade_counts = _agg([c for _, c in A.COUNTED_GRADES])
+q_agg_lead_count = _agg(["cnt_lead"])
 
 
 def q_salary_ratio(spark, sf_dir):
     s = star(spark, sf_dir)
-    stats = A.salary_stats(A.priced(s.fact, s.currency), GRAIN)
+    stats = A.grain_stats(s.fact, s.currency, GRAIN)
     return at_boundary(stats.select(GRAIN, *A.salary_ratio_final()))
 
 

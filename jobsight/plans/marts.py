@@ -6,9 +6,10 @@ all 17 stats. Here the fact is scanned and aggregated once per grain key;
 only the small per-key result is joined to the dimension and regrouped:
 
     scan(fact, role filter, pruned)
-      -> broadcast ⟕ currency (size-checked)
-      -> partial agg -> exchange(grain key) -> final agg      # the only fact shuffle
-      -> ⟕ dimension (per-key rows; broadcast if small)
+      -> partial agg -> exchange(grain key, currency) -> agg  # the only fact shuffle
+      -> ⟕ currency on aggregated rows, convert exactly
+      -> exchange(grain key) -> agg                           # aggregated rows only
+      -> ⟕ dimension (per-key rows; broadcast if small, else only the dim moves)
       -> regroup by (dim key, dim name, stats)                 # per-key rows only
       -> ratios -> numbering (range exchange, no 1-task window)
 
@@ -30,11 +31,8 @@ from jobsight.operators.aggregates import (
     COUNT_COLS,
     RATIO_COLS,
     STAT_COLS,
-    count_aggs,
-    priced,
+    grain_stats,
     salary_ratio_final,
-    stat_aggs,
-    stat_final,
 )
 from jobsight.operators.joins import lookup
 from jobsight.operators.numbering import numbered
@@ -63,12 +61,12 @@ MARTS = {
 def per_key(fact: DataFrame, currency: DataFrame, grain_key: str, role: str | None = None) -> DataFrame:
     """Counts and stats per grain key in one aggregation; NULL key gets NULL stats."""
     rows = fact if role is None else fact.where(F.col("vacancy_name") == role)
-    agg = priced(rows, currency).groupBy(grain_key).agg(*count_aggs(), *stat_aggs())
+    stats = grain_stats(rows, currency, grain_key)
     key_known = F.col(grain_key).isNotNull()
-    return agg.select(
+    return stats.select(
         grain_key,
         *COUNT_COLS,
-        *[F.when(key_known, c).alias(n) for c, n in zip(stat_final(), STAT_COLS)],
+        *[F.when(key_known, F.col(c)).alias(c) for c in STAT_COLS],
     )
 
 

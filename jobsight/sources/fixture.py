@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsight.operators.joins import broadcast_if_bounded
 from jobsight.schemas import MONEY, RATE
+from jobsight.sources.tables import read_table
 
 # ---------------------------------------------------------------------------
 # Fixed values of the fixture (FIXTURES.md §2).
@@ -61,11 +61,15 @@ def _pick(index: Column, values: list[str]) -> Column:
 
 def vacancy_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staging-shaped records (schema ``schemas.STAGING``) over the driver tables."""
-    orders = _table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
+    # Orders drive the row count (one vacancy per order): spread if unsplittable.
+    orders = read_table(
+        spark,
+        sf_dir,
+        "orders",
+        ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
     )
     customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
-    nation = broadcast_if_bounded(_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
     v = orders.join(customer, orders.o_custkey == customer.c_custkey, "left").join(
         nation, F.col("c_nationkey") == nation.n_nationkey, "left"
