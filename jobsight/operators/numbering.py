@@ -1,15 +1,19 @@
 """Row numbering without a single-partition window.
 
 ``row_number() OVER (ORDER BY k)`` with no partition moves every row into one
-task. Here the rows are range-partitioned and sorted by ``k`` (one shuffle),
-each row takes its position inside its partition from
-``monotonically_increasing_id``, and a per-partition offset is added. The
-offsets table has one row per partition, so its broadcast is bounded by the
+task. Here the rows are range-partitioned and sorted by ``k`` (one shuffle)
+and written to a reliable checkpoint in the shared ``spark.checkpoint.dir``.
+Numbering then takes two cheap passes over those stored rows: one counts
+the rows of each partition, the other adds a partition's offset to each
+row's position inside it (``monotonically_increasing_id``). The offsets
+table has one row per partition, so its broadcast is bounded by the
 partition count, not by the data.
 
-The numbering is deterministic when the order is total (the grain keys of the
-marts are unique after aggregation). The same sorted exchange feeds both the
-counts and the numbering; Spark reuses it instead of sorting twice.
+The checkpoint matters: without it both passes would recompute the input,
+and since the counting pass needs no columns, the optimizer prunes it into
+a different plan that cannot reuse the other pass's shuffle. It also makes
+the numbering stable if a task is retried. The order must be total (the
+grain keys of the marts are unique after aggregation).
 """
 
 from __future__ import annotations
@@ -17,14 +21,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from jobsight.session import storage_root
+
 _POS_BITS = 33  # monotonically_increasing_id = partition_id << 33 | position
 
 
 def numbered(df: DataFrame, order: list[Column], id_col: str = "id") -> DataFrame:
     """Prepend ``id_col`` (BIGINT, 1..n) numbering rows in ``order``."""
-    mid = F.monotonically_increasing_id()
-    ranked = df.orderBy(*order).withColumn("_mid", mid)
-    ranked = ranked.withColumns(
+    storage_root(df.sparkSession)  # a checkpoint dir exists (set by the cluster, or a local one)
+    ranked = df.orderBy(*order).checkpoint(eager=True)
+    ranked = ranked.withColumn("_mid", F.monotonically_increasing_id()).withColumns(
         {
             "_part": F.shiftright(F.col("_mid"), _POS_BITS),
             "_pos": F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)),
