@@ -43,6 +43,22 @@ def _absent_or_null(path: str) -> Column:
     return _absent(path) | F.is_variant_null(_node(path))
 
 
+def _truthy(path: str) -> Column:
+    """Python ``bool(value)`` of a JSON value: null / absent, false, 0, "", [] and
+    {} are False; everything else is True (the reference wraps two fields in
+    ``bool()``)."""
+    node = _node(path)
+    kind = F.schema_of_variant(node)
+    return (
+        F.when(node.isNull() | F.is_variant_null(node), F.lit(False))
+        .when(kind == "BOOLEAN", F.variant_get(node, "$", "boolean"))
+        .when(kind == "STRING", F.length(F.variant_get(node, "$", "string")) > 0)
+        .when(kind.startswith("ARRAY"), F.size(F.try_variant_get(node, "$", "array<variant>")) > 0)
+        .when(kind.startswith("OBJECT"), F.size(F.try_variant_get(node, "$", "map<string,variant>")) > 0)
+        .otherwise(F.try_variant_get(node, "$", "double") != 0)
+    )
+
+
 def _is_object(path: str) -> Column:
     return F.coalesce(F.schema_of_variant(_node(path)).startswith("OBJECT"), F.lit(False))
 
@@ -57,9 +73,7 @@ def normalise(items: DataFrame) -> DataFrame:
         F.coalesce(_get("$.type.id", "string") == F.lit("open"), F.lit(False)).alias("is_open"),
         _get("$.employer.id", "bigint").alias("employer_id"),
         _get("$.employer.name", "string").alias("employer_name"),
-        F.coalesce(_get("$.employer.accredited_it_employer", "boolean"), F.lit(False)).alias(
-            "is_accredited_it_employer"
-        ),
+        _truthy("$.employer.accredited_it_employer").alias("is_accredited_it_employer"),
         _get("$.experience.id", "string").alias("experience_id"),
         _get("$.experience.name", "string").alias("experience_name"),
         # The area is guarded by keys of *experience*, as in the reference.
@@ -68,7 +82,7 @@ def normalise(items: DataFrame) -> DataFrame:
         _get("$.salary.from", "decimal(18,2)").cast(MONEY).alias("salary_from"),
         _get("$.salary.to", "decimal(18,2)").cast(MONEY).alias("salary_to"),
         _get("$.salary.currency", "string").alias("salary_currency"),
-        F.coalesce(_get("$.salary.gross", "boolean"), F.lit(False)).alias("is_gross"),
+        _truthy("$.salary.gross").alias("is_gross"),
     ]
     out = items.select(*record)
     return out.select(*[F.col(f.name).cast(f.dataType) for f in STAGING.fields])

@@ -73,6 +73,16 @@ def test_salary_null_and_gross_null(spark):
     assert r["is_gross"] is False and r["salary_from"] == Decimal("1.00")
 
 
+@pytest.mark.parametrize(
+    "value,expected",
+    [(True, True), (False, False), (None, False), (0, False), (2, True), ("", False), ("no", True), ([], False), ({}, False), ({"a": 1}, True)],
+)
+def test_bool_fields_follow_python_truthiness(spark, value, expected):
+    r = _one(spark, salary={"from": 1, "to": 2, "currency": "RUR", "gross": value},
+             employer={"id": "1", "name": "x", "accredited_it_employer": value})
+    assert r["is_gross"] is expected and r["is_accredited_it_employer"] is expected
+
+
 def test_employer_without_id(spark):
     r = _one(spark, employer={"name": "x"})
     assert r["employer_id"] is None and r["employer_name"] == "x" and r["is_accredited_it_employer"] is False
