@@ -121,3 +121,19 @@ def test_stream_runs_the_same_load(spark, scratch):
 def _count_new(spark, pages1, pages2):
     ids1 = _staged(pages1).select("id")
     return _staged(pages2).select("id").join(ids1, "id", "left_anti").count()
+
+
+def test_command_line(spark, scratch):
+    from jobsight.__main__ import main
+
+    pages1, _ = _batches(spark)
+    landing = os.path.join(scratch, "landing")
+    pages1.select(F.to_json(F.struct("page", "pages", "found", "items")).alias("value")).write.text(landing)
+    root = os.path.join(scratch, "wh")
+    main(["load", "--pages", landing, "--root", root, "--no-search", "--lenient"])
+    main(["marts", "--root", root, "--out", os.path.join(scratch, "marts")])
+    written = spark.read.parquet(os.path.join(scratch, "marts", "de_region"))
+    assert written.count() > 0 and len(written.columns) == 32
+    assert sorted(os.listdir(os.path.join(scratch, "marts"))) == sorted(
+        ["de_region", "da_region", "ds_region", "de_employer", "da_employer", "ds_employer", "vacancies"]
+    )
