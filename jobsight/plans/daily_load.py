@@ -15,16 +15,15 @@ default):
   partitioned by ``id_range = vacancy_id div fact_range_width``; a load reads
   only the partitions its batch touches (a semi-join on the partition column,
   which Spark turns into partition pruning), merges them with the batch,
-  materialises the result in a scratch folder (cutting the lineage to the
-  partitions about to be replaced) and swaps just those partitions in with
-  dynamic partition overwrite. The fact merge is idempotent (vacancy ids are
+  checkpoints the result (cutting the lineage to the partitions about to be
+  replaced) and swaps just those partitions in with dynamic partition
+  overwrite. The fact merge is idempotent (vacancy ids are
   never NULL, matches always take the source), so a retried load converges.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -102,10 +101,13 @@ def upsert_fact(
     except Exception:  # noqa: BLE001 - first load
         target = spark.createDataFrame([], FACT_VACANCY)
     merged = upsert_table("fact_vacancy", target, source, on_duplicate).withColumn(RANGE_COL, rng)
-    scratch = f"{root}/_scratch/fact-{uuid.uuid4().hex}"
-    merged.repartition(RANGE_COL).write.mode("errorifexists").partitionBy(RANGE_COL).parquet(scratch)
+    # Reliable checkpoint (shared storage): the rows to write no longer depend
+    # on the partitions they replace, and a retried write task re-reads them
+    # instead of re-running the merge. One task writes each range: a range
+    # holds at most ``width`` distinct ids, so no task grows with the data.
+    storage_root(spark)
     (
-        spark.read.parquet(scratch)
+        merged.checkpoint(eager=True)
         .repartition(RANGE_COL)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
