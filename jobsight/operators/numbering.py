@@ -31,9 +31,9 @@ def numbered(df: DataFrame, order: list[Column], id_col: str = "id") -> DataFram
     """Prepend ``id_col`` (BIGINT, 1..n) numbering rows in ``order``."""
     storage_root(df.sparkSession)  # a checkpoint dir exists (set by the cluster, or a local one)
     ranked = df.orderBy(*order).checkpoint(eager=True)
-    n_parts = ranked.rdd.getNumPartitions()
     sizes = dict(ranked.groupBy(F.spark_partition_id().alias("p")).count().collect())
-    offsets = [0, *accumulate(sizes.get(p, 0) for p in range(n_parts))][:n_parts] or [0]
+    n_parts = max(sizes, default=0) + 1  # trailing empty partitions need no offset
+    offsets = [0, *accumulate(sizes.get(p, 0) for p in range(n_parts))][:n_parts]
     offset = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), F.spark_partition_id() + 1)
     position = F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK))
     return ranked.select((offset + position + F.lit(1)).cast("bigint").alias(id_col), *df.columns)

@@ -16,8 +16,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     with many splits is returned untouched, so at scale this adds no shuffle. Every plan that starts from the same spread scan reuses its
     exchange instead of reading the file again.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view of the plan (e.g. a Connect session)
+        return df
     if have * 2 >= want:
         return df
     # Hash on the row's scan position: even, and the same on a retried task
