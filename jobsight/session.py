@@ -48,10 +48,15 @@ def storage_root(spark: SparkSession) -> str:
     folder created and registered as the checkpoint dir.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    if root:
+        return root.rstrip("/")
+    try:
+        sc = spark.sparkContext
+    except Exception as e:  # noqa: BLE001 - a remote (Connect) session
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder") from e
+    root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="jobsight-")
-        spark.sparkContext.setCheckpointDir(root)
+        sc.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
