@@ -48,8 +48,18 @@ def storage_root(spark: SparkSession) -> str:
     folder created and registered as the checkpoint dir.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
+    try:
+        sc = spark.sparkContext
+    except Exception as e:  # noqa: BLE001 - a remote (Connect) session: the server owns checkpoints
+        if root:
+            return root.rstrip("/")
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder") from e
+    if not root:
+        root = sc.getCheckpointDir() or tempfile.mkdtemp(prefix="jobsight-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
+    return root.rstrip("/")
     try:
         sc = spark.sparkContext
     except Exception as e:  # noqa: BLE001 - a remote (Connect) session
