@@ -60,13 +60,3 @@ def storage_root(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
-    try:
-        sc = spark.sparkContext
-    except Exception as e:  # noqa: BLE001 - a remote (Connect) session
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder") from e
-    root = sc.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="jobsight-")
-        sc.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
