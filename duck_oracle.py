@@ -41,46 +41,58 @@ V = """v AS (
   LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 )"""
 
-ROLE_CASE = """CASE
-    WHEN {t} ILIKE '%data engineer%' OR {t} ILIKE '%data инженер%' OR {t} ILIKE '%data-инженер%'
-      OR {t} ILIKE '%дата инженер%' OR {t} ILIKE '%инженер данных%' OR {t} ILIKE '%дата-инженер%'
-    THEN 'Инженер данных'
-    WHEN {t} ILIKE '%аналитик данных%' OR {t} ILIKE '%data analyst%' OR {t} ILIKE '%data аналитик%'
-    THEN 'Аналитик данных'
-    WHEN {t} ILIKE '%data scientist%' OR {t} ILIKE '%исследователь данных%'
-    THEN 'Data scientist'
-  END"""
-
-GRADE_CASE = """CASE
-    WHEN {t} LIKE '%Стажер%' THEN 'Intern'
-    WHEN {t} LIKE '%Младший%' OR {t} LIKE '%Junior%' THEN 'Junior'
-    WHEN {t} LIKE '%Старший%' OR {t} LIKE '%Middle%' THEN 'Middle'
-    WHEN {t} LIKE '%Ведущий%' OR {t} LIKE '%Senior%' THEN 'Senior'
-    WHEN {t} LIKE '%Руководитель%' OR {t} LIKE '%Team Lead%' THEN 'Team Lead'
-  END"""
-
-EXP_CASE = """CASE
-    WHEN {e} = 'noExperience' THEN 'Intern'
-    WHEN {e} = 'between1And3' THEN 'Junior'
-    WHEN {e} = 'between3And6' THEN 'Middle'
-    WHEN {e} = 'moreThan6' THEN 'Senior'
-  END"""
-
-# Rate in 1e-6 units (exact integers).
-RATE6_CASE = """CASE
-    WHEN {c} = 'RUR' THEN 1000000
-    WHEN {c} = 'USD' THEN 90000000
-    WHEN {c} = 'KZT' THEN 200000
-    WHEN {c} = 'BYR' THEN 28700000
-  END"""
+# ---------------------------------------------------------------------------
+# Fixed values (equal to the reference's rules): role phrases (case-insensitive
+# contains), grade words (case-sensitive contains), experience grades, and
+# rates to roubles in millionths. First match wins; no match gives NULL.
+# ---------------------------------------------------------------------------
+ROLE_PHRASES = [
+    ("Инженер данных", ["data engineer", "data инженер", "data-инженер", "дата инженер", "инженер данных", "дата-инженер"]),
+    ("Аналитик данных", ["аналитик данных", "data analyst", "data аналитик"]),
+    ("Data scientist", ["data scientist", "исследователь данных"]),
+]
+GRADE_WORDS = [
+    ("Intern", ["Стажер"]),
+    ("Junior", ["Младший", "Junior"]),
+    ("Middle", ["Старший", "Middle"]),
+    ("Senior", ["Ведущий", "Senior"]),
+    ("Team Lead", ["Руководитель", "Team Lead"]),
+]
+EXPERIENCE_GRADE = [("noExperience", "Intern"), ("between1And3", "Junior"), ("between3And6", "Middle"), ("moreThan6", "Senior")]
+RATE_MICRO = [("RUR", 1000000), ("USD", 90000000), ("KZT", 200000), ("BYR", 28700000)]
+
+
+def _first_match(arms: list[tuple[str, str]]) -> str:
+    return "CASE " + " ".join(f"WHEN {cond} THEN {value}" for cond, value in arms) + " END"
+
+
+def _contains_any(col: str, words: list[str], op: str) -> str:
+    return "(" + " OR ".join(f"{col} {op} '%{w}%'" for w in words) + ")"
+
+
+def role_case(title: str) -> str:
+    return _first_match([(_contains_any(title, ws, "ILIKE"), f"'{r}'") for r, ws in ROLE_PHRASES])
+
+
+def grade_case(title: str) -> str:
+    return _first_match([(_contains_any(title, ws, "LIKE"), f"'{g}'") for g, ws in GRADE_WORDS])
+
+
+def exp_case(experience: str) -> str:
+    return _first_match([(f"{experience} = '{code}'", f"'{g}'") for code, g in EXPERIENCE_GRADE])
+
+
+def rate6_case(currency: str) -> str:
+    """Rate in 1e-6 units (exact integers)."""
+    return _first_match([(f"{currency} = '{code}'", str(v)) for code, v in RATE_MICRO])
 
 def fact_cte(name: str, src: str) -> str:
     return f"""{name} AS (
   SELECT DISTINCT
     id AS vacancy_id,
-    {ROLE_CASE.format(t='vacancy_name')} AS vacancy_name,
-    {GRADE_CASE.format(t='vacancy_name')} AS grade,
-    {EXP_CASE.format(e='experience_id')} AS grade_experience,
+    {role_case('vacancy_name')} AS vacancy_name,
+    {grade_case('vacancy_name')} AS grade,
+    {exp_case('experience_id')} AS grade_experience,
     published_at, is_archive, is_open, employer_id, experience_id, area_id,
     salary_from, salary_to, is_gross, salary_currency
   FROM {src}
@@ -91,7 +103,7 @@ FACT = fact_cte("f", "v")
 
 
 CUR = f"""cur AS (
-  SELECT DISTINCT salary_currency AS currency_id, {RATE6_CASE.format(c='salary_currency')} AS rate6 FROM v
+  SELECT DISTINCT salary_currency AS currency_id, {rate6_case('salary_currency')} AS rate6 FROM v
 )"""
 
 DIM_AREA = "dim_area AS (SELECT DISTINCT area_id, area_name AS name FROM v)"
@@ -300,8 +312,8 @@ CUR_MERGE = (
     / 1000000 AS to_rub
 FROM (SELECT DISTINCT salary_currency AS currency_id,
         CASE WHEN salary_currency = 'USD' THEN 80000000 WHEN salary_currency = 'EUR' THEN 100000000
-             ELSE {RATE6_CASE.format(c='salary_currency')} END AS rate6, 1 AS p FROM d1) t
-FULL OUTER JOIN (SELECT DISTINCT salary_currency AS currency_id, {RATE6_CASE.format(c='salary_currency')} AS rate6,
+             ELSE {rate6_case('salary_currency')} END AS rate6, 1 AS p FROM d1) t
+FULL OUTER JOIN (SELECT DISTINCT salary_currency AS currency_id, {rate6_case('salary_currency')} AS rate6,
         1 AS p FROM d2) s
   ON t.currency_id = s.currency_id"""
 )
@@ -373,12 +385,12 @@ SQL: dict[str, str] = {
     + "SELECT COUNT(*) > 0 AS has_bookmark, CASE WHEN COUNT(*) > 0 THEN 1 ELSE 30 END AS lookback_days"
     " FROM (SELECT 1 FROM runs LIMIT 1) r",
     "bookmark_append": _with(RUNS) + "SELECT date_start FROM runs UNION ALL SELECT TIMESTAMP '2001-08-01'",
-    "class_title": _with(V) + f"SELECT id, {ROLE_CASE.format(t='vacancy_name')} AS role FROM v",
-    "class_grade": _with(V) + f"SELECT id, {GRADE_CASE.format(t='vacancy_name')} AS grade FROM v",
+    "class_title": _with(V) + f"SELECT id, {role_case('vacancy_name')} AS role FROM v",
+    "class_grade": _with(V) + f"SELECT id, {grade_case('vacancy_name')} AS grade FROM v",
     "class_grade_experience": _with(V)
-    + f"SELECT id, {EXP_CASE.format(e='experience_id')} AS grade_experience FROM v",
+    + f"SELECT id, {exp_case('experience_id')} AS grade_experience FROM v",
     "class_currency_rate": _with(V)
-    + f"SELECT id, salary_currency, CAST({RATE6_CASE.format(c='salary_currency')} AS DOUBLE) / 1000000 AS to_rub"
+    + f"SELECT id, salary_currency, CAST({rate6_case('salary_currency')} AS DOUBLE) / 1000000 AS to_rub"
     " FROM v",
     "effective_grade": _with(V, FACT)
     + "SELECT vacancy_id, COALESCE(grade, grade_experience) AS effective_grade FROM f",
