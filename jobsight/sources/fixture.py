@@ -226,16 +226,12 @@ def landed_pages(records: DataFrame) -> DataFrame:
     )
     drift = items.where(F.col("_pos") >= DRIFT_FROM).withColumn("page", F.col("page") + 1)
     every = items.unionByName(drift)
-    found = records.select(F.count(F.lit(1))).scalar()
-    pages = every.select(F.max("page") + 1).scalar()
     grouped = every.groupBy("page").agg(F.sort_array(F.collect_list("_j")).alias("_items"))
+    # The API's "pages"/"found" header only drove its paging loop; landed
+    # pages carry the page number and the items.
     text = F.concat(
         F.lit('{"page":'),
         F.col("page").cast("string"),
-        F.lit(',"pages":'),
-        pages.cast("string"),
-        F.lit(',"found":'),
-        found.cast("string"),
         F.lit(',"items":['),
         F.array_join("_items", ","),
         F.lit("]}"),
