@@ -5,9 +5,9 @@ partial aggregate before the shuffle on the grain key: a key holding a third
 of all rows still leaves each map task with one row per key, and no group is
 ever collected into one task.
 
-Each family is a pair: ``*_aggs()`` are the aggregate columns to put in one
-``groupBy(...).agg(...)``; ``*_final()`` turns the aggregated columns into the
-published ones. ``salary_stats`` combines A1-A4 in a single pass.
+``grain_stats`` computes all counts (A5-A8) and stats (A1-A4) per grain key
+(A9) in one two-level aggregation; ``salary_ratio_final`` derives the ratios.
+``priced`` is the per-row rouble conversion (K6, J1).
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobsight.functions.classify import GRADE_SUFFIXES, effective_grade
-from jobsight.functions.money import avg_from_units, ratio, to_units
+from jobsight.functions.money import avg_from_units, ratio
 from jobsight.operators.joins import lookup
 
 # Grades counted on the effective grade, with their column names.
@@ -59,35 +59,14 @@ def _is(grade_value: str) -> Column:
     return F.col(_GRADE) == grade_value
 
 
-# A1: ROUND(AVG(COALESCE(to, from)), 2) per grade — the upper bound preferred.
-def salary_avg_aggs() -> list[Column]:
-    pay = F.coalesce(F.col(_TO), F.col(_FROM))
-    out = []
-    for g, s in GRADE_SUFFIXES:
-        out.append(F.sum(F.when(_is(g), to_units(pay))).alias(f"_sum_{s}"))
-        out.append(F.count(F.when(_is(g), pay)).alias(f"_n_{s}"))
-    return out
-
-
+# A1: ROUND(AVG(COALESCE(to, from)), 2) per grade (upper bound preferred),
+# from the exact sums and counts of ``grain_stats``. A2-A4 (MIN of the lower
+# bound, MAX of the upper bound per grade, and both over all rows) come out
+# of ``grain_stats`` directly.
 def salary_avg_final() -> list[Column]:
     return [avg_from_units(F.col(f"_sum_{s}"), F.col(f"_n_{s}")).alias(f"avg_sal_{s}") for _, s in GRADE_SUFFIXES]
 
 
-# A2: MIN of the lower bound per grade.
-def salary_min_aggs() -> list[Column]:
-    return [F.min(F.when(_is(g), F.col(_FROM))).alias(f"min_sal_{s}") for g, s in GRADE_SUFFIXES]
-
-
-# A3: MAX of the upper bound per grade.
-def salary_max_aggs() -> list[Column]:
-    return [F.max(F.when(_is(g), F.col(_TO))).alias(f"max_sal_{s}") for g, s in GRADE_SUFFIXES]
-
-
-# A4: bounds over all rows, graded or not.
-def salary_overall_aggs() -> list[Column]:
-    return [F.min(_FROM).alias("min_salary"), F.max(_TO).alias("max_salary")]
-
-
 # A5: open vacancies; 0 when none.
 def open_count_aggs() -> list[Column]:
     return [F.sum(F.when(F.col("is_open"), 1).otherwise(0)).alias("cnt_vacancy")]
@@ -113,10 +92,6 @@ def count_aggs() -> list[Column]:
     return open_count_aggs() + salary_count_aggs() + grade_count_aggs() + lead_count_aggs()
 
 
-def stat_aggs() -> list[Column]:
-    return salary_avg_aggs() + salary_min_aggs() + salary_max_aggs() + salary_overall_aggs()
-
-
 def stat_final() -> list[Column]:
     """The 17 published stat columns from the aggregated ones."""
     return salary_avg_final() + [F.col(c) for c in MIN_COLS + MAX_COLS + OVERALL_COLS]
@@ -128,11 +103,6 @@ def salary_ratio_final() -> list[Column]:
     return [ratio(F.col(f"avg_sal_{s}"), F.col("max_salary")).alias(f"ratio_sal_{s}") for _, s in GRADE_SUFFIXES]
 
 
-def salary_stats(priced_rows: DataFrame, key: str) -> DataFrame:
-    """A1-A4 and A9 over rows already priced per row (``priced``)."""
-    return priced_rows.groupBy(key).agg(*stat_aggs()).select(key, *stat_final())
-
-
 # ---------------------------------------------------------------------------
 # Two-level form used by the marts: aggregate raw amounts per (key, currency),
 # convert the aggregated rows, then aggregate per key.

@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from jobsight.functions.classify import ROLE_DATA_ANALYST, ROLE_DATA_ENGINEER, ROLE_DATA_SCIENTIST
 from jobsight.operators.aggregates import (
     COUNT_COLS,
-    RATIO_COLS,
     STAT_COLS,
     grain_stats,
     salary_ratio_final,
@@ -109,5 +108,3 @@ def publish(spark, fact: DataFrame, currency: DataFrame, dims: dict[str, DataFra
         out[spec.view] = df
     return out
 
-
-MART_COLUMNS = ["id", "<key>", "<name>", *COUNT_COLS, *STAT_COLS, *RATIO_COLS]
