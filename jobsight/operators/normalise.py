@@ -95,20 +95,23 @@ def distinct_records(records: DataFrame) -> DataFrame:
 
 # Keys the reference reads without a presence test. Each entry is
 # (label, offending-condition); a row may fail several.
+def _malformed(path: str, type_: str, guard: Column | None = None) -> Column:
+    """A present, non-null value that does not convert to ``type_``."""
+    node = _node(path)
+    bad = node.isNotNull() & ~F.is_variant_null(node) & F.try_variant_get(F.col(_ITEM), path, type_).isNull()
+    return bad if guard is None else guard & bad
+
+
 def _required_rules() -> list[tuple[str, Column]]:
     area_used = _present("$.experience.id") | _present("$.experience.name")
     salary_obj = _is_object("$.salary")
-    id_node = _node("$.id")
+    published = F.try_variant_get(F.col(_ITEM), "$.published_at", "string")
     return [
         ("id", _absent_or_null("$.id")),
-        (
-            "id:malformed",
-            id_node.isNotNull()
-            & ~F.is_variant_null(id_node)
-            & F.try_variant_get(F.col(_ITEM), "$.id", "bigint").isNull(),
-        ),
+        ("id:malformed", _malformed("$.id", "bigint")),
         ("name", _absent("$.name")),
         ("published_at", _absent("$.published_at")),
+        ("published_at:malformed", published.isNotNull() & published.try_cast("timestamp_ntz").isNull()),
         ("archived", _absent("$.archived")),
         ("type", _absent_or_null("$.type")),
         ("type.id", _is_object("$.type") & _absent("$.type.id")),
@@ -122,11 +125,17 @@ def _required_rules() -> list[tuple[str, Column]]:
         ("salary.to", salary_obj & _absent("$.salary.to")),
         ("salary.currency", salary_obj & _absent("$.salary.currency")),
         ("salary.gross", salary_obj & _absent("$.salary.gross")),
+        # Values the target table's column types reject on insert.
+        ("employer.id:malformed", _malformed("$.employer.id", "bigint")),
+        ("area.id:malformed", _malformed("$.area.id", "int", _present("$.experience.id"))),
+        ("salary.from:malformed", _malformed("$.salary.from", "decimal(18,2)", salary_obj)),
+        ("salary.to:malformed", _malformed("$.salary.to", "decimal(18,2)", salary_obj)),
     ]
 
 
 def missing_required(items: DataFrame, keep: list[str] = ["page"]) -> DataFrame:  # noqa: B006
-    """Items that would fail the reference's loader.
+    """Items that would fail the reference's loader (a key read without a
+    presence test) or its insert (a value the column type rejects).
 
     Returns ``keep`` columns, the raw item ``id`` (text) and ``missing``: the
     failed rules joined by commas, in rule order. Empty means the batch loads.
