@@ -87,17 +87,30 @@ def read_stored(spark: SparkSession, root: str, table: str) -> DataFrame:
     return read_current(spark, root, table, schemas[table])
 
 
+def _range_of(width: int):
+    return F.floor(F.col("vacancy_id") / F.lit(width)).cast("bigint")
+
+
+def touched_partitions(stored: DataFrame, source: DataFrame, width: int = FACT_RANGE_WIDTH) -> DataFrame:
+    """The stored fact rows in the id ranges ``source`` touches.
+
+    A semi-join on the partition column against the (small) set of touched
+    ranges: Spark turns it into dynamic partition pruning, so untouched
+    ranges are never read.
+    """
+    touched = source.select(_range_of(width).alias(RANGE_COL)).distinct()
+    target = stored.join(touched, RANGE_COL, "left_semi").drop(RANGE_COL)
+    return target.select(*[F.col(f.name).cast(f.dataType) for f in FACT_VACANCY.fields])
+
+
 def upsert_fact(
     spark: SparkSession, root: str, source: DataFrame, width: int = FACT_RANGE_WIDTH, on_duplicate: str = "error"
 ) -> str:
     """U7 on the range-partitioned fact: merge and replace only touched partitions."""
     path = _fact_path(root)
-    rng = F.floor(F.col("vacancy_id") / F.lit(width)).cast("bigint")
-    touched = source.select(rng.alias(RANGE_COL)).distinct()
+    rng = _range_of(width)
     try:
-        stored = spark.read.parquet(path)
-        target = stored.join(touched, RANGE_COL, "left_semi").drop(RANGE_COL)
-        target = target.select(*[F.col(f.name).cast(f.dataType) for f in FACT_VACANCY.fields])
+        target = touched_partitions(spark.read.parquet(path), source, width)
     except Exception:  # noqa: BLE001 - first load
         target = spark.createDataFrame([], FACT_VACANCY)
     merged = upsert_table("fact_vacancy", target, source, on_duplicate).withColumn(RANGE_COL, rng)

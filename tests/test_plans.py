@@ -38,3 +38,15 @@ def test_upsert_keeps_null_keys_out_of_the_join(spark):
     join_part = plan[plan.find("Join") :]
     assert "isnotnull(k" in join_part
     assert "Union" in plan
+
+
+def test_fact_upsert_reads_only_touched_ranges(spark, scratch):
+    from pyspark.sql import functions as F
+
+    recs = vacancy_records(spark, SF_SMALL)
+    D.load(spark, parse_pages(landed_pages(recs)), root=scratch, phrases=None, strict=False, fact_range_width=100)
+    stored = spark.read.parquet(f"{scratch}/fact_vacancy")
+    source = D.read_fact(spark, scratch).where(F.col("vacancy_id") < 250)
+    target = D.touched_partitions(stored, source, 100)
+    assert "dynamicpruningexpression" in _plan(target)
+    assert target.count() == stored.where(F.col("vacancy_id") < 300).count()
