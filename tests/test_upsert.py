@@ -71,3 +71,21 @@ def test_null_keys_accumulate_per_run(spark):
     source = spark.createDataFrame([(None, "x")], DIM)
     once = upsert(target, source, "k", name_changed)
     assert once.where(F.col("k").isNull()).count() == 2
+
+
+def test_duplicate_target_rows_are_all_updated(spark):
+    # The fact has no unique key: a key held twice by the target takes the
+    # source values in both rows (many target rows per source row is legal).
+    target = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], DIM)
+    source = spark.createDataFrame([(1, "z")], DIM)
+    got = _sorted(upsert(target, source, "k", always), ["k", "name"])
+    assert got == [(1, "z"), (1, "z"), (2, "b")]
+
+
+def test_allow_mode_inserts_duplicate_source_rows(spark):
+    target = spark.createDataFrame([(2, "b")], DIM)
+    source = spark.createDataFrame([(1, "x"), (1, "y")], DIM)
+    got = _sorted(upsert(target, source, "k", always, on_duplicate="allow"), ["k", "name"])
+    assert got == [(1, "x"), (1, "y"), (2, "b")]
+    with pytest.raises(ValueError):
+        upsert(target, source, "k", always, on_duplicate="ignore")
