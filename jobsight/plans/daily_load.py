@@ -42,7 +42,7 @@ from jobsight.operators.upsert import upsert_table
 from jobsight.schemas import DIM_AREA, DIM_CURRENCY, DIM_EMPLOYER, DIM_EXPERIENCE, FACT_VACANCY
 from jobsight.session import storage_root
 from jobsight.sinks.versioned import read_current, read_run_log, record_run, refresh, write_version
-from jobsight.sources.pages import flatten_pages, has_bookmark, lookback, title_search
+from jobsight.sources.pages import flatten_pages, has_bookmark, lookback, pages_without_items, title_search
 
 FACT_RANGE_WIDTH = 1_000_000
 FACT_DIR = "fact_vacancy"
@@ -150,6 +150,9 @@ def load(
     root = root or storage_root(spark)
     items = flatten_pages(pages)
     if strict:
+        no_items = pages_without_items(pages)
+        if not no_items.isEmpty():
+            raise RequiredKeysMissing("pages without items, e.g. " + str(no_items.limit(5).collect()))
         bad = missing_required(items)
         if not bad.isEmpty():
             raise RequiredKeysMissing("items lack required keys, e.g. " + str(bad.limit(5).collect()))

@@ -137,3 +137,9 @@ def test_command_line(spark, scratch):
     assert sorted(os.listdir(os.path.join(scratch, "marts"))) == sorted(
         ["de_region", "da_region", "ds_region", "de_employer", "da_employer", "ds_employer", "vacancies"]
     )
+
+
+def test_strict_load_rejects_pages_without_items(spark, scratch):
+    pages = parse_pages(spark.createDataFrame([('{"page": 3}',)], "value string"))
+    with pytest.raises(D.RequiredKeysMissing, match="pages without items"):
+        D.load(spark, pages, root=scratch, phrases=None)
