@@ -67,6 +67,7 @@ def vacancy_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         sf_dir,
         "orders",
         ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+        key=["o_orderkey"],
     )
     customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None, by: list[str] | None = None) -> DataFrame:
     """Redistribute a scan that yields too few partitions to keep the cluster busy.
 
     A file that cannot be split (one Parquet row group, a gzip file) is read
@@ -23,16 +22,18 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
         return df
     if have * 2 >= want:
         return df
-    # Hash on the row's scan position: even, and the same on a retried task
-    # (a file scan yields rows in a fixed order), without the per-partition
-    # sort a round-robin repartition needs for that guarantee.
-    pos = "_scan_pos"
-    return df.withColumn(pos, F.monotonically_increasing_id()).repartition(want, pos).drop(pos)
+    # Hash on a unique key (``by``; default all columns): deterministic, so a
+    # retried task gets the same rows without the per-partition sort a
+    # round-robin repartition needs, and filters above still reach the scan.
+    # Hashing on a key rather than every column keeps column pruning.
+    return df.repartition(want, *(by or df.columns))
 
 
-def read_table(spark: SparkSession, root: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    """``root/name.parquet`` pruned to ``columns`` and spread if it is unsplittable."""
+def read_table(
+    spark: SparkSession, root: str, name: str, columns: list[str] | None = None, key: list[str] | None = None
+) -> DataFrame:
+    """``root/name.parquet`` with ``columns``, spread on ``key`` if it is unsplittable."""
     df = spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
     if columns:
         df = df.select(*columns)
-    return spread(df)
+    return spread(df, by=key)
