@@ -50,3 +50,12 @@ def test_fact_upsert_reads_only_touched_ranges(spark, scratch):
     target = D.touched_partitions(stored, source, 100)
     assert "dynamicpruningexpression" in _plan(target)
     assert target.count() == stored.where(F.col("vacancy_id") < 300).count()
+
+
+def test_lookback_reaches_the_source_scan(spark):
+    import __spark_entry__ as E
+
+    plan = _plan(E.queries()["ingest_lookback"](spark, SF_SMALL))
+    scan = next(line for line in plan.split("\n") if "FileScan parquet [o_orderkey" in line)
+    assert "GreaterThanOrEqual(o_orderdate" in scan
+    assert "o_totalprice" not in scan.split("ReadSchema:")[1]
