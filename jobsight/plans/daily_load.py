@@ -24,6 +24,7 @@ default):
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +57,9 @@ DIMENSIONS = [
 ]
 
 
+DIMENSION_COLUMNS = {t: (k, n) for t, k, n, _ in DIMENSIONS}
+
+
 class RequiredKeysMissing(ValueError):
     pass
 
@@ -164,15 +168,20 @@ def load(
     staging = refresh(distinct_records(records), root, "staging")
     record_run(spark, root, run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
 
-    result = LoadResult(staging)
-    for table, key, name, _ in DIMENSIONS:
-        source = as_dim(dim_candidates(staging, key, name), key, name)
+    def load_dimension(table: str) -> tuple[str, str]:
+        if table == "dim_currency":
+            source = as_currency_dim(currency_candidates(staging))
+        else:
+            key, name = DIMENSION_COLUMNS[table]
+            source = as_dim(dim_candidates(staging, key, name), key, name)
         merged = upsert_table(table, read_stored(spark, root, table), source, on_duplicate)
-        result.tables[table] = write_version(merged, root, table)
-    currency = upsert_table(
-        "dim_currency", read_stored(spark, root, "dim_currency"), as_currency_dim(currency_candidates(staging)), on_duplicate
-    )
-    result.tables["dim_currency"] = write_version(currency, root, "dim_currency")
+        return table, write_version(merged, root, table)
+
+    # The four dimensions depend only on staging, not on each other: their
+    # jobs run concurrently. The fact follows them, as its references require.
+    result = LoadResult(staging)
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        result.tables.update(pool.map(load_dimension, [t for t, *_ in DIMENSIONS] + ["dim_currency"]))
     result.tables["fact_vacancy"] = upsert_fact(
         spark, root, fact_candidates(staging), fact_range_width, on_duplicate
     )

@@ -38,21 +38,23 @@ def new_version_path(root: str, dataset: str) -> str:
 
 
 def commit(spark: SparkSession, root: str, dataset: str, path: str) -> None:
-    row = spark.createDataFrame([(dataset, path, _now())], MANIFEST_SCHEMA)
-    row.coalesce(1).write.mode("append").parquet(f"{root}/{MANIFEST}")
+    """Make ``path`` the current version of ``dataset``.
+
+    Each commit writes its own one-row entry directory, so commits of
+    different datasets (or processes) never share an output committer.
+    """
+    now = _now()
+    entry = f"{root}/{MANIFEST}/{dataset}/{now.strftime('%Y%m%dT%H%M%S%f')}-{uuid.uuid4().hex[:8]}"
+    spark.createDataFrame([(dataset, path, now)], MANIFEST_SCHEMA).coalesce(1).write.parquet(entry)
 
 
 def current_path(spark: SparkSession, root: str, dataset: str) -> str | None:
     """Newest committed version of ``dataset`` (one small aggregate)."""
     try:
-        manifest = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{root}/{MANIFEST}")
+        manifest = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{root}/{MANIFEST}/{dataset}/*")
     except Exception:  # noqa: BLE001 - no manifest yet
         return None
-    row = (
-        manifest.where(F.col("dataset") == dataset)
-        .agg(F.max_by("path", "committed_at").alias("path"))
-        .first()
-    )
+    row = manifest.agg(F.max_by("path", "committed_at").alias("path")).first()
     return None if row is None else row["path"]
 
 
