@@ -178,3 +178,31 @@ def grain_stats(fact: DataFrame, currency: DataFrame, key: str) -> DataFrame:
     priced_groups = level1.join(rates, level1[_CUR] == rates["currency_id"], "left")
     level2 = priced_groups.groupBy(key).agg(*_level2_aggs())
     return level2.select(key, *COUNT_COLS, *stat_final())
+
+
+def grain_stats_sets(fact: DataFrame, currency: DataFrame, grains: list[list[str]]) -> DataFrame:
+    """``grain_stats`` for several groupings in one scan of the fact.
+
+    ``grains`` lists the key columns of each grouping (e.g. role + area, role
+    + employer, role). The result has every key column (NULL where a
+    grouping does not use it), ``_set`` (the index into ``grains``) and the
+    7 counts and 17 stats of ``grain_stats``. Level 1 uses GROUPING SETS, so
+    each fact row is read once and partially aggregated for every grouping
+    before the one fact shuffle; level 2 groups the aggregated rows by
+    (``_set``, keys).
+    """
+    keys = sorted({k for g in grains for k in g})
+    graded = fact.withColumn(_GRADE, effective_grade("grade", "grade_experience"))
+    sets = [[*g, _CUR] for g in grains]
+    level1 = graded.groupingSets(sets, *keys, _CUR).agg(F.grouping_id().alias("_gid"), *_level1_aggs())
+    rates = lookup(currency, "currency_id", ["to_rub"])
+    priced_groups = level1.join(rates, level1[_CUR] == rates["currency_id"], "left")
+    level2 = priced_groups.groupBy("_gid", *keys).agg(*_level2_aggs())
+    # grouping_id sets bit i (from the left of ``keys + [currency]``) when that
+    # column is not grouped; map each bit pattern back to its grouping.
+    width = len(keys) + 1
+    gid_of = {
+        sum(1 << (width - 1 - i) for i, k in enumerate(keys) if k not in g): n for n, g in enumerate(grains)
+    }
+    set_index = F.element_at(F.create_map(*[F.lit(x) for kv in gid_of.items() for x in kv]), F.col("_gid"))
+    return level2.select(set_index.alias("_set"), *keys, *COUNT_COLS, *stat_final())

@@ -21,6 +21,7 @@ the reference's stats join is on ``=``.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -31,10 +32,12 @@ from jobsight.operators.aggregates import (
     COUNT_COLS,
     STAT_COLS,
     grain_stats,
+    grain_stats_sets,
     salary_ratio_final,
 )
 from jobsight.operators.joins import lookup
 from jobsight.operators.numbering import numbered
+from jobsight.session import storage_root
 
 
 @dataclass(frozen=True)
@@ -60,13 +63,7 @@ MARTS = {
 def per_key(fact: DataFrame, currency: DataFrame, grain_key: str, role: str | None = None) -> DataFrame:
     """Counts and stats per grain key in one aggregation; NULL key gets NULL stats."""
     rows = fact if role is None else fact.where(F.col("vacancy_name") == role)
-    stats = grain_stats(rows, currency, grain_key)
-    key_known = F.col(grain_key).isNotNull()
-    return stats.select(
-        grain_key,
-        *COUNT_COLS,
-        *[F.when(key_known, F.col(c)).alias(c) for c in STAT_COLS],
-    )
+    return _blank_null_key(grain_stats(rows, currency, grain_key), grain_key)
 
 
 def mart(
@@ -78,7 +75,17 @@ def mart(
     name_col: str | None = None,
 ) -> DataFrame:
     """One mart. ``dim`` has columns (``grain_key``, ``name``) with unique keys."""
-    keyed = per_key(fact, currency, grain_key, role)
+    return _finish(per_key(fact, currency, grain_key, role), grain_key, dim, name_col)
+
+
+def build_mart(name: str, fact: DataFrame, currency: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    spec = MARTS[name]
+    dim = None if spec.dim is None else dims[spec.dim]
+    return mart(fact, currency, spec.grain_key, spec.role, dim, spec.name_col)
+
+
+def _finish(keyed: DataFrame, grain_key: str, dim: DataFrame | None, name_col: str | None) -> DataFrame:
+    """Dimension names, the reference's regroup, ratios and numbering."""
     if dim is None:
         out = keyed
         head = [grain_key]
@@ -93,18 +100,35 @@ def mart(
     return numbered(out, [F.col(grain_key).asc_nulls_last()])
 
 
-def build_mart(name: str, fact: DataFrame, currency: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    spec = MARTS[name]
-    dim = None if spec.dim is None else dims[spec.dim]
-    return mart(fact, currency, spec.grain_key, spec.role, dim, spec.name_col)
+def _blank_null_key(stats: DataFrame, grain_key: str) -> DataFrame:
+    key_known = F.col(grain_key).isNotNull()
+    return stats.select(grain_key, *COUNT_COLS, *[F.when(key_known, F.col(c)).alias(c) for c in STAT_COLS])
 
 
 def publish(spark, fact: DataFrame, currency: DataFrame, dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """U8: register every mart as a temp view named like the reference's view."""
-    out = {}
-    for name, spec in MARTS.items():
-        df = build_mart(name, fact, currency, dims)
-        df.createOrReplaceTempView(spec.view)
-        out[spec.view] = df
+    """U8: all seven marts, registered as temp views named like the reference's.
+
+    The fact is scanned once: one GROUPING SETS aggregation yields the
+    per-key counts and stats for (role, area), (role, employer) and (role),
+    checkpointed (per-key rows only); each mart is a slice of it.
+    """
+    grains = [["vacancy_name", "area_id"], ["vacancy_name", "employer_id"], ["vacancy_name"]]
+    storage_root(spark)
+    stats = grain_stats_sets(fact, currency, grains).checkpoint(eager=True)
+
+    def finish(spec: MartSpec) -> tuple[str, DataFrame]:
+        grain = [spec.grain_key] if spec.grain_key == "vacancy_name" else ["vacancy_name", spec.grain_key]
+        rows = stats.where(F.col("_set") == grains.index(grain))
+        if spec.role is not None:
+            rows = rows.where(F.col("vacancy_name") == spec.role)
+        keyed = _blank_null_key(rows, spec.grain_key)
+        dim = None if spec.dim is None else dims[spec.dim]
+        return spec.view, _finish(keyed, spec.grain_key, dim, spec.name_col)
+
+    # The seven slices are independent: their (small) jobs run concurrently.
+    with ThreadPoolExecutor(max_workers=len(MARTS)) as pool:
+        out = dict(pool.map(finish, MARTS.values()))
+    for view, df in out.items():
+        df.createOrReplaceTempView(view)
     return out
 
