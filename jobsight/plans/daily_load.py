@@ -38,6 +38,7 @@ from jobsight.operators.candidates import (
     dim_candidates,
     fact_candidates,
 )
+from jobsight.operators.checks import duplicate_keys, orphans
 from jobsight.operators.normalise import distinct_records, missing_required, normalise
 from jobsight.operators.upsert import upsert_table
 from jobsight.schemas import DIM_AREA, DIM_CURRENCY, DIM_EMPLOYER, DIM_EXPERIENCE, FACT_VACANCY
@@ -188,6 +189,37 @@ def load(
     return result
 
 
+# Declared integrity of the stored star: unique dimension keys and the fact's
+# four references (NULL keys exempt in both).
+FOREIGN_KEYS = [
+    ("employer_id", "dim_employer"),
+    ("experience_id", "dim_experience"),
+    ("area_id", "dim_area"),
+    ("salary_currency", "dim_currency"),
+]
+DIMENSION_KEYS = {"dim_area": "area_id", "dim_employer": "employer_id", "dim_experience": "experience_id",
+                  "dim_currency": "currency_id"}
+
+
+def verify(spark: SparkSession, root: str | None = None, fact: DataFrame | None = None) -> dict[str, int]:
+    """Q1/Q2 over the stored star: duplicate dimension keys and orphan fact keys.
+
+    Returns the number of violations per constraint (all 0 for a healthy
+    star). Dimensions never lose rows, so only facts written since the last
+    check can break a reference: pass them as ``fact`` to check just those
+    instead of the whole fact table.
+    """
+    root = root or storage_root(spark)
+    fact = read_fact(spark, root) if fact is None else fact
+    report = {}
+    for table, key in DIMENSION_KEYS.items():
+        report[f"unique:{table}"] = duplicate_keys(read_stored(spark, root, table), key).count()
+    for column, table in FOREIGN_KEYS:
+        dim = read_stored(spark, root, table)
+        report[f"fk:{column}"] = orphans(fact, dim, column, DIMENSION_KEYS[table]).count()
+    return report
+
+
 def marts(spark: SparkSession, root: str | None = None) -> dict[str, DataFrame]:
     """U8: the seven marts over the stored star, registered as temp views."""
     from jobsight.plans.marts import publish

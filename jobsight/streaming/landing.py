@@ -41,9 +41,14 @@ def start_landing_ingest(
     checkpoint: str | None = None,
     as_of: Callable[[], dt.datetime] | None = None,
     available_now: bool = True,
+    max_files_per_trigger: int | None = None,
     **load_options,
 ) -> StreamingQuery:
-    """Start the stream; ``as_of()`` gives each micro-batch its run date."""
+    """Start the stream; ``as_of()`` gives each micro-batch its run date.
+
+    ``max_files_per_trigger`` bounds a micro-batch, so a backlog of landed
+    pages is worked off in several loads instead of one oversized one.
+    """
     root = root or storage_root(spark)
     checkpoint = checkpoint or f"{root}/_streams/landing_ingest"
 
@@ -52,7 +57,7 @@ def start_landing_ingest(
             return
         load(spark, pages, root=root, as_of=as_of() if as_of else None, **load_options)
 
-    writer = page_stream(spark, landing_dir).writeStream.foreachBatch(run_batch).option(
+    writer = page_stream(spark, landing_dir, max_files_per_trigger).writeStream.foreachBatch(run_batch).option(
         "checkpointLocation", checkpoint
     )
     if available_now:

@@ -75,6 +75,8 @@ def test_two_day_load(spark, scratch):
     assert spark.read.parquet(f"{scratch}/setup").count() == 2
     assert D.read_stored(spark, scratch, "dim_area").where(F.col("area_id").isNull()).count() == 2
 
+    assert set(D.verify(spark, scratch).values()) == {0}
+
     views = D.marts(spark, scratch)
     stored = views["de_region"]
     direct = mart(
