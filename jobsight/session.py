@@ -18,6 +18,9 @@ SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Checkpointed rows go through the RDD serializer; Kryo writes UnsafeRow
+    # natively instead of through Java serialization.
+    "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
     # Remove reliable checkpoints once no DataFrame refers to them.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
