@@ -17,6 +17,9 @@ The regroup reproduces the reference exactly even for fact keys missing
 from the dimension: those rows fall into NULL-key rows, merged when their
 stats agree. The NULL grain key keeps its counts but gets NULL stats, since
 the reference's stats join is on ``=``.
+
+``mart`` builds one mart (the registered queries); ``publish`` builds all
+seven from a single GROUPING SETS scan of the fact (the daily path).
 """
 
 from __future__ import annotations
@@ -60,6 +63,27 @@ MARTS = {
 }
 
 
+def _finish(keyed: DataFrame, grain_key: str, dim: DataFrame | None, name_col: str | None) -> DataFrame:
+    """Dimension names, the reference's regroup, ratios and numbering."""
+    if dim is None:
+        out = keyed
+        head = [grain_key]
+    else:
+        names = lookup(dim, grain_key, ["name"]).withColumnRenamed(grain_key, "_dim_key")
+        joined = keyed.join(names, keyed[grain_key] == names["_dim_key"], "left")
+        out = joined.groupBy(
+            F.col("_dim_key").alias(grain_key), F.col("name").alias(name_col), *STAT_COLS
+        ).agg(*[F.sum(c).alias(c) for c in COUNT_COLS])
+        head = [grain_key, name_col]
+    out = out.select(*head, *COUNT_COLS, *STAT_COLS, *salary_ratio_final())
+    return numbered(out, [F.col(grain_key).asc_nulls_last()])
+
+
+def _blank_null_key(stats: DataFrame, grain_key: str) -> DataFrame:
+    key_known = F.col(grain_key).isNotNull()
+    return stats.select(grain_key, *COUNT_COLS, *[F.when(key_known, F.col(c)).alias(c) for c in STAT_COLS])
+
+
 def per_key(fact: DataFrame, currency: DataFrame, grain_key: str, role: str | None = None) -> DataFrame:
     """Counts and stats per grain key in one aggregation; NULL key gets NULL stats."""
     rows = fact if role is None else fact.where(F.col("vacancy_name") == role)
@@ -84,27 +108,6 @@ def build_mart(name: str, fact: DataFrame, currency: DataFrame, dims: dict[str,
     return mart(fact, currency, spec.grain_key, spec.role, dim, spec.name_col)
 
 
-def _finish(keyed: DataFrame, grain_key: str, dim: DataFrame | None, name_col: str | None) -> DataFrame:
-    """Dimension names, the reference's regroup, ratios and numbering."""
-    if dim is None:
-        out = keyed
-        head = [grain_key]
-    else:
-        names = lookup(dim, grain_key, ["name"]).withColumnRenamed(grain_key, "_dim_key")
-        joined = keyed.join(names, keyed[grain_key] == names["_dim_key"], "left")
-        out = joined.groupBy(
-            F.col("_dim_key").alias(grain_key), F.col("name").alias(name_col), *STAT_COLS
-        ).agg(*[F.sum(c).alias(c) for c in COUNT_COLS])
-        head = [grain_key, name_col]
-    out = out.select(*head, *COUNT_COLS, *STAT_COLS, *salary_ratio_final())
-    return numbered(out, [F.col(grain_key).asc_nulls_last()])
-
-
-def _blank_null_key(stats: DataFrame, grain_key: str) -> DataFrame:
-    key_known = F.col(grain_key).isNotNull()
-    return stats.select(grain_key, *COUNT_COLS, *[F.when(key_known, F.col(c)).alias(c) for c in STAT_COLS])
-
-
 def publish(spark, fact: DataFrame, currency: DataFrame, dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """U8: all seven marts, registered as temp views named like the reference's.
 
