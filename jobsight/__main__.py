@@ -1,6 +1,7 @@
 """Command line: run the daily load, or write the marts.
 
     python -m jobsight load  --pages <landing dir> [--as-of 2023-11-01] [--root <dir>] [--no-search] [--lenient]
+                             [--multiline]
     python -m jobsight marts --out <dir> [--root <dir>]
 
 ``--root`` defaults to the session's ``spark.checkpoint.dir`` (shared storage
@@ -26,6 +27,7 @@ def main(argv: list[str] | None = None) -> None:
     load.add_argument("--root", default=None)
     load.add_argument("--no-search", action="store_true", help="skip the title search predicate")
     load.add_argument("--lenient", action="store_true", help="load items that lack required keys")
+    load.add_argument("--multiline", action="store_true", help="one JSON document per file (not JSON lines)")
     marts = sub.add_parser("marts", help="write the seven marts as Parquet")
     marts.add_argument("--out", required=True)
     marts.add_argument("--root", default=None)
@@ -35,7 +37,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.cmd == "load":
         daily_load.load(
             spark,
-            read_pages(spark, args.pages),
+            read_pages(spark, args.pages, multiline=args.multiline),
             root=args.root,
             as_of=args.as_of,
             phrases=None if args.no_search else daily_load.SEARCH_PHRASES,

@@ -22,9 +22,13 @@ FIRST_RUN_DAYS = 30
 DAILY_DAYS = 1
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Pages landed as JSON lines under ``path`` (columns of ``schemas.PAGE``)."""
-    return spark.read.schema(PAGE).json(path)
+def read_pages(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """Pages landed under ``path`` (columns of ``schemas.PAGE``).
+
+    JSON lines by default (splittable, one page per line); ``multiline`` reads
+    one whole JSON document per file, as an API response saved verbatim.
+    """
+    return spark.read.schema(PAGE).option("multiLine", str(multiline).lower()).json(path)
 
 
 def parse_pages(df: DataFrame, text_col: str = "value") -> DataFrame:

@@ -122,3 +122,22 @@ def test_distinct_drops_identical_copies_only(spark):
     a, b = _item(id="1"), _item(id="1", name="Other")
     df = distinct_records(normalise(_items(spark, a, a, b)))
     assert df.count() == 2
+
+
+def test_read_pages_from_files(spark, scratch):
+    import os
+
+    from jobsight.sources.pages import read_pages
+
+    doc = {"page": 0, "pages": 1, "found": 2, "items": [_item(id="1"), _item(id="2", archived="true")]}
+    lines = os.path.join(scratch, "lines")
+    os.makedirs(lines)
+    with open(os.path.join(lines, "p0.json"), "w", encoding="utf-8") as f:
+        f.write(json.dumps(doc, ensure_ascii=False) + "\n")
+    pretty = os.path.join(scratch, "pretty")
+    os.makedirs(pretty)
+    with open(os.path.join(pretty, "p0.json"), "w", encoding="utf-8") as f:
+        json.dump(doc, f, ensure_ascii=False, indent=2)
+    for path, multiline in ((lines, False), (pretty, True)):
+        got = normalise(flatten_pages(read_pages(spark, path, multiline))).orderBy("id").collect()
+        assert [(r["id"], r["is_archive"]) for r in got] == [(1, False), (2, True)]
