@@ -156,6 +156,10 @@ def load(
     item lacking a key the reference reads unconditionally stops the load.
     """
     root = root or storage_root(spark)
+    if strict:
+        # The checks and the load each read the pages: parse the JSON once
+        # into a reliable checkpoint and let all three read that.
+        pages = pages.checkpoint(eager=True)
     items = flatten_pages(pages)
     if strict:
         no_items = pages_without_items(pages)
