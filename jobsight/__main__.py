@@ -3,6 +3,7 @@
     python -m jobsight load  --pages <landing dir> [--as-of 2023-11-01] [--root <dir>] [--no-search] [--lenient]
                              [--multiline]
     python -m jobsight marts --out <dir> [--root <dir>]
+    python -m jobsight sql "SELECT * FROM data_mart.de_region" [--out <dir>] [--root <dir>]
 
 ``--root`` defaults to the session's ``spark.checkpoint.dir`` (shared storage
 on a cluster). Submit with ``spark-submit -m jobsight`` or run under a
@@ -31,6 +32,10 @@ def main(argv: list[str] | None = None) -> None:
     marts = sub.add_parser("marts", help="write the seven marts as Parquet")
     marts.add_argument("--out", required=True)
     marts.add_argument("--root", default=None)
+    sql = sub.add_parser("sql", help="run SQL over staging.*, settings.*, core.* and data_mart.* tables")
+    sql.add_argument("statement")
+    sql.add_argument("--out", default=None, help="write the result as Parquet (default: show the first rows)")
+    sql.add_argument("--root", default=None)
     args = parser.parse_args(argv)
 
     spark = build_session()
@@ -43,9 +48,16 @@ def main(argv: list[str] | None = None) -> None:
             phrases=None if args.no_search else daily_load.SEARCH_PHRASES,
             strict=not args.lenient,
         )
-    else:
+    elif args.cmd == "marts":
         for view, df in daily_load.marts(spark, args.root).items():
             df.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{view}")
+    else:
+        daily_load.register_tables(spark, args.root, with_marts="data_mart." in args.statement)
+        result = spark.sql(args.statement)
+        if args.out:
+            result.write.mode("overwrite").parquet(args.out)
+        else:
+            result.show(truncate=False)
 
 
 if __name__ == "__main__":

@@ -43,7 +43,7 @@ from jobsight.operators.normalise import distinct_records, missing_required, nor
 from jobsight.operators.upsert import upsert_table
 from jobsight.schemas import DIM_AREA, DIM_CURRENCY, DIM_EMPLOYER, DIM_EXPERIENCE, FACT_VACANCY
 from jobsight.session import storage_root
-from jobsight.sinks.versioned import read_current, read_run_log, record_run, refresh, write_version
+from jobsight.sinks.versioned import current_path, read_current, read_run_log, record_run, refresh, write_version
 from jobsight.sources.pages import flatten_pages, has_bookmark, lookback, pages_without_items, title_search
 
 FACT_RANGE_WIDTH = 1_000_000
@@ -237,3 +237,50 @@ def marts(spark: SparkSession, root: str | None = None) -> dict[str, DataFrame]:
         "employer": read_stored(spark, root, "dim_employer"),
     }
     return publish(spark, read_fact(spark, root), read_stored(spark, root, "dim_currency"), dims)
+
+
+# ---------------------------------------------------------------------------
+# SQL surface: the reference's schema-qualified names as external tables.
+# ---------------------------------------------------------------------------
+DATABASES = ["staging", "settings", "core", "data_mart"]
+
+
+def _external(spark: SparkSession, name: str, path: str, partitioned: bool = False) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: the files stay
+    spark.catalog.createTable(name, path=path, source="parquet")
+    if partitioned:
+        spark.catalog.recoverPartitions(name)
+
+
+def register_tables(spark: SparkSession, root: str | None = None, with_marts: bool = True) -> list[str]:
+    """Expose the stored star under the reference's names for Spark SQL.
+
+    ``staging.vacancy``, ``settings.setup``, ``core.dim_*``, ``core.fact_vacancy``
+    and (with ``with_marts``) ``data_mart.<view>`` become external tables over
+    the current versions, so SQL written against those names runs unchanged.
+    The marts are materialised as new versions first (the reference computes
+    its views on read; here they are refreshed once per load). Databases are
+    created under ``root`` so nothing is written elsewhere.
+    """
+    root = root or storage_root(spark)
+    for db in DATABASES:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}/_catalog/{db}.db'")
+    names = []
+    staging = current_path(spark, root, "staging")
+    if staging:
+        _external(spark, "staging.vacancy", staging)
+        names.append("staging.vacancy")
+    _external(spark, "settings.setup", f"{root}/setup")
+    names.append("settings.setup")
+    for table in [t for t, *_ in DIMENSIONS] + ["dim_currency"]:
+        path = current_path(spark, root, table)
+        if path:
+            _external(spark, f"core.{table}", path)
+            names.append(f"core.{table}")
+    _external(spark, "core.fact_vacancy", _fact_path(root), partitioned=True)
+    names.append("core.fact_vacancy")
+    if with_marts:
+        for view, df in marts(spark, root).items():
+            _external(spark, f"data_mart.{view}", write_version(df, root, f"data_mart_{view}"))
+            names.append(f"data_mart.{view}")
+    return names

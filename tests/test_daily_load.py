@@ -90,6 +90,18 @@ def test_two_day_load(spark, scratch):
     assert _as_set(stored, stored.columns) == _as_set(direct, stored.columns)
     assert spark.sql("SELECT count(*) FROM de_region").first()[0] == stored.count()
 
+    # The reference's schema-qualified names work in Spark SQL.
+    names = D.register_tables(spark, scratch)
+    assert "core.fact_vacancy" in names and "data_mart.vacancies" in names
+    assert spark.sql("SELECT count(*) FROM core.fact_vacancy").first()[0] == D.read_fact(spark, scratch).count()
+    assert _as_set(spark.table("data_mart.de_region"), stored.columns) == _as_set(stored, stored.columns)
+    joined = spark.sql(
+        "SELECT v.vacancy_name, count(*) AS n, count(c.to_rub) AS priced "
+        "FROM core.fact_vacancy AS v LEFT JOIN core.dim_currency AS c ON v.salary_currency = c.currency_id "
+        "GROUP BY v.vacancy_name"
+    )
+    assert sum(r["n"] for r in joined.collect()) == D.read_fact(spark, scratch).count()
+
 
 def test_stream_runs_the_same_load(spark, scratch):
     pages1, pages2 = _batches(spark)
@@ -136,6 +148,9 @@ def test_command_line(spark, scratch):
     main(["marts", "--root", root, "--out", os.path.join(scratch, "marts")])
     written = spark.read.parquet(os.path.join(scratch, "marts", "de_region"))
     assert written.count() > 0 and len(written.columns) == 32
+    out = os.path.join(scratch, "sql-out")
+    main(["sql", "SELECT area_id, cnt_vacancy FROM data_mart.de_region", "--root", root, "--out", out])
+    assert spark.read.parquet(out).count() == written.count()
     assert sorted(os.listdir(os.path.join(scratch, "marts"))) == sorted(
         ["de_region", "da_region", "ds_region", "de_employer", "da_employer", "ds_employer", "vacancies"]
     )
