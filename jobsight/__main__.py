@@ -4,6 +4,7 @@
                              [--multiline]
     python -m jobsight marts --out <dir> [--root <dir>]
     python -m jobsight sql "SELECT * FROM data_mart.de_region" [--out <dir>] [--root <dir>]
+    python -m jobsight verify [--root <dir>]
 
 ``--root`` defaults to the session's ``spark.checkpoint.dir`` (shared storage
 on a cluster). Submit with ``spark-submit -m jobsight`` or run under a
@@ -13,6 +14,7 @@ configured ``SPARK_HOME``.
 from __future__ import annotations
 
 import argparse
+import json
 
 from jobsight.plans import daily_load
 from jobsight.session import build_session
@@ -36,6 +38,8 @@ def main(argv: list[str] | None = None) -> None:
     sql.add_argument("statement")
     sql.add_argument("--out", default=None, help="write the result as Parquet (default: show the first rows)")
     sql.add_argument("--root", default=None)
+    verify = sub.add_parser("verify", help="unique and foreign-key checks over the stored star (JSON report)")
+    verify.add_argument("--root", default=None)
     args = parser.parse_args(argv)
 
     spark = build_session()
@@ -48,6 +52,11 @@ def main(argv: list[str] | None = None) -> None:
             phrases=None if args.no_search else daily_load.SEARCH_PHRASES,
             strict=not args.lenient,
         )
+    elif args.cmd == "verify":
+        report = daily_load.verify(spark, args.root)
+        print(json.dumps(report))
+        if any(report.values()):
+            raise SystemExit(1)
     elif args.cmd == "marts":
         for view, df in daily_load.marts(spark, args.root).items():
             df.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{view}")

@@ -114,6 +114,10 @@ def upsert_fact(
     """U7 on the range-partitioned fact: merge and replace only touched partitions."""
     path = _fact_path(root)
     rng = _range_of(width)
+    storage_root(spark)
+    # The duplicate check, the touched-range probe and the merge all read the
+    # batch: compute its DISTINCT candidates once.
+    source = source.checkpoint(eager=True)
     try:
         target = touched_partitions(spark.read.parquet(path), source, width)
     except Exception:  # noqa: BLE001 - first load
@@ -123,7 +127,6 @@ def upsert_fact(
     # on the partitions they replace, and a retried write task re-reads them
     # instead of re-running the merge. One task writes each range: a range
     # holds at most ``width`` distinct ids, so no task grows with the data.
-    storage_root(spark)
     (
         merged.checkpoint(eager=True)
         .repartition(RANGE_COL)

@@ -148,6 +148,7 @@ def test_command_line(spark, scratch):
     main(["marts", "--root", root, "--out", os.path.join(scratch, "marts")])
     written = spark.read.parquet(os.path.join(scratch, "marts", "de_region"))
     assert written.count() > 0 and len(written.columns) == 32
+    main(["verify", "--root", root])  # exits non-zero on a violation
     out = os.path.join(scratch, "sql-out")
     main(["sql", "SELECT area_id, cnt_vacancy FROM data_mart.de_region", "--root", root, "--out", out])
     assert spark.read.parquet(out).count() == written.count()
