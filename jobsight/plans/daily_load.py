@@ -44,7 +44,14 @@ from jobsight.operators.upsert import upsert_table
 from jobsight.schemas import DIM_AREA, DIM_CURRENCY, DIM_EMPLOYER, DIM_EXPERIENCE, FACT_VACANCY
 from jobsight.session import storage_root
 from jobsight.sinks.versioned import current_path, read_current, read_run_log, record_run, refresh, write_version
-from jobsight.sources.pages import flatten_pages, has_bookmark, lookback, pages_without_items, title_search
+from jobsight.sources.pages import (
+    flatten_pages,
+    has_bookmark,
+    lookback,
+    lookback_landing,
+    pages_without_items,
+    title_search,
+)
 
 FACT_RANGE_WIDTH = 1_000_000
 FACT_DIR = "fact_vacancy"
@@ -151,14 +158,21 @@ def load(
     strict: bool = True,
     on_duplicate: str = "error",
     fact_range_width: int = FACT_RANGE_WIDTH,
+    landing_date: str | None = "date",
 ) -> LoadResult:
     """Run one daily load of landed ``pages`` (columns of ``schemas.PAGE``).
 
     ``as_of`` is the run date the lookback window ends at (None: no window);
-    ``phrases`` the title search (None: no search). With ``strict`` a page
+    pages landed in ``<landing_date>=YYYY-MM-DD`` folders outside the window
+    are pruned unread. ``phrases`` is the title search (None: no search). With ``strict`` a page
     item lacking a key the reference reads unconditionally stops the load.
     """
     root = root or storage_root(spark)
+    bookmarked = None
+    if as_of is not None:
+        bookmarked = has_bookmark(read_run_log(spark, root))
+        if landing_date and landing_date in pages.columns:
+            pages = lookback_landing(pages, as_of, bookmarked, landing_date)
     if strict:
         # The checks and the load each read the pages: parse the JSON once
         # into a reliable checkpoint and let all three read that.
@@ -175,7 +189,7 @@ def load(
     if phrases:
         records = title_search(records, phrases)
     if as_of is not None:
-        records = lookback(records, as_of, has_bookmark(read_run_log(spark, root)))
+        records = lookback(records, as_of, bookmarked)
     staging = refresh(distinct_records(records), root, "staging")
     record_run(spark, root, run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
 

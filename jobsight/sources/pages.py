@@ -66,6 +66,20 @@ def lookback(df: DataFrame, as_of: dt.datetime | str, has_bookmark: bool, column
     return df.where(F.col(column) >= start)
 
 
+def lookback_landing(
+    pages: DataFrame, as_of: dt.datetime | str, has_bookmark: bool, landing_date: str = "date"
+) -> DataFrame:
+    """S3 on the landing folders: drop pages landed before the window starts.
+
+    With pages landed under ``<landing_date>=YYYY-MM-DD/`` folders this is a
+    partition filter, so those folders are never listed or read. It is exact:
+    a page is landed no earlier than its items were published, so a page
+    landed before the window holds only items published before it.
+    """
+    start = F.to_date(F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(F.lit(lookback_days(has_bookmark))))
+    return pages.where(F.col(landing_date) >= start)
+
+
 def has_bookmark(run_log: DataFrame) -> bool:
     """Has any run completed staging? Reads at most one row."""
     return not run_log.isEmpty()

@@ -1,7 +1,9 @@
 """Two-day load end to end, and the same load driven by a file stream."""
 
 import glob
+import json
 import os
+import re
 import shutil
 
 import pytest
@@ -161,3 +163,25 @@ def test_strict_load_rejects_pages_without_items(spark, scratch):
     pages = parse_pages(spark.createDataFrame([('{"page": 3}',)], "value string"))
     with pytest.raises(D.RequiredKeysMissing, match="pages without items"):
         D.load(spark, pages, root=scratch, phrases=None)
+
+
+def test_lookback_prunes_landing_folders(spark, scratch):
+    from jobsight.sources.pages import read_pages
+
+    item = {"id": "1", "name": "Data Engineer", "published_at": "2023-11-01T10:00:00+0300", "archived": False,
+            "type": {"id": "open"}, "employer": {"id": "5", "name": "E"}, "experience": {"id": "noExperience"},
+            "area": {"id": "1", "name": "A"}, "salary": None}
+    landing = os.path.join(scratch, "landing")
+    for day, pid in (("2023-10-01", "1"), ("2023-11-01", "2")):
+        d = os.path.join(landing, f"date={day}")
+        os.makedirs(d)
+        with open(os.path.join(d, "p.json"), "w") as f:
+            f.write(json.dumps({"page": 0, "items": [dict(item, id=pid)]}) + "\n")
+    pages = read_pages(spark, landing)
+    # First run: a 30-day window ending 2023-11-01 keeps only the second folder.
+    kept = D.lookback_landing(pages, "2023-11-01", has_bookmark=False)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[isnotnull\(date#\d+\), \(date#\d+ >= 2023-10-02\)\]", plan), plan
+    assert kept.count() == 1
+    D.load(spark, pages, root=os.path.join(scratch, "wh"), as_of="2023-11-01", phrases=None)
+    assert [r["vacancy_id"] for r in D.read_fact(spark, os.path.join(scratch, "wh")).collect()] == [2]
