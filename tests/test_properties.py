@@ -157,3 +157,24 @@ def test_upsert_matches_merge_model(spark, target, source):
     schema = "k int, name string"
     got = upsert(spark.createDataFrame(target, schema), spark.createDataFrame(source, schema), "k", name_changed)
     assert sorted((tuple(r) for r in got.collect()), key=repr) == _model_merge(target, source)
+
+
+def test_mart_counts_add_up(spark):
+    """SURVEY §5.3: per mart, counts add up to (or stay below) the fact rows."""
+    from pyspark.sql import functions as F
+
+    from jobsight.plans.catalog import star
+    from jobsight.plans.marts import build_mart
+
+    s = star(spark, "/root/testdata/sf0.001")
+    facts = s.fact.groupBy("vacancy_name").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("is_open").cast("int")).alias("open")
+    ).collect()
+    by_role = {r["vacancy_name"]: r for r in facts}
+    vac = {r["vacancy_name"]: r for r in build_mart("mart_vacancies", s.fact, s.currency, s.dims).collect()}
+    for role, r in by_role.items():
+        m = vac[role]
+        graded = sum(m[c] or 0 for c in ("cnt_intern", "cnt_junior", "cnt_middle", "cnt_senior"))
+        assert m["cnt_vacancy"] == r["open"] and graded <= r["n"] and m["cnt_vac_salary"] <= r["n"]
+    region = build_mart("mart_de_region", s.fact, s.currency, s.dims).agg(F.sum("cnt_vacancy")).first()[0]
+    assert region == by_role["Инженер данных"]["open"]
