@@ -164,8 +164,10 @@ def load(
 
     ``as_of`` is the run date the lookback window ends at (None: no window);
     pages landed in ``<landing_date>=YYYY-MM-DD`` folders outside the window
-    are pruned unread. ``phrases`` is the title search (None: no search). With ``strict`` a page
-    item lacking a key the reference reads unconditionally stops the load.
+    are pruned unread. ``phrases`` is the title search (None: no search).
+    With ``strict``, a page without items, or an item lacking a key the
+    reference reads unconditionally (or holding a value its tables reject),
+    stops the load before anything is written.
     """
     root = root or storage_root(spark)
     bookmarked = None
