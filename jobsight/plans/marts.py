@@ -10,8 +10,9 @@ only the small per-key result is joined to the dimension and regrouped:
       -> ⟕ currency on aggregated rows, convert exactly
       -> exchange(grain key) -> agg                           # aggregated rows only
       -> ⟕ dimension (per-key rows; broadcast if small, else only the dim moves)
-      -> regroup by (dim key, dim name, stats)                 # per-key rows only
-      -> ratios -> numbering (range exchange, no 1-task window)
+      -> exchange(range of dim key)                           # per-key rows only
+      -> regroup by (dim key, dim name, stats), ratios
+      -> numbering (sorted within the range partitions, no 1-task window)
 
 The regroup reproduces the reference exactly even for fact keys missing
 from the dimension: those rows fall into NULL-key rows, merged when their
@@ -71,6 +72,10 @@ def _finish(keyed: DataFrame, grain_key: str, dim: DataFrame | None, name_col: s
     else:
         names = lookup(dim, grain_key, ["name"]).withColumnRenamed(grain_key, "_dim_key")
         joined = keyed.join(names, keyed[grain_key] == names["_dim_key"], "left")
+        # Range-partition by the output key once: it clusters the regroup
+        # below and is already the order the numbering sorts by, so neither
+        # needs a shuffle of its own.
+        joined = joined.repartitionByRange(F.col("_dim_key").asc_nulls_last())
         out = joined.groupBy(
             F.col("_dim_key").alias(grain_key), F.col("name").alias(name_col), *STAT_COLS
         ).agg(*[F.sum(c).alias(c) for c in COUNT_COLS])
