@@ -42,16 +42,17 @@ def _round2(x: Decimal) -> Decimal:
     return x.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
 
 
-def _model_mart(rows, dim, role):
-    rows = [r for r in rows if r["vacancy_name"] == role]
+def _model_mart(rows, dim, role, key="area_id"):
+    if role is not None:
+        rows = [r for r in rows if r["vacancy_name"] == role]
 
     def rub(v, cur):
         rate = RATES.get(cur)
         return None if v is None or rate is None else v * rate
 
     stats = {}
-    for key in {r["area_id"] for r in rows}:
-        grp = [r for r in rows if r["area_id"] == key]  # NULL keys form one group
+    for k in {r[key] for r in rows}:
+        grp = [r for r in rows if r[key] == k]  # NULL keys form one group
         s = {}
         for g, sfx in SUFFIX.items():
             eg = [r for r in grp if (r["grade"] or r["grade_experience"]) == g]
@@ -67,14 +68,14 @@ def _model_mart(rows, dim, role):
         highs = [v for v in (rub(r["salary_to"], r["salary_currency"]) for r in grp) if v is not None]
         s["min_salary"] = min(lows) if lows else None
         s["max_salary"] = max(highs) if highs else None
-        stats[key] = s
-    names = dict(dim)
+        stats[k] = s
+    names = dict(dim) if dim is not None else None
     out = {}
     for r in rows:
-        k = r["area_id"]
-        dim_key = k if k in names else None
+        k = r[key]
+        dim_key = k if names is None or k in names else None
         st_ = stats[k] if k is not None else {c: None for c in next(iter(stats.values()))}
-        group = (dim_key, names.get(dim_key), tuple(sorted(st_.items())))
+        group = (dim_key, None if names is None else names.get(dim_key), tuple(sorted(st_.items())))
         acc = out.setdefault(group, {"cnt_vacancy": 0, "cnt_vac_salary": 0, "cnt_junior": None, "cnt_lead": None})
         acc["cnt_vacancy"] += 1 if r["is_open"] else 0
         acc["cnt_vac_salary"] += 1 if (r["salary_from"] is not None or r["salary_to"] is not None) else 0
@@ -84,7 +85,7 @@ def _model_mart(rows, dim, role):
             acc["cnt_lead"] = (acc["cnt_lead"] or 0) + 1
     result = []
     for (k, name, st_items), acc in out.items():
-        row = {"area_id": k, "area_name": name, **acc, **dict(st_items)}
+        row = {key: k, "area_name": name, **acc, **dict(st_items)}
         mx = row["max_salary"]
         for sfx in SUFFIX.values():
             a = row[f"avg_sal_{sfx}"]
@@ -132,6 +133,36 @@ def test_mart_matches_reference_model(spark, raw, role):
     assert ids == list(range(1, len(got) + 1))
 
 
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(fact_row, min_size=1, max_size=40))
+def test_role_mart_matches_reference_model(spark, raw):
+    """The vacancies shape: grain = role, no dimension, NULL role kept with blank stats."""
+    rows = [
+        dict(zip(["vacancy_name", "grade", "grade_experience", "is_open", "area_id", "salary_from", "salary_to",
+                  "salary_currency"], r))
+        for r in raw
+    ]
+    rows = [r for r in rows if r["salary_to"] is None or r["salary_to"] > 0]
+    if not rows:
+        return
+    fact = spark.createDataFrame(
+        [
+            (i, r["vacancy_name"], r["grade"], r["grade_experience"], TS, False, r["is_open"], None, None,
+             r["area_id"], r["salary_from"], r["salary_to"], False, r["salary_currency"])
+            for i, r in enumerate(rows)
+        ],
+        FACT_VACANCY,
+    )
+    currency = spark.createDataFrame(list(RATES.items()), DIM_CURRENCY)
+    got = mart(fact, currency, "vacancy_name").collect()
+    want = _model_mart(rows, None, None, key="vacancy_name")
+    cols = ["vacancy_name"] + COMPARED[2:]
+    g = sorted((tuple(_norm(r[c]) for c in cols) for r in got), key=repr)
+    w = sorted((tuple(_norm(r[c]) for c in cols) for r in want), key=repr)
+    assert g == w
+    assert sorted(r["id"] for r in got) == list(range(1, len(got) + 1))
+
+
 key = st.one_of(st.none(), st.integers(1, 8))
 name = st.sampled_from([None, "", "a", "b"])
 
