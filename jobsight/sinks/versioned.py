@@ -1,10 +1,11 @@
 """Versioned datasets under the shared storage folder.
 
 A refresh never overwrites what readers may be reading: each write goes to a
-fresh version directory, and only after the write has committed is a row
-appended to the dataset's manifest. Readers take the newest manifest row. A
-failed or retried task leaves at most an uncommitted directory nobody points
-at, so the reference's truncate-then-insert retry hazard cannot occur.
+fresh version directory, and only after the write has committed is a manifest
+entry written for it (its own one-row directory). Readers take the newest
+entry. A failed or retried task leaves at most an uncommitted directory
+nobody points at, so the reference's truncate-then-insert retry hazard cannot
+occur. Old versions stay readable until a retention policy removes them.
 """
 
 from __future__ import annotations
