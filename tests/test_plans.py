@@ -59,3 +59,36 @@ def test_lookback_reaches_the_source_scan(spark):
     scan = next(line for line in plan.split("\n") if "FileScan parquet [o_orderkey" in line)
     assert "GreaterThanOrEqual(o_orderdate" in scan
     assert "o_totalprice" not in scan.split("ReadSchema:")[1]
+
+
+def test_hot_key_beyond_broadcast_is_split_by_aqe(spark):
+    """A third of the fact on one key, broadcasts disabled: AQE splits the hot partition."""
+    from pyspark.sql import functions as F
+
+    from jobsight.operators.checks import nullify_orphans
+
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    saved = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        hot = F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 500 + 2).cast("int")
+        fact = spark.range(30000).select(F.col("id").alias("vacancy_id"), hot.alias("area_id"))
+        dim = spark.range(1, 400).select(F.col("id").cast("int").alias("area_id"), F.lit("x").alias("name"))
+        out = nullify_orphans(fact, dim, "area_id")
+        rows = out.collect()
+        assert "SortMergeJoin(skew=true)" in _plan(out)
+        assert len(rows) == 30000 and sum(r["area_id"] is None for r in rows) == 30000 - fact.where("area_id < 400").count()
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
