@@ -38,10 +38,10 @@ from jobsight.operators.candidates import (
     dim_candidates,
     fact_candidates,
 )
-from jobsight.operators.checks import duplicate_keys, orphans
+from jobsight.operators.checks import duplicate_keys, orphans, over_length
 from jobsight.operators.normalise import distinct_records, missing_required, normalise
 from jobsight.operators.upsert import upsert_table
-from jobsight.schemas import DIM_AREA, DIM_CURRENCY, DIM_EMPLOYER, DIM_EXPERIENCE, FACT_VACANCY
+from jobsight.schemas import DIM_AREA, DIM_CURRENCY, DIM_EMPLOYER, DIM_EXPERIENCE, FACT_VACANCY, VARCHAR_LIMITS
 from jobsight.session import storage_root
 from jobsight.sinks.versioned import current_path, read_current, read_run_log, record_run, refresh, write_version
 from jobsight.sources.pages import (
@@ -166,8 +166,9 @@ def load(
     pages landed in ``<landing_date>=YYYY-MM-DD`` folders outside the window
     are pruned unread. ``phrases`` is the title search (None: no search).
     With ``strict``, a page without items, or an item lacking a key the
-    reference reads unconditionally (or holding a value its tables reject),
-    stops the load before anything is written.
+    reference reads unconditionally (or holding a value its tables reject:
+    a non-numeric id or amount, an unparsable time, a string over its VARCHAR
+    bound), stops the load before anything is written.
     """
     root = root or storage_root(spark)
     bookmarked = None
@@ -188,6 +189,10 @@ def load(
         if not bad.isEmpty():
             raise RequiredKeysMissing("items lack required keys, e.g. " + str(bad.limit(5).collect()))
     records = normalise(items)
+    if strict:
+        too_long = over_length(records, VARCHAR_LIMITS["staging"], ["id"])
+        if not too_long.isEmpty():
+            raise RequiredKeysMissing("values exceed the staging column lengths, e.g. " + str(too_long.limit(5).collect()))
     if phrases:
         records = title_search(records, phrases)
     if as_of is not None:

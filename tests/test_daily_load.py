@@ -185,3 +185,12 @@ def test_lookback_prunes_landing_folders(spark, scratch):
     assert kept.count() == 1
     D.load(spark, pages, root=os.path.join(scratch, "wh"), as_of="2023-11-01", phrases=None)
     assert [r["vacancy_id"] for r in D.read_fact(spark, os.path.join(scratch, "wh")).collect()] == [2]
+
+
+def test_strict_load_rejects_over_long_values(spark, scratch):
+    item = {"id": "1", "name": "x" * 256, "published_at": "2023-11-01T10:00:00+0300", "archived": False,
+            "type": {"id": "open"}, "employer": {"id": "5", "name": "E"}, "experience": {},
+            "area": {}, "salary": None}
+    pages = parse_pages(spark.createDataFrame([(json.dumps({"page": 0, "items": [item]}),)], "value string"))
+    with pytest.raises(D.RequiredKeysMissing, match="column lengths"):
+        D.load(spark, pages, root=os.path.join(scratch, "wh"), phrases=None)
