@@ -68,7 +68,7 @@ DIMENSIONS = [
 DIMENSION_COLUMNS = {t: (k, n) for t, k, n, _ in DIMENSIONS}
 
 
-class RequiredKeysMissing(ValueError):
+class BatchRejected(ValueError):
     pass
 
 
@@ -184,15 +184,15 @@ def load(
     if strict:
         no_items = pages_without_items(pages)
         if not no_items.isEmpty():
-            raise RequiredKeysMissing("pages without items, e.g. " + str(no_items.limit(5).collect()))
+            raise BatchRejected("pages without items, e.g. " + str(no_items.limit(5).collect()))
         bad = missing_required(items)
         if not bad.isEmpty():
-            raise RequiredKeysMissing("items lack required keys, e.g. " + str(bad.limit(5).collect()))
+            raise BatchRejected("items lack required keys, e.g. " + str(bad.limit(5).collect()))
     records = normalise(items)
     if strict:
         too_long = over_length(records, VARCHAR_LIMITS["staging"], ["id"])
         if not too_long.isEmpty():
-            raise RequiredKeysMissing("values exceed the staging column lengths, e.g. " + str(too_long.limit(5).collect()))
+            raise BatchRejected("values exceed the staging column lengths, e.g. " + str(too_long.limit(5).collect()))
     if phrases:
         records = title_search(records, phrases)
     if as_of is not None:

@@ -49,7 +49,7 @@ def _partition_files(root):
 
 def test_two_day_load(spark, scratch):
     pages1, pages2 = _batches(spark)
-    with pytest.raises(D.RequiredKeysMissing):
+    with pytest.raises(D.BatchRejected):
         D.load(spark, pages1, root=scratch, phrases=None)  # fixture items lack keys on purpose
 
     D.load(spark, pages1, root=scratch, phrases=None, strict=False, fact_range_width=WIDTH)
@@ -161,7 +161,7 @@ def test_command_line(spark, scratch):
 
 def test_strict_load_rejects_pages_without_items(spark, scratch):
     pages = parse_pages(spark.createDataFrame([('{"page": 3}',)], "value string"))
-    with pytest.raises(D.RequiredKeysMissing, match="pages without items"):
+    with pytest.raises(D.BatchRejected, match="pages without items"):
         D.load(spark, pages, root=scratch, phrases=None)
 
 
@@ -192,5 +192,5 @@ def test_strict_load_rejects_over_long_values(spark, scratch):
             "type": {"id": "open"}, "employer": {"id": "5", "name": "E"}, "experience": {},
             "area": {}, "salary": None}
     pages = parse_pages(spark.createDataFrame([(json.dumps({"page": 0, "items": [item]}),)], "value string"))
-    with pytest.raises(D.RequiredKeysMissing, match="column lengths"):
+    with pytest.raises(D.BatchRejected, match="column lengths"):
         D.load(spark, pages, root=os.path.join(scratch, "wh"), phrases=None)
