@@ -194,3 +194,24 @@ def test_strict_load_rejects_over_long_values(spark, scratch):
     pages = parse_pages(spark.createDataFrame([(json.dumps({"page": 0, "items": [item]}),)], "value string"))
     with pytest.raises(D.BatchRejected, match="column lengths"):
         D.load(spark, pages, root=os.path.join(scratch, "wh"), phrases=None)
+
+
+def test_stream_backlog_in_bounded_batches_converges(spark, scratch):
+    pages1, _ = _batches(spark)
+    landing = os.path.join(scratch, "landing")
+    out = os.path.join(scratch, "out")
+    pages1.select(F.to_json(F.struct("page", "items")).alias("value")).repartition(3).write.text(out)
+    os.makedirs(landing)
+    for i, f in enumerate(sorted(glob.glob(f"{out}/part-*"))):
+        shutil.copy(f, os.path.join(landing, f"p{i}.json"))
+    root = os.path.join(scratch, "wh")
+    q = start_landing_ingest(
+        spark, landing, root=root, phrases=None, strict=False, fact_range_width=WIDTH, max_files_per_trigger=1
+    )
+    q.awaitTermination(300)
+    assert q.exception() is None
+    runs = spark.read.parquet(f"{root}/setup").count()
+    assert runs == 3  # one load per file
+    expected = fact_candidates(_staged(pages1))
+    cols = ["vacancy_id", "vacancy_name", "grade", "salary_from", "is_open", "area_id"]
+    assert _as_set(D.read_fact(spark, root), cols) == _as_set(expected, cols)
