@@ -180,24 +180,35 @@ def grain_stats(fact: DataFrame, currency: DataFrame, key: str) -> DataFrame:
     return level2.select(key, *COUNT_COLS, *stat_final())
 
 
-def grain_stats_sets(fact: DataFrame, currency: DataFrame, grains: list[list[str]]) -> DataFrame:
-    """``grain_stats`` for several groupings in one scan of the fact.
+def _level1_combine() -> list[Column]:
+    """Re-aggregation of stored level-1 partials: sums add, bounds min/max."""
+    out = [F.sum(c).alias(c) for c in COUNT_COLS]
+    for _, s in GRADE_SUFFIXES:
+        out += [
+            F.sum(f"_s_{s}").alias(f"_s_{s}"),
+            F.sum(f"_c_{s}").alias(f"_c_{s}"),
+            F.min(f"_lof_{s}").alias(f"_lof_{s}"),
+            F.max(f"_hif_{s}").alias(f"_hif_{s}"),
+            F.min(f"_lot_{s}").alias(f"_lot_{s}"),
+            F.max(f"_hit_{s}").alias(f"_hit_{s}"),
+        ]
+    out += [F.min("_lof").alias("_lof"), F.max("_hif").alias("_hif"), F.min("_lot").alias("_lot"), F.max("_hit").alias("_hit")]
+    return out
 
-    ``grains`` lists the key columns of each grouping (e.g. role + area, role
-    + employer, role). The result has every key column (NULL where a
-    grouping does not use it), ``_set`` (the index into ``grains``) and the
-    7 counts and 17 stats of ``grain_stats``. Level 1 uses GROUPING SETS, so
-    each fact row is read once and partially aggregated for every grouping
-    before the one fact shuffle; level 2 groups the aggregated rows by
-    (``_set``, keys).
+
+def partial_stats(fact: DataFrame, grains: list[list[str]], keys: list[str]) -> DataFrame:
+    """Level 1 for several groupings in one scan: raw-amount partials per
+    (``_set``, grouping keys, currency).
+
+    ``keys`` lists every key column in a fixed order (each grouping in
+    ``grains`` is a subset); columns a grouping does not use are NULL, and
+    ``_set`` is the grouping's index in ``grains``. GROUPING SETS expands each
+    fact row once per grouping in memory before one partial aggregate, so
+    the fact is read and shuffled once for all groupings.
     """
-    keys = sorted({k for g in grains for k in g})
     graded = fact.withColumn(_GRADE, effective_grade("grade", "grade_experience"))
     sets = [[*g, _CUR] for g in grains]
     level1 = graded.groupingSets(sets, *keys, _CUR).agg(F.grouping_id().alias("_gid"), *_level1_aggs())
-    rates = lookup(currency, "currency_id", ["to_rub"])
-    priced_groups = level1.join(rates, level1[_CUR] == rates["currency_id"], "left")
-    level2 = priced_groups.groupBy("_gid", *keys).agg(*_level2_aggs())
     # grouping_id sets bit i (from the left of ``keys + [currency]``) when that
     # column is not grouped; map each bit pattern back to its grouping.
     width = len(keys) + 1
@@ -205,4 +216,27 @@ def grain_stats_sets(fact: DataFrame, currency: DataFrame, grains: list[list[str
         sum(1 << (width - 1 - i) for i, k in enumerate(keys) if k not in g): n for n, g in enumerate(grains)
     }
     set_index = F.element_at(F.create_map(*[F.lit(x) for kv in gid_of.items() for x in kv]), F.col("_gid"))
-    return level2.select(set_index.alias("_set"), *keys, *COUNT_COLS, *stat_final())
+    return level1.select(set_index.alias("_set"), *[c for c in level1.columns if c != "_gid"])
+
+
+def combine_partials(partials: DataFrame, keys: list[str]) -> DataFrame:
+    """Merge stored partials of the same (``_set``, keys, currency)."""
+    return partials.groupBy("_set", *keys, _CUR).agg(*_level1_combine())
+
+
+def finish_stats(level1: DataFrame, currency: DataFrame, keys: list[str]) -> DataFrame:
+    """Level 2: convert the (key, currency) partials to roubles and merge per key."""
+    rates = lookup(currency, "currency_id", ["to_rub"])
+    priced_groups = level1.join(rates, level1[_CUR] == rates["currency_id"], "left")
+    level2 = priced_groups.groupBy("_set", *keys).agg(*_level2_aggs())
+    return level2.select("_set", *keys, *COUNT_COLS, *stat_final())
+
+
+def grain_stats_sets(fact: DataFrame, currency: DataFrame, grains: list[list[str]]) -> DataFrame:
+    """``grain_stats`` for several groupings in one scan of the fact.
+
+    The result has every key column (NULL where a grouping does not use it),
+    ``_set`` (the index into ``grains``) and the 7 counts and 17 stats.
+    """
+    keys = sorted({k for g in grains for k in g})
+    return finish_stats(partial_stats(fact, grains, keys), currency, keys)

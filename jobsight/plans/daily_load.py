@@ -55,6 +55,7 @@ from jobsight.sources.pages import (
 
 FACT_RANGE_WIDTH = 1_000_000
 FACT_DIR = "fact_vacancy"
+PARTIALS_DIR = "fact_mart_partials"
 RANGE_COL = "id_range"
 
 DIMENSIONS = [
@@ -116,7 +117,12 @@ def touched_partitions(stored: DataFrame, source: DataFrame, width: int = FACT_R
 
 
 def upsert_fact(
-    spark: SparkSession, root: str, source: DataFrame, width: int = FACT_RANGE_WIDTH, on_duplicate: str = "error"
+    spark: SparkSession,
+    root: str,
+    source: DataFrame,
+    width: int = FACT_RANGE_WIDTH,
+    on_duplicate: str = "error",
+    with_partials: bool = True,
 ) -> str:
     """U7 on the range-partitioned fact: merge and replace only touched partitions."""
     path = _fact_path(root)
@@ -134,9 +140,9 @@ def upsert_fact(
     # on the partitions they replace, and a retried write task re-reads them
     # instead of re-running the merge. One task writes each range: a range
     # holds at most ``width`` distinct ids, so no task grows with the data.
+    rows = merged.checkpoint(eager=True)
     (
-        merged.checkpoint(eager=True)
-        .repartition(RANGE_COL)
+        rows.repartition(RANGE_COL)
         # Role-clustered row groups: a mart's pushed role filter skips the
         # row groups of other roles by their min/max statistics.
         .sortWithinPartitions(RANGE_COL, "vacancy_name")
@@ -145,6 +151,34 @@ def upsert_fact(
         .partitionBy(RANGE_COL)
         .parquet(path)
     )
+    if with_partials:
+        # The checkpointed rows are exactly the new content of the touched
+        # ranges: their mart partials need no second read of the fact.
+        write_partials(root, rows)
+    return path
+
+
+def write_partials(root: str, ranged_rows: DataFrame) -> str:
+    """Store the mart partials of whole id ranges (``ranged_rows`` carries
+    ``id_range`` and holds every fact row of each range it covers).
+
+    The partials are the level-1 aggregates of the marts (sums, counts, min,
+    max of raw amounts per grouping, key and currency) per id range. They are
+    decomposable, so publishing merges them instead of scanning the fact, and
+    a load replaces only the ranges it rewrote.
+    """
+    from jobsight.operators.aggregates import partial_stats
+    from jobsight.plans.marts import MART_GRAINS, MART_KEYS
+
+    partials = partial_stats(ranged_rows, [[RANGE_COL, *g] for g in MART_GRAINS], [RANGE_COL, *MART_KEYS])
+    path = f"{root}/{PARTIALS_DIR}"
+    (
+        partials.repartition(RANGE_COL)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(RANGE_COL)
+        .parquet(path)
+    )
     return path
 
 
@@ -252,15 +286,24 @@ def verify(spark: SparkSession, root: str | None = None, fact: DataFrame | None
 
 
 def marts(spark: SparkSession, root: str | None = None) -> dict[str, DataFrame]:
-    """U8: the seven marts over the stored star, registered as temp views."""
-    from jobsight.plans.marts import publish
+    """U8: the seven marts over the stored star, registered as temp views.
+
+    Built from the stored per-range partials (no fact scan); falls back to one
+    scan of the fact when there are none.
+    """
+    from jobsight.plans.marts import publish, publish_from_partials
 
     root = root or storage_root(spark)
     dims = {
         "area": read_stored(spark, root, "dim_area"),
         "employer": read_stored(spark, root, "dim_employer"),
     }
-    return publish(spark, read_fact(spark, root), read_stored(spark, root, "dim_currency"), dims)
+    currency = read_stored(spark, root, "dim_currency")
+    try:
+        partials = spark.read.parquet(f"{root}/{PARTIALS_DIR}")
+    except Exception:  # noqa: BLE001 - no partials (e.g. a fact written elsewhere): scan it
+        return publish(spark, read_fact(spark, root), currency, dims)
+    return publish_from_partials(spark, partials, currency, dims)
 
 
 # ---------------------------------------------------------------------------
