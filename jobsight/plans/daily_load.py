@@ -79,6 +79,14 @@ class LoadResult:
     tables: dict[str, str] = field(default_factory=dict)  # table -> path written
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path)
+    except Exception:  # noqa: BLE001 - missing path
+        return False
+    return True
+
+
 def _fact_path(root: str) -> str:
     return f"{root}/{FACT_DIR}"
 
@@ -122,7 +130,6 @@ def upsert_fact(
     source: DataFrame,
     width: int = FACT_RANGE_WIDTH,
     on_duplicate: str = "error",
-    with_partials: bool = True,
 ) -> str:
     """U7 on the range-partitioned fact: merge and replace only touched partitions."""
     path = _fact_path(root)
@@ -151,10 +158,14 @@ def upsert_fact(
         .partitionBy(RANGE_COL)
         .parquet(path)
     )
-    if with_partials:
+    if _exists(spark, f"{root}/{PARTIALS_DIR}"):
         # The checkpointed rows are exactly the new content of the touched
         # ranges: their mart partials need no second read of the fact.
         write_partials(root, rows)
+    else:
+        # No partials yet (first load, or a fact written without them): build
+        # them for every range once, so none is missing afterwards.
+        write_partials(root, spark.read.parquet(path))
     return path
 
 

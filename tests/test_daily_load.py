@@ -228,3 +228,15 @@ def test_marts_from_partials_equal_a_fact_scan(spark, scratch):
     scanned = publish(spark, D.read_fact(spark, scratch), D.read_stored(spark, scratch, "dim_currency"), dims)
     for view, df in scanned.items():
         assert _as_set(from_partials[view], df.columns) == _as_set(df, df.columns), view
+
+
+def test_partials_are_backfilled_for_a_fact_without_them(spark, scratch):
+    pages1, pages2 = _batches(spark)
+    first = os.path.join(scratch, "first")
+    D.load(spark, pages1, root=first, phrases=None, strict=False, fact_range_width=WIDTH)
+    # A warehouse whose fact was written before partials existed.
+    root = os.path.join(scratch, "copy")
+    shutil.copytree(first, root, ignore=shutil.ignore_patterns(D.PARTIALS_DIR))
+    D.load(spark, pages2, root=root, phrases=None, strict=False, fact_range_width=WIDTH)
+    ranges = {r[0] for r in spark.read.parquet(os.path.join(root, D.PARTIALS_DIR)).select("id_range").distinct().collect()}
+    assert ranges == {r[0] for r in spark.read.parquet(os.path.join(root, "fact_vacancy")).select("id_range").distinct().collect()}
