@@ -3,7 +3,7 @@
     pages -> required-key check -> normalise -> search + lookback predicates
           -> DISTINCT -> staging refresh (U1) -> run log (U2)
           -> dim_area, dim_employer, dim_experience, dim_currency (U3-U6)
-          -> fact_vacancy (U7)
+          -> fact_vacancy (U7) -> mart partials of the rewritten ranges
 
 Storage layout under ``root`` (the shared ``spark.checkpoint.dir`` folder by
 default):
@@ -18,7 +18,10 @@ default):
   checkpoints the result (cutting the lineage to the partitions about to be
   replaced) and swaps just those partitions in with dynamic partition
   overwrite. The fact merge is idempotent (vacancy ids are
-  never NULL, matches always take the source), so a retried load converges.
+  never NULL, matches always take the source), so a retried load converges;
+* the marts' level-1 partials are stored per id range next to the fact and
+  replaced for the same ranges, so publishing (``marts``) never re-reads the
+  fact.
 """
 
 from __future__ import annotations
