@@ -92,3 +92,15 @@ def test_hot_key_beyond_broadcast_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_mart_aggregates_run_in_whole_stage_codegen(spark):
+    from jobsight.operators.aggregates import grain_stats
+    from jobsight.plans.catalog import star
+
+    s = star(spark, SF_SMALL)
+    df = grain_stats(s.fact, s.currency, "employer_id")
+    df.collect()
+    final = _plan(df).split("== Initial Plan ==")[0]
+    aggregates = [line for line in final.split("\n") if "HashAggregate(" in line]
+    assert aggregates and all(re.search(r"\*\(\d+\) HashAggregate", line) for line in aggregates)
