@@ -59,6 +59,9 @@ from jobsight.sources.pages import (
 FACT_RANGE_WIDTH = 1_000_000
 FACT_DIR = "fact_vacancy"
 PARTIALS_DIR = "fact_mart_partials"
+# Written once the partials cover every range; its leading underscore keeps
+# it out of the partials dataset itself.
+PARTIALS_READY = "_complete"
 RANGE_COL = "id_range"
 
 DIMENSIONS = [
@@ -82,9 +85,10 @@ class LoadResult:
     tables: dict[str, str] = field(default_factory=dict)  # table -> path written
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _exists_text(spark: SparkSession, path: str) -> bool:
+    """Whether a small marker exists (reads that one path, lists nothing else)."""
     try:
-        spark.read.parquet(path)
+        spark.read.text(path)
     except Exception:  # noqa: BLE001 - missing path
         return False
     return True
@@ -161,14 +165,16 @@ def upsert_fact(
         .partitionBy(RANGE_COL)
         .parquet(path)
     )
-    if _exists(spark, f"{root}/{PARTIALS_DIR}"):
+    marker = f"{root}/{PARTIALS_DIR}/{PARTIALS_READY}"
+    if _exists_text(spark, marker):
         # The checkpointed rows are exactly the new content of the touched
         # ranges: their mart partials need no second read of the fact.
         write_partials(root, rows)
     else:
-        # No partials yet (first load, or a fact written without them): build
-        # them for every range once, so none is missing afterwards.
+        # No complete partials yet (first load, or a fact written without
+        # them): build them for every range once, then mark them complete.
         write_partials(root, spark.read.parquet(path))
+        spark.range(1).selectExpr("'complete' AS value").coalesce(1).write.mode("overwrite").text(marker)
     return path
 
 
@@ -313,11 +319,10 @@ def marts(spark: SparkSession, root: str | None = None) -> dict[str, DataFrame]:
         "employer": read_stored(spark, root, "dim_employer"),
     }
     currency = read_stored(spark, root, "dim_currency")
-    try:
-        partials = spark.read.parquet(f"{root}/{PARTIALS_DIR}")
-    except Exception:  # noqa: BLE001 - no partials (e.g. a fact written elsewhere): scan it
+    if not _exists_text(spark, f"{root}/{PARTIALS_DIR}/{PARTIALS_READY}"):
+        # No complete partials (e.g. a fact written elsewhere): scan the fact once.
         return publish(spark, read_fact(spark, root), currency, dims)
-    return publish_from_partials(spark, partials, currency, dims)
+    return publish_from_partials(spark, spark.read.parquet(f"{root}/{PARTIALS_DIR}"), currency, dims)
 
 
 # ---------------------------------------------------------------------------
