@@ -5,6 +5,7 @@
     python -m jobsight marts --out <dir> [--root <dir>]
     python -m jobsight sql "SELECT * FROM data_mart.de_region" [--out <dir>] [--root <dir>]
     python -m jobsight verify [--root <dir>]
+    python -m jobsight stream --landing <dir> [--root <dir>] [--max-files 100] [--lenient] [--no-search]
 
 ``--root`` defaults to the session's ``spark.checkpoint.dir`` (shared storage
 on a cluster). Submit with ``spark-submit -m jobsight`` or run under a
@@ -40,6 +41,12 @@ def main(argv: list[str] | None = None) -> None:
     sql.add_argument("--root", default=None)
     verify = sub.add_parser("verify", help="unique and foreign-key checks over the stored star (JSON report)")
     verify.add_argument("--root", default=None)
+    stream = sub.add_parser("stream", help="load every page landed since the last run (AvailableNow), then stop")
+    stream.add_argument("--landing", required=True)
+    stream.add_argument("--root", default=None)
+    stream.add_argument("--max-files", type=int, default=None, help="files per micro-batch (bounds one load)")
+    stream.add_argument("--no-search", action="store_true")
+    stream.add_argument("--lenient", action="store_true")
     args = parser.parse_args(argv)
 
     spark = build_session()
@@ -52,6 +59,20 @@ def main(argv: list[str] | None = None) -> None:
             phrases=None if args.no_search else daily_load.SEARCH_PHRASES,
             strict=not args.lenient,
         )
+    elif args.cmd == "stream":
+        from jobsight.streaming.landing import start_landing_ingest
+
+        query = start_landing_ingest(
+            spark,
+            args.landing,
+            root=args.root,
+            max_files_per_trigger=args.max_files,
+            phrases=None if args.no_search else daily_load.SEARCH_PHRASES,
+            strict=not args.lenient,
+        )
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise SystemExit(str(query.exception()))
     elif args.cmd == "verify":
         report = daily_load.verify(spark, args.root)
         print(json.dumps(report))

@@ -151,6 +151,9 @@ def test_command_line(spark, scratch):
     written = spark.read.parquet(os.path.join(scratch, "marts", "de_region"))
     assert written.count() > 0 and len(written.columns) == 32
     main(["verify", "--root", root])  # exits non-zero on a violation
+    stream_root = os.path.join(scratch, "stream-wh")
+    main(["stream", "--landing", landing, "--root", stream_root, "--no-search", "--lenient"])
+    assert D.read_fact(spark, stream_root).count() == D.read_fact(spark, root).count()
     out = os.path.join(scratch, "sql-out")
     main(["sql", "SELECT area_id, cnt_vacancy FROM data_mart.de_region", "--root", root, "--out", out])
     assert spark.read.parquet(out).count() == written.count()
