@@ -12,6 +12,10 @@ ever collected into one task.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +35,27 @@ STAT_COLS = AVG_COLS + MIN_COLS + MAX_COLS + OVERALL_COLS
 COUNT_COLS = ["cnt_vacancy", "cnt_vac_salary"] + [c for _, c in COUNTED_GRADES] + ["cnt_lead"]
 RATIO_COLS = [f"ratio_sal_{s}" for _, s in GRADE_SUFFIXES]
 
+def _per_context(build: Callable[[], list[Column]]) -> Callable[[], list[Column]]:
+    """Cache an expression list per active SparkContext.
+
+    The mart expression lists hold a few thousand small JVM objects; building
+    them through py4j costs tenths of a second per query. Columns are
+    immutable, unresolved expressions, so one list serves every plan of the
+    same context; a new context (new JVM gateway) builds its own.
+    """
+    cache: dict[int, list[Column]] = {}
+
+    @wraps(build)
+    def cached() -> list[Column]:
+        key = id(SparkContext._active_spark_context)
+        if key not in cache:
+            cache.clear()
+            cache[key] = build()
+        return list(cache[key])
+
+    return cached
+
+
 _GRADE = "_grade"
 _FROM = "_rub_from"
 _TO = "_rub_to"
@@ -63,6 +88,7 @@ def _is(grade_value: str) -> Column:
 # from the exact sums and counts of ``grain_stats``. A2-A4 (MIN of the lower
 # bound, MAX of the upper bound per grade, and both over all rows) come out
 # of ``grain_stats`` directly.
+@_per_context
 def salary_avg_final() -> list[Column]:
     return [avg_from_units(F.col(f"_sum_{s}"), F.col(f"_n_{s}")).alias(f"avg_sal_{s}") for _, s in GRADE_SUFFIXES]
 
@@ -88,15 +114,18 @@ def lead_count_aggs() -> list[Column]:
     return [F.sum(F.when(F.col("grade") == LEAD_GRADE, 1)).alias("cnt_lead")]
 
 
+@_per_context
 def count_aggs() -> list[Column]:
     return open_count_aggs() + salary_count_aggs() + grade_count_aggs() + lead_count_aggs()
 
 
+@_per_context
 def stat_final() -> list[Column]:
     """The 17 published stat columns from the aggregated ones."""
     return salary_avg_final() + [F.col(c) for c in MIN_COLS + MAX_COLS + OVERALL_COLS]
 
 
+@_per_context
 def salary_ratio_final() -> list[Column]:
     """ROUND(avg_sal_x / max_salary, 2) per grade; may exceed 1 (the average
     may use a lower bound, the maximum never does). A zero maximum raises."""
@@ -117,6 +146,7 @@ def salary_ratio_final() -> list[Column]:
 _CUR = "salary_currency"
 
 
+@_per_context
 def _level1_aggs() -> list[Column]:
     pay = F.coalesce(F.col("salary_to"), F.col("salary_from"))
     frm, to = F.col("salary_from"), F.col("salary_to")
@@ -151,6 +181,7 @@ def _units_of_sum(total: str) -> Column:
     return cents * micro_rate
 
 
+@_per_context
 def _level2_aggs() -> list[Column]:
     has_rate = F.col("to_rub").isNotNull()
     out = [F.sum(c).alias(c) for c in COUNT_COLS]
@@ -180,6 +211,7 @@ def grain_stats(fact: DataFrame, currency: DataFrame, key: str) -> DataFrame:
     return level2.select(key, *COUNT_COLS, *stat_final())
 
 
+@_per_context
 def _level1_combine() -> list[Column]:
     """Re-aggregation of stored level-1 partials: sums add, bounds min/max."""
     out = [F.sum(c).alias(c) for c in COUNT_COLS]
