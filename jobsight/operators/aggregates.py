@@ -43,11 +43,12 @@ def _per_context(build: Callable[[], list[Column]]) -> Callable[[], list[Column]
     immutable, unresolved expressions, so one list serves every plan of the
     same context; a new context (new JVM gateway) builds its own.
     """
-    cache: dict[int, list[Column]] = {}
+    cache: dict[str, list[Column]] = {}
 
     @wraps(build)
     def cached() -> list[Column]:
-        key = id(SparkContext._active_spark_context)
+        sc = SparkContext._active_spark_context
+        key = sc.applicationId if sc is not None else ""  # unique per context, unlike id()
         if key not in cache:
             cache.clear()
             cache[key] = build()
