@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from jobsight.llm.pii import op9_disclosure
 from jobsight.llm.sharding import op4_consistent_ring
 
 QUERIES = {
     "op4_consistent_ring": op4_consistent_ring,
+    "op9_disclosure": op9_disclosure,
 }
 
 SQL: dict[str, str] = {}

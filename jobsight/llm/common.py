@@ -60,8 +60,7 @@ def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
-    # Plain types only, so the session's zone does not matter.
-    return to_arrow_schema(_parse_datatype_string(schema), timezone="UTC")
+    return to_arrow_schema(_parse_datatype_string(schema))
 
 
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
