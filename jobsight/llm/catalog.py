@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from jobsight.llm.packing import op10_best_fit
 from jobsight.llm.pii import op9_disclosure
 from jobsight.llm.sharding import op4_consistent_ring
 
 QUERIES = {
     "op4_consistent_ring": op4_consistent_ring,
     "op9_disclosure": op9_disclosure,
+    "op10_best_fit": op10_best_fit,
 }
 
 SQL: dict[str, str] = {}
