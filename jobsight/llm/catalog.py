@@ -5,11 +5,15 @@ from __future__ import annotations
 from jobsight.llm.packing import op10_best_fit
 from jobsight.llm.pii import op9_disclosure
 from jobsight.llm.sharding import op4_consistent_ring
+from jobsight.llm.warc import OP2_SQL, op2_transactions
 
 QUERIES = {
+    "op2_transactions": op2_transactions,
     "op4_consistent_ring": op4_consistent_ring,
     "op9_disclosure": op9_disclosure,
     "op10_best_fit": op10_best_fit,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_transactions": OP2_SQL,
+}
