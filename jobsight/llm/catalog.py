@@ -5,6 +5,7 @@ from __future__ import annotations
 from jobsight.llm.langid import op5_naive_bayes
 from jobsight.llm.packing import op10_best_fit
 from jobsight.llm.pii import op9_disclosure
+from jobsight.llm.quality import op7_rule_ensemble
 from jobsight.llm.sharding import op4_consistent_ring
 from jobsight.llm.warc import OP2_SQL, op2_transactions
 
@@ -12,6 +13,7 @@ QUERIES = {
     "op2_transactions": op2_transactions,
     "op4_consistent_ring": op4_consistent_ring,
     "op5_naive_bayes": op5_naive_bayes,
+    "op7_rule_ensemble": op7_rule_ensemble,
     "op9_disclosure": op9_disclosure,
     "op10_best_fit": op10_best_fit,
 }
