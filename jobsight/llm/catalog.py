@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from jobsight.llm.decontaminate import op8_edit_matching
 from jobsight.llm.langid import op5_naive_bayes
 from jobsight.llm.packing import op10_best_fit
 from jobsight.llm.pii import op9_disclosure
@@ -14,6 +15,7 @@ QUERIES = {
     "op4_consistent_ring": op4_consistent_ring,
     "op5_naive_bayes": op5_naive_bayes,
     "op7_rule_ensemble": op7_rule_ensemble,
+    "op8_edit_matching": op8_edit_matching,
     "op9_disclosure": op9_disclosure,
     "op10_best_fit": op10_best_fit,
 }
