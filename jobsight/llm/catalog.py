@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from jobsight.llm.decontaminate import op8_edit_matching
+from jobsight.llm.imatch import op6_imatch
 from jobsight.llm.langid import op5_naive_bayes
 from jobsight.llm.packing import op10_best_fit
 from jobsight.llm.pii import op9_disclosure
@@ -14,6 +15,7 @@ QUERIES = {
     "op2_transactions": op2_transactions,
     "op4_consistent_ring": op4_consistent_ring,
     "op5_naive_bayes": op5_naive_bayes,
+    "op6_imatch": op6_imatch,
     "op7_rule_ensemble": op7_rule_ensemble,
     "op8_edit_matching": op8_edit_matching,
     "op9_disclosure": op9_disclosure,
