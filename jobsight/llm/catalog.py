@@ -5,6 +5,7 @@ from __future__ import annotations
 from jobsight.llm.decontaminate import op8_edit_matching
 from jobsight.llm.imatch import op6_imatch
 from jobsight.llm.langid import op5_naive_bayes
+from jobsight.llm.minhash import op1_minhash
 from jobsight.llm.packing import op10_best_fit
 from jobsight.llm.pii import op9_disclosure
 from jobsight.llm.quality import op7_rule_ensemble
@@ -12,6 +13,7 @@ from jobsight.llm.sharding import op4_consistent_ring
 from jobsight.llm.warc import OP2_SQL, op2_transactions
 
 QUERIES = {
+    "op1_minhash": op1_minhash,
     "op2_transactions": op2_transactions,
     "op4_consistent_ring": op4_consistent_ring,
     "op5_naive_bayes": op5_naive_bayes,
