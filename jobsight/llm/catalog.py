@@ -10,11 +10,13 @@ from jobsight.llm.packing import op10_best_fit
 from jobsight.llm.pii import op9_disclosure
 from jobsight.llm.quality import op7_rule_ensemble
 from jobsight.llm.sharding import op4_consistent_ring
+from jobsight.llm.suffixes import op3_deep_shallow
 from jobsight.llm.warc import OP2_SQL, op2_transactions
 
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_transactions": op2_transactions,
+    "op3_deep_shallow": op3_deep_shallow,
     "op4_consistent_ring": op4_consistent_ring,
     "op5_naive_bayes": op5_naive_bayes,
     "op6_imatch": op6_imatch,
