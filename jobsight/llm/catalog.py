@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from jobsight.llm.decontaminate import op8_edit_matching
 from jobsight.llm.imatch import op6_imatch
 from jobsight.llm.langid import op5_naive_bayes
@@ -24,8 +25,11 @@ QUERIES = {
     "op8_edit_matching": op8_edit_matching,
     "op9_disclosure": op9_disclosure,
     "op10_best_fit": op10_best_fit,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL: dict[str, str] = {
     "op2_transactions": OP2_SQL,
 }
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

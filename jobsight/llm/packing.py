@@ -193,7 +193,7 @@ def pack(cut: DataFrame, length: int = LENGTH) -> DataFrame:
     hit = (F.col("length") == F.col("r_length")) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi"))
     return ranked.join(F.broadcast(plan), hit).withColumn(  # as many rows as runs: bounded by `length`, not by pieces
         "sequence_id", F.col("first") + F.col("rank") - F.col("lo")
-    ).drop("bucket", "before", "rank", *[n for n in names if n != "offset"])
+    ).select(*[c for c in cut.columns if c != "bucket"], "sequence_id", "offset")
 
 
 def pack_documents(docs: DataFrame, path: str | None = None, length: int = LENGTH, with_ids: bool = False) -> DataFrame:

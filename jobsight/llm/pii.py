@@ -203,7 +203,9 @@ def find_personal_data(
     return found.drop("context").join(added, same, "left").drop("in_doc", "in_key")
 
 
-def _replace(text: str, base: str, added) -> str:
+def _replace(text, base, added):
+    if base is None:  # no spans
+        return text
     spans = [(int(s), int(e), k) for k, s, e in (x.split(":") for x in base.split(",") if x)]
     spans += [(a["start"], a["end"], "term") for a in added or ()]
     out, at = [], 0
@@ -229,9 +231,7 @@ def sanitise(docs: DataFrame, **how) -> DataFrame:
     )
     fix = F.udf(_replace, "string", useArrow=True)
     joined = docs.join(found, same, "left")
-    clean = F.when(F.col("_pii_base").isNull(), docs["text"]).otherwise(
-        fix(docs["text"], F.col("_pii_base"), F.col("_pii_added"))
-    )
+    clean = fix(docs["text"], F.col("_pii_base"), F.col("_pii_added"))
     cols = [clean.alias("text") if c == "text" else docs[c] for c in docs.columns]
     out = joined.select(*cols)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
