@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
 
@@ -16,6 +17,15 @@ from jobsight.session import storage_root
 CHUNK_BYTES = 2 << 20
 
 
+def workers_find_package(spark: SparkSession) -> None:
+    """Python workers import this package from where the driver did (a cluster has it installed)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([*known, root])
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -44,7 +54,8 @@ def texts(docs: DataFrame, *extra: str) -> DataFrame:
 
 def mapped(df: DataFrame, fn, schema: str) -> DataFrame:
     """``mapInArrow`` with the barrier of an exact schema; ``fn`` gets record batches, yields dicts of columns."""
-    fields = _arrow_schema(df.sparkSession, schema)
+    workers_find_package(df.sparkSession)
+    fields = _arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cols in fn(batches):
@@ -56,7 +67,7 @@ def mapped(df: DataFrame, fn, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
+def _arrow_schema(schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 

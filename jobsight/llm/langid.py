@@ -116,7 +116,7 @@ def learn(docs: DataFrame, per_lang: int = 3000, max_langs: int = 256, smoothing
         raise ValueError(f"more than {max_langs} languages")
     langs = sorted(sizes)
     if not langs:
-        return [], np.zeros((BUCKETS, 0), np.float32)
+        return [], np.zeros((BUCKETS + 1, 0), np.float32)
     share = F.coalesce(*[F.when(F.col("lang") == x, F.lit(min(1.0, per_lang / n))) for x, n in sizes.items()])
     sample = usable.where(F.col("draw") < share).select("text", "lang")
     kind = "lang string, block int, counts array<long>"

@@ -165,7 +165,7 @@ def fit(x: np.ndarray, y: np.ndarray, **how) -> tuple[float, list[tuple[Rule, fl
     """(intercept, [(rule, weight)]) with zero weights left out."""
     if len(y) == 0 or y.min() == y.max():
         p = (y.sum() + 1) / (len(y) + 1)
-        return float(np.log(max(p, 1e-9) / max(1 - p, 1e-9))), []
+        return float(np.log(max(p, 1e-17) / max(1 - p, 1e-17))), []
     rules = extract_rules(x, y)
     z = np.stack([holds(r, x) for r in rules], 1)
     intercept, w = fit_lasso(z, y, **how)

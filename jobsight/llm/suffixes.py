@@ -108,9 +108,11 @@ def _routes(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _dealt(key: np.ndarray, **columns: np.ndarray):
     """One row per value of ``key`` with the matching part of each column as bytes."""
+    if not len(key):
+        return {"key": [], **{name: [] for name in columns}}
     order = np.argsort(key, kind="stable")
     key = key[order]
-    cut = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    cut = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
     ends = np.append(cut[1:], len(key))
     out = {"key": key[cut].tolist()}
     for name, c in columns.items():
