@@ -7,18 +7,20 @@ the start and its smallest id stands for it. For the classes:
 1. Signature. One hash function deals a set's elements into ``BINS`` bins; a
    bin keeps its smallest hash. Empty bins borrow from a bin drawn by a hash
    of (bin, attempt) until that one is not empty (optimal densification).
-2. Buckets. ``bands`` runs of ``rows`` bins are the bucket keys.
-3. Stars. Per bucket, found by map-side combined aggregates: its smallest and
-   largest member and two picked by hash are centres, every member is paired
-   with the centres: at most four edges per member, whatever the bucket's size.
-   Edges are confirmed on the full sets, and linked classes united.
-4. The rest. A bucket of four or more whose members are still in different
-   components may hold links that no centre shows. Its members are dealt into
-   chunks of about ``CHUNK``; chunk pairs compare signatures with numpy and
-   only pairs of different components whose signatures agree on nearly the
-   threshold become edges, in the pair's first common bucket; these are
-   confirmed on the full sets too. So no bucket is capped, and no pair list of
-   a bucket is ever made.
+2. Buckets. ``bands`` runs of ``rows`` bins are the bucket keys. The classes'
+   (key, id) pairs are sorted by key, and each bucket is read as a stream.
+3. Stars. The first ``CENTRES`` members of a bucket are its centres, and every
+   member is paired with them: at most ``CENTRES`` edges per member, whatever
+   the bucket's size. Edges are confirmed on the full sets, and linked classes
+   united.
+4. The rest. A bucket of more members than the centres account for, still in
+   different components, may hold links that no centre shows. Its members are
+   dealt into chunks of about ``CHUNK``; a task holds two chunks, compares
+   signatures with numpy, and where they agree on nearly the threshold the
+   sets, only across components, uniting as it goes. A pair counts in its
+   first common bucket. What leaves the task are at most as many links as it
+   has members, confirmed on the full sets like the others. So no bucket is
+   capped, and no pair list of a bucket is ever made.
 
 A link is ``100 * |A and B| >= percent * |A or B|``. Links of sets so small that
 only equal sets can reach the threshold need no buckets. ``rows`` and ``bands`` are
@@ -46,6 +48,9 @@ from jobsight.llm.graph import components
 WORDS = 5
 BINS = 256
 CHUNK = 192
+CENTRES = 3
+#: Low bits of a bucket key that tell its band.
+BAND_BITS = 7
 ATTEMPTS = 4096
 CACHE_WORDS = 300_000
 #: How far below the threshold two signatures may agree and still be compared in full: over four standard errors.
@@ -100,7 +105,7 @@ def signature(s: np.ndarray, draws: np.ndarray) -> np.ndarray:
     edges = np.searchsorted(s, np.arange(BINS, dtype=np.uint64) << np.uint64(56))
     full = np.diff(np.append(edges, len(s))) > 0
     out = np.zeros(BINS, np.uint16)
-    out[full] = (s[edges[full]] >> np.uint64(20)).astype(np.uint16)
+    out[full] = (s[edges[full]] >> np.uint64(32)).astype(np.uint16)
     empty = np.flatnonzero(~full)
     a = 0
     while len(empty) and a < ATTEMPTS:
@@ -130,14 +135,48 @@ def _sign(batches, words: int):
 def _bands(batches, bands: int, rows: int):
     with np.errstate(over="ignore"):
         mult = mix64(np.arange(1, rows + 1, dtype=np.uint64) * _MULT[3])
-        salt = mix64(np.arange(1, bands + 1, dtype=np.uint64) * _MULT[4])
+        band = np.arange(bands, dtype=np.uint64)
         for b in batches:
             sig = np.frombuffer(b"".join(b.column("signature").to_pylist()), np.uint16).reshape(-1, BINS)
             for at in range(0, len(sig), 2000):
                 part = sig[at : at + 2000, : bands * rows].reshape(-1, bands, rows).astype(np.uint64)
-                key = mix64((part * mult).sum(2, dtype=np.uint64) ^ salt).view(np.int64)
+                key = mix64((part * mult).sum(2, dtype=np.uint64) + mix64(band + np.uint64(1)))
+                key = (key >> np.uint64(BAND_BITS) << np.uint64(BAND_BITS) | band).view(np.int64)
                 ids = b.column("rep").slice(at, 2000).to_numpy(zero_copy_only=False)
-                yield {"key": key.ravel(), "rep": np.repeat(ids, bands), "band": np.tile(np.arange(bands), len(ids))}
+                yield {"key": key.ravel(), "rep": np.repeat(ids, bands)}
+
+
+def _buckets(batches):
+    """Of a stream sorted by (key, rep): every member of a bucket of two or more, its place and the bucket's centres."""
+    key, place, centres, held = None, 0, [], None
+
+    def empty():
+        return {"key": [], "rep": [], "place": [], "centres": []}
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        keys, reps = b.column("key").to_numpy(), b.column("rep").to_numpy()
+        alone = np.ones(len(keys), bool)
+        alone[1:-1] = (keys[1:-1] != keys[:-2]) & (keys[1:-1] != keys[2:])
+        alone[[0, -1]] = False  # the neighbours are in other batches
+        out = empty()
+
+        def put(*row):
+            for c, v in zip(out.values(), row, strict=True):
+                c.append(v)
+
+        for k, r in zip(keys[~alone].tolist(), reps[~alone].tolist(), strict=True):
+            if k != key:
+                key, place, centres, held = k, 0, [], r
+            if place == 1:
+                put(k, held, 0, [])
+            if place:
+                put(k, r, place, list(centres))
+            if place < CENTRES:
+                centres.append(r)
+            place += 1
+        yield out
 
 
 def _sets(batches, words: int):
@@ -165,32 +204,44 @@ def _first_common(x: np.ndarray, y: np.ndarray, bands: int, rows: int) -> np.nda
     return same.argmax(1)
 
 
+def _near(p: np.ndarray, q: np.ndarray, n: int, m: int, percent: int) -> bool:
+    """Whether sets of ``n`` and ``m`` elements may reach the threshold by the 32-bit halves of their hashes; never too strict."""
+    both = len(np.intersect1d(p, q, assume_unique=True)) + (n - len(p)) + (m - len(q))
+    return 100 * both >= percent * (n + m - both)
+
+
 def _compare(batches, percent: int, bands: int, rows: int):
-    """Pairs of one chunk pair (``task`` rows come together, sorted) that may be links."""
+    """Links across components within each chunk pair (rows of one ``task`` come together, in order of ``side``)."""
     need = (percent / 100 - MARGIN) * BINS
+    draws = _draws()
 
-    def pairs(rows_: list):
-        side = np.array([r[1] for r in rows_])
-        rep, comp = np.array([r[2] for r in rows_]), np.array([r[3] for r in rows_])
-        sig = np.frombuffer(b"".join(r[4] for r in rows_), np.uint16).reshape(-1, BINS)
+    def links(rows_: list):
+        side, rep, comp = (np.array([r[k] for r in rows_]) for k in (1, 2, 3))
+        sets = [np.frombuffer(r[4], np.uint32) for r in rows_]
+        halves = [np.unique(x) for x in sets]
+        sig = np.stack([signature(x.astype(np.uint64) << np.uint64(32), draws) for x in sets])
         left, right = np.flatnonzero(side <= 1), np.flatnonzero(side >= 1)  # side 1: a chunk with itself
         for i in left:
             js = right[(comp[right] != comp[i]) & ((side[right] != 1) | (right > i))]
-            js = js[(sig[js] == sig[i]).sum(1) >= need] if len(js) else js
-            if len(js):
-                # A pair meets in every bucket it shares; it counts in the first.
-                first = _first_common(sig[js], np.broadcast_to(sig[i], (len(js), BINS)), bands, rows)
-                js = js[first == rows_[0][5]]
-                yield np.full(len(js), rep[i]), rep[js]
+            agree = (sig[js] == sig[i]).sum(1)
+            js = js[agree >= need]
+            if not len(js):
+                continue
+            # A pair meets in every bucket it shares; it counts in the first.
+            js = js[_first_common(sig[js], np.broadcast_to(sig[i], (len(js), BINS)), bands, rows) == rows_[0][5]]
+            for j in js.tolist():
+                if comp[i] != comp[j] and _near(halves[i], halves[j], len(sets[i]), len(sets[j]), percent):
+                    yield rep[i], rep[j]
+                    comp[comp == max(comp[i], comp[j])] = min(comp[i], comp[j])
 
     def done(rows_: list):
-        found = list(pairs(rows_))
+        found = list(links(rows_))
         if found:
-            yield {"a": np.concatenate([f[0] for f in found]), "b": np.concatenate([f[1] for f in found])}
+            yield {"a": [f[0] for f in found], "b": [f[1] for f in found]}
 
     held: list = []
     for batch in batches:
-        cols = (batch.column(c).to_pylist() for c in ("task", "side", "rep", "component", "signature", "band"))
+        cols = (batch.column(c).to_pylist() for c in ("task", "side", "rep", "component", "items", "band"))
         for r in zip(*cols, strict=True):
             if held and held[0][0] != r[0]:
                 yield from done(held)
@@ -200,6 +251,12 @@ def _compare(batches, percent: int, bands: int, rows: int):
         yield from done(held)
 
 
+def _halves(batches):
+    for b in batches:
+        items = [(np.frombuffer(x, np.uint64) >> np.uint64(32)).astype(np.uint32).tobytes() for x in b.column("items").to_pylist()]
+        yield {"rep": b.column("rep"), "items": items}
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80, words: int = WORDS) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row; ``kept`` is ``doc_id = component_id``."""
     bands, rows = bands_for(percent)
@@ -212,43 +269,43 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = WORDS) -> D
     least = -(-percent // (100 - percent)) if percent < 100 else 1 << 60
     large = member.where(F.col("n_shingles") >= least).groupBy("set_key").agg(F.min(F.struct("doc_id", "signature")).alias("s"))
     sig = saved(large.select(F.col("s.doc_id").alias("rep"), F.col("s.signature").alias("signature")), "classes")
-    in_bucket = mapped(sig, lambda it: _bands(it, bands, rows), "key long, rep long, band int")
-    sized = in_bucket.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("rep").alias("c1"), F.max("rep").alias("c2"),
-        F.min_by("rep", F.xxhash64("rep")).alias("c3"), F.max_by("rep", F.xxhash64("rep")).alias("c4"),
-    ).where("n > 1")
-    buckets = saved(in_bucket.join(sized, "key"), "buckets")
-    centre = F.explode(F.array("c1", "c2", "c3", "c4"))
-    stars = buckets.select("rep", centre.alias("centre")).where("rep != centre")
-    stars = saved(stars.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct(), "stars")
-    links = _links(own, stars, percent, words)
+    keyed = mapped(sig, lambda it: _bands(it, bands, rows), "key long, rep long")
+    buckets = saved(
+        mapped(keyed.repartition("key").sortWithinPartitions("key", "rep"), _buckets, "key long, rep long, place long, centres array<long>"),
+        "buckets",
+    )
+    # Full sets of all that share a bucket. Joins that move texts or sets are the same kind at every size.
+    some = buckets.select("rep").distinct()
+    shared = own.hint("merge").join(some, F.col("doc_id") == F.col("rep"), "left_semi")
+    sets = saved(mapped(shared, lambda it: _sets(it, words), "rep long, items binary"), "sets")
+    stars = buckets.select(F.col("rep").alias("a"), F.explode("centres").alias("b"))
+    links = _links(sets, stars, percent)
     part = components(links)
 
-    # What no centre has shown: buckets of four or more with members of different components.
-    now = buckets.where("n > 3").join(part, F.col("rep") == F.col("node"), "left").select(
-        "key", "rep", "band", "n", F.coalesce("component", "rep").alias("component")
+    # What no centre has shown: larger buckets with members of different components.
+    now = saved(
+        buckets.join(part, F.col("rep") == F.col("node"), "left").select("key", "rep", "place", F.coalesce("component", "rep").alias("component")),
+        "open-buckets",
+    )
+    mixed = now.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("place").alias("last"))
+    mixed = mixed.where((F.col("low") < F.col("high")) & (F.col("last") > CENTRES))
+    rest = now.join(mixed, "key").select(
+        "key", "rep", "component", F.floor(F.col("last") / CHUNK).cast("int").alias("top"),
+        F.pmod(F.xxhash64("rep", "key"), F.floor(F.col("last") / CHUNK) + 1).cast("int").alias("mine"),
     )
-    now = saved(now, "open-buckets")
-    mixed = now.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    rest = now.join(mixed, "key").join(sig, "rep")
-    chunks = F.ceil(F.col("n") / CHUNK).cast("int")
-    mine = F.pmod(F.xxhash64("rep", "key"), chunks).cast("int")
-    rest = rest.withColumn("chunks", chunks).withColumn("mine", mine)
-    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
-    dealt = rest.withColumn("other", other).select(
+    dealt = rest.withColumn("other", F.explode(F.sequence(F.lit(0), "top"))).select(
         F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("task"),
         F.when(F.col("mine") == F.col("other"), 1).when(F.col("mine") < F.col("other"), 0).otherwise(2).alias("side"),
-        "rep", "component", "signature", "band",
+        F.col("rep").alias("member"), "component", F.col("key").bitwiseAND(F.lit((1 << BAND_BITS) - 1)).cast("int").alias("band"),
     )
+    halves = mapped(sets, _halves, "rep long, items binary")
+    filled = dealt.join(halves.hint("merge"), F.col("member") == F.col("rep")).select("task", "side", "rep", "component", "items", "band")
     more = mapped(
-        dealt.repartition("task").sortWithinPartitions("task", "side"),
+        filled.repartition("task").sortWithinPartitions("task", "side"),
         lambda it: _compare(it, percent, bands, rows), "a long, b long",
     )
-    more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = saved(more, "more-edges")
-    if not more.isEmpty():
-        links = saved(links, "star-links").unionAll(_links(own, more, percent, words))
-        part = components(links)
+    links = saved(links.unionAll(_links(sets, more, percent)), "all-links")
+    part = components(links)
     of_rep = reps.join(part, F.col("rep") == F.col("node"), "left").select(
         F.col("set_key").alias("of_set"), F.coalesce("component", "rep").alias("component_id")
     )
@@ -259,14 +316,14 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = WORDS) -> D
     )
 
 
-def _links(own: DataFrame, edges: DataFrame, percent: int, words: int) -> DataFrame:
-    """The edges (``a``, ``b``) whose full sets reach the threshold."""
-    ends = edges.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    items = saved(mapped(own.join(ends, "doc_id", "left_semi"), lambda it: _sets(it, words), "rep long, items binary"), "sets")
-    left = items.select(F.col("rep").alias("a"), F.col("items").alias("a_items"))
-    right = items.select(F.col("rep").alias("b"), F.col("items").alias("b_items"))
-    joined = edges.join(left, "a").join(right, "b")
-    return saved(mapped(joined.select("a", "b", "a_items", "b_items"), lambda it: _confirm(it, percent), "a long, b long").distinct(), "links")
+def _links(sets: DataFrame, edges: DataFrame, percent: int) -> DataFrame:
+    """The edges (``a``, ``b``) whose full sets reach the threshold, once each."""
+    edges = saved(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), "candidates")
+    left = sets.select(F.col("rep").alias("a"), F.col("items").alias("a_items"))
+    right = sets.select(F.col("rep").alias("b"), F.col("items").alias("b_items"))
+    joined = edges.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
+    found = mapped(joined.select("a", "b", "a_items", "b_items"), lambda it: _confirm(it, percent), "a long, b long")
+    return saved(found.distinct(), "links")
 
 
 def keep_one(docs: DataFrame, percent: int = 80, words: int = WORDS) -> DataFrame:
