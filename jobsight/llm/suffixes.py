@@ -52,8 +52,10 @@ from jobsight.llm.common import flat, mapped, mix64, read, slices
 SPAN, GRAM, SHALLOW = 50, 24, 24
 WIDTH = SPAN - GRAM + 1  # grams in a window
 CONTEXT = SPAN + WIDTH - 1
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 16 << 20
 GROUP_BYTES = 12 << 20
+#: Sorting takes a bucket in so many parts (a power of two), by the top bits of the hashes.
+SPLIT = 4
 PASS = 400_000
 
 _M = mix64(np.arange(1, 4, dtype=np.uint64)) | np.uint64(1)
@@ -166,17 +168,25 @@ def _meet(batches, buckets: int, groups: int):
         mixed = np.minimum.reduceat(d, start) < np.maximum.reduceat(d, start)
         keep = order[np.repeat(mixed, np.diff(np.append(start, len(s))))]
         if len(keep):
-            full = low[keep].astype(np.uint64) | (np.uint64(key) << np.uint64(32))
-            yield _dealt(_groups(row[keep], groups), rows=row[keep], hashes=full)
+            keep = keep[np.argsort(row[keep], kind="stable")]  # equal rows side by side compress well
+            out = _dealt(_groups(row[keep], groups), rows=row[keep], hashes=low[keep])
+            yield {**out, "bucket": [key] * len(out["key"])}
+
+
+def _known(left: pa.Table) -> np.ndarray:
+    """The group's rows in order; a row's place among them stands for it while marks travel."""
+    return np.unique(left.column("row").to_numpy())
 
 
 def _contexts(buckets: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         copies = set(right.column("copy").drop_null().to_pylist())
-        some = [r for r in zip(right.column("rows").to_pylist(), right.column("hashes").to_pylist(), strict=True) if r[0] is not None]
-        out = {k: [] for k in ("key", "docs", "rows", "places", "counts", "hashes", "bytes")}
+        some = [r for r in zip(*(right.column(c).to_pylist() for c in ("rows", "hashes", "bucket")), strict=True) if r[0] is not None]
+        out = {k: [] for k in ("key", "grp", "docs", "ranks", "places", "counts", "hashes", "bytes")}
         if some:
-            wanted = np.unique(mix64(_join(some, 0, np.int64).view(np.uint64)) + _join(some, 1, np.uint64))
+            of = np.repeat(np.array([r[2] for r in some], np.uint64), [len(r[1]) // 4 for r in some])
+            wanted = np.unique(mix64(_join(some, 0, np.int64).view(np.uint64)) + (_join(some, 1, np.uint32) | of << np.uint64(32)))
+            known = _known(left)
             for b in left.combine_chunks().to_batches():
                 for part in slices(b):
                     part = pa.RecordBatch.from_arrays([part.column(c) for c in ("doc_id", "row", "text")], ["doc_id", "row", "text"])
@@ -196,12 +206,14 @@ def _contexts(buckets: int):
                     at = p[:, None] + np.arange(CONTEXT)
                     span = np.where(np.arange(CONTEXT) < (count + SPAN - 1)[:, None], local[np.minimum(at, len(local) - 1)], 0).astype(np.uint8)
                     rows_ = _dealt(
-                        bucket, docs=part.column("doc_id").to_numpy()[text], rows=row,
-                        places=(p - (off - off[0])[text]).astype(np.int64), counts=count.astype(np.uint8), hashes=low, bytes=span,
+                        bucket * SPLIT + (low // np.uint32(2**32 // SPLIT)).astype(np.int32),
+                        docs=part.column("doc_id").to_numpy()[text], ranks=np.searchsorted(known, row).astype(np.uint32),
+                        places=(p - (off - off[0])[text]).astype(np.uint32), counts=count.astype(np.uint8), hashes=low, bytes=span,
                     )
+                    rows_["grp"] = [left.column("grp")[0].as_py()] * len(rows_["key"])
                     for k, v in rows_.items():
                         out[k] += v
-        kinds = {"key": pa.int32()}
+        kinds = {"key": pa.int32(), "grp": pa.int32()}
         return pa.table({k: pa.array(v, kinds.get(k, pa.binary())) for k, v in out.items()})
 
     return run
@@ -335,15 +347,16 @@ def _decide(doc: np.ndarray, count: np.ndarray, low: np.ndarray, spans: np.ndarr
     return out
 
 
-def _sort_windows(batches, groups: int):
-    names = ["docs", "rows", "places", "counts", "hashes", "bytes"]
+def _sort_windows(batches):
+    names = ["grp", "docs", "ranks", "places", "counts", "hashes", "bytes"]
     for _, rows in _by_key(batches, names):
-        doc, row, place = (_join(rows, k, np.int64) for k in range(3))
-        count, low = _join(rows, 3, np.uint8), _join(rows, 4, np.uint32)
-        marks = _decide(doc, count, low, _join(rows, 5, np.uint8).reshape(-1, CONTEXT))
+        doc = _join(rows, 1, np.int64)
+        grp = np.repeat(np.array([r[0] for r in rows], np.int32), [len(r[4]) for r in rows])
+        count, low = _join(rows, 4, np.uint8), _join(rows, 5, np.uint32)
+        marks = _decide(doc, count, low, _join(rows, 6, np.uint8).reshape(-1, CONTEXT))
         hit = marks > 0
         if hit.any():
-            yield _dealt(_groups(row[hit], groups), rows=row[hit], places=place[hit].astype(np.int64), marks=marks[hit])
+            yield _dealt(grp[hit], ranks=_join(rows, 2, np.uint32)[hit], places=_join(rows, 3, np.uint32)[hit], marks=marks[hit])
 
 
 RESULT = "doc_id long, row long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -352,19 +365,20 @@ RESULT = "doc_id long, row long, n_bytes long, n_removed long, n_spans long, kep
 def _cut(with_text: bool):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         copies = set(right.column("copy").drop_null().to_pylist())
-        names = ("rows", "places", "marks")
+        names = ("ranks", "places", "marks")
         some = [r for r in zip(*(right.column(c).to_pylist() for c in names), strict=True) if r[0] is not None]
-        row, place, mark = _join(some, 0, np.int64), _join(some, 1, np.int64), _join(some, 2, np.uint32)
+        row, place, mark = (_join(some, k, np.uint32) for k in range(3))
         order = np.argsort(row, kind="stable")
-        row, place, mark = row[order], place[order], mark[order]
+        row, place, mark = row[order].astype(np.int64), place[order].astype(np.int64), mark[order]
+        ranks = np.searchsorted(_known(left), left.column("row").to_numpy()).tolist()
         out = {c.split()[0]: [] for c in RESULT.split(", ")} | ({"kept_text": []} if with_text else {})
-        for d, r, text in zip(left.column("doc_id").to_pylist(), left.column("row").to_pylist(), left.column("text").to_pylist(), strict=True):
+        for d, r, rank, text in zip(left.column("doc_id").to_pylist(), left.column("row").to_pylist(), ranks, left.column("text").to_pylist(), strict=True):
             raw = text.encode("utf-8", "replace")
             removed = spans = 0
             kept = raw
             if d is not None and r in copies and len(raw) >= SPAN:
                 removed, spans, kept = len(raw), 1, b""
-            elif d is not None and (b := np.searchsorted(row, r, side="right")) > (a := np.searchsorted(row, r)):
+            elif d is not None and (b := np.searchsorted(row, rank, side="right")) > (a := np.searchsorted(row, rank)):
                 edge = np.zeros(len(raw) + 1, np.int32)
                 for j in range(WIDTH):
                     starts = place[a:b][mark[a:b] >> np.uint32(j) & np.uint32(1) > 0] + j
@@ -395,11 +409,11 @@ def repeated_spans(docs: DataFrame, with_text: bool = False) -> DataFrame:
     own = _grouped(docs, groups)
     known = own.where("doc_id is not null").select("doc_id", "row", "text")
 
-    def sorted_(df: DataFrame) -> DataFrame:
-        return df.repartition(buckets, "key").sortWithinPartitions("key")
+    def sorted_(df: DataFrame, parts: int) -> DataFrame:
+        return df.repartition(parts, "key").sortWithinPartitions("key")
 
     sent = mapped(known, lambda it: _send_hashes(it, buckets), "key int, docs binary, rows binary, hashes binary")
-    shared = mapped(sorted_(sent), lambda it: _meet(it, buckets, groups), "key int, rows binary, hashes binary")
+    shared = mapped(sorted_(sent, buckets), lambda it: _meet(it, buckets, groups), "key int, rows binary, hashes binary, bucket int")
     # Whole texts that repeat: all but those of the smallest id are copies.
     digest = known.where(F.octet_length("text") >= SPAN).select("doc_id", "row", F.md5("text").alias("digest"), F.octet_length("text").alias("n"))
     firsts = digest.groupBy("digest", "n").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
@@ -409,14 +423,14 @@ def repeated_spans(docs: DataFrame, with_text: bool = False) -> DataFrame:
 
     def side(df: DataFrame, *names: str) -> DataFrame:
         own_ = df.select(F.col("key").alias("grp"), F.lit(None).cast("long").alias("copy"), *names)
-        return own_.unionAll(copies.select("grp", "copy", *[F.lit(None).cast("binary").alias(n) for n in names]))
+        return own_.unionAll(copies.select("grp", "copy", *[F.lit(None).cast(df.schema[n].dataType).alias(n) for n in names]))
 
     by_group = own.groupBy("grp")
-    contexts = by_group.cogroup(side(shared, "rows", "hashes").groupBy("grp")).applyInArrow(
-        _contexts(buckets), "key int, docs binary, rows binary, places binary, counts binary, hashes binary, bytes binary"
+    contexts = by_group.cogroup(side(shared, "rows", "hashes", "bucket").groupBy("grp")).applyInArrow(
+        _contexts(buckets), "key int, grp int, docs binary, ranks binary, places binary, counts binary, hashes binary, bytes binary"
     )
-    marks = mapped(sorted_(contexts), lambda it: _sort_windows(it, groups), "key int, rows binary, places binary, marks binary")
-    return by_group.cogroup(side(marks, "rows", "places", "marks").groupBy("grp")).applyInArrow(
+    marks = mapped(sorted_(contexts, buckets * SPLIT), _sort_windows, "key int, ranks binary, places binary, marks binary")
+    return by_group.cogroup(side(marks, "ranks", "places", "marks").groupBy("grp")).applyInArrow(
         _cut(with_text), RESULT + ", kept_text string" * with_text
     )
 
