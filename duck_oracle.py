@@ -177,12 +177,19 @@ def _counts_out(p: str) -> list[str]:
     return out
 
 
-def mart_sql(key: str, role: str | None, dim: str | None, name_col: str | None) -> str:
+def mart_sql(
+    key: str, role: str | None, dim: str | None, name_col: str | None, source: tuple[str, ...] = ()
+) -> str:
+    """A mart over the records; ``source`` are the CTEs of a view to use in their place."""
     where = f"WHERE vacancy_name = '{role}'" if role else ""
     outer_where = f"WHERE vacancy.vacancy_name = '{role}'" if role else ""
-    ctes = [V, FACT, CUR]
+    ctes = [FACT, CUR]
     if dim:
         ctes.append(DIM_AREA if dim == "dim_area" else DIM_EMPLOYER)
+    if source:
+        ctes = [V, *source, *(c.replace("FROM v", "FROM n") for c in ctes)]
+    else:
+        ctes.insert(0, V)
     ctes.append(
         "grade_salary AS (\n  SELECT "
         + key
@@ -319,7 +326,7 @@ FULL OUTER JOIN (SELECT DISTINCT salary_currency AS currency_id, {rate6_case('sa
 )
 
 DUP = """dup AS (
-  SELECT * FROM d2 UNION ALL SELECT * REPLACE (salary_to + 1 AS salary_to) FROM d2
+  SELECT * FROM v UNION ALL SELECT * REPLACE (salary_to + 1 AS salary_to) FROM v
 )"""
 
 EMP1 = "emp1 AS (SELECT DISTINCT employer_id FROM d1 WHERE employer_id IS NOT NULL)"
@@ -347,12 +354,16 @@ NORM = """n AS (
     salary_currency, is_gross
   FROM v
 )"""
+NORM_EXACT = NORM.replace(
+    "CAST(salary_from AS DOUBLE) AS salary_from, CAST(salary_to AS DOUBLE) AS salary_to", "salary_from, salary_to"
+)
 # Each item on page floor(id/100); positions >= 95 again on the next page.
 PAGED = """pg AS (
   SELECT CAST(floor(id / 100) AS INTEGER) AS page, * FROM v
   UNION ALL
   SELECT CAST(floor(id / 100) AS INTEGER) + 1 AS page, * FROM v WHERE id % 100 >= 95
 )"""
+# The searched phrases.
 PHRASES = ["Data Engineer", "Дата Инженер", "Инженер данных", "Аналитик данных", "Data Analyst", "Data scientist",
            "Исследователь данных"]
 RUNS = "runs AS (SELECT DISTINCT CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS date_start FROM orders)"
@@ -376,7 +387,9 @@ SQL: dict[str, str] = {
     " OR (salary_currency IS NULL AND id % 5 = 0)",
     "ingest_title_search": _with(V)
     + "SELECT id, vacancy_name FROM v WHERE "
-    + " OR ".join(f"vacancy_name ILIKE '%{p}%'" for p in PHRASES),
+    + " OR ".join(
+        f"contains(regexp_replace(lower(vacancy_name), '[ -]+', ' ', 'g'), lower('{p}'))" for p in PHRASES
+    ),
     "ingest_lookback": _with(V)
     + "SELECT id, published_at FROM v WHERE published_at >= TIMESTAMP '2001-08-01' - INTERVAL 30 DAY",
     "ingest_lookback_daily": _with(V)
@@ -426,7 +439,7 @@ SQL: dict[str, str] = {
     "upsert_dim_experience": _dim_merge("experience_id", "experience_name"),
     "upsert_dim_currency": CUR_MERGE,
     "upsert_fact_vacancy": _fact_merge(),
-    "chk_unique": _with(V, D1, D2, DUP, fact_cte("fd", "dup"))
+    "chk_unique": _with(V, DUP, fact_cte("fd", "dup"))
     + "SELECT vacancy_id, CAST(COUNT(*) AS BIGINT) AS n FROM fd WHERE vacancy_id IS NOT NULL"
     " GROUP BY vacancy_id HAVING COUNT(*) > 1",
     "chk_fk": _with(V, D1, FACT, EMP1)
@@ -440,4 +453,39 @@ SQL: dict[str, str] = {
     + ", ".join(f"CASE WHEN length({c}) > {n} THEN '{c}' END" for c, n in LIMITS)
     + ") AS violations FROM ln WHERE "
     + " OR ".join(f"length({c}) > {n}" for c, n in LIMITS),
+    # Dimensions with the first and the day-2 names, keys held twice.
+    **{
+        f"chk_unique_{name}": _with(V, D2)
+        + f"SELECT {key}, CAST(COUNT(*) AS BIGINT) AS n FROM (SELECT DISTINCT {key}, {name}_name FROM v"
+        f" UNION ALL SELECT DISTINCT {key}, {name}_name FROM d2) b WHERE {key} IS NOT NULL"
+        f" GROUP BY {key} HAVING COUNT(*) > 1"
+        for name, key in (("area", "area_id"), ("employer", "employer_id"), ("experience", "experience_id"))
+    },
+    "chk_unique_currency": _with(V)
+    + "SELECT currency_id, CAST(2 AS BIGINT) AS n FROM (SELECT DISTINCT salary_currency AS currency_id FROM v) c"
+    " WHERE currency_id IN ('USD', 'EUR')",
+    **{
+        f"chk_fk_{key}": _with(V, FACT)
+        + f"SELECT vacancy_id, {key} FROM f WHERE ascii(CAST({key} AS VARCHAR)) % 2 = 1"
+        for key in ("experience_id", "area_id", "salary_currency")
+    },
+    **{
+        f"fk_set_null_{key}": _with(V, FACT)
+        + f"SELECT vacancy_id, CASE WHEN ascii(CAST({key} AS VARCHAR)) % 2 = 0 THEN {key} END AS {key} FROM f"
+        for key in ("experience_id", "area_id", "salary_currency")
+    },
+    **{
+        f"chk_length_dim_{name}": _with(V)
+        + f"SELECT DISTINCT {key}, 'name' AS violations FROM v WHERE {key} IS NOT NULL"
+        f" AND length({name}_name) * (ascii(CAST({key} AS VARCHAR)) - 20) > 255"
+        for name, key in (("area", "area_id"), ("employer", "employer_id"), ("experience", "experience_id"))
+    },
+    "chk_length_dim_currency": _with(V)
+    + "SELECT DISTINCT repeat(salary_currency, 4) AS currency_id, 'currency_id' AS violations FROM v"
+    " WHERE length(salary_currency) * 4 > 10",
+    "chk_length_fact": _with(V, FACT)
+    + "SELECT vacancy_id, 'salary_currency' AS violations FROM f WHERE length(salary_currency) * (vacancy_id % 5) > 10",
+    # The stored star holds what the pages carry: NORM applies, day 1 and 2 as above.
+    **{f"stored_{k}": mart_sql(*a, source=(NORM_EXACT,)) for k, a in MART_ARGS.items()},
+    "stored_fact_upsert": _fact_merge(),
 }

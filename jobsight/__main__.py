@@ -1,22 +1,24 @@
 """Command line: run the daily load, or write the marts.
 
-    python -m jobsight load  --pages <landing dir> [--as-of 2023-11-01] [--root <dir>] [--no-search] [--lenient]
-                             [--multiline]
+    python -m jobsight load  --pages <landing dir> [--as-of 2023-11-01] [--root <dir>] [--search] [--lenient]
+                             [--multiline] [--landing-date date] [--allow-duplicates]
     python -m jobsight marts --out <dir> [--root <dir>]
     python -m jobsight sql "SELECT * FROM data_mart.de_region" [--out <dir>] [--root <dir>]
     python -m jobsight verify [--root <dir>]
-    python -m jobsight stream --landing <dir> [--root <dir>] [--max-files 100] [--lenient] [--no-search]
+    python -m jobsight stream --landing <dir> [--root <dir>] [--max-files 100] [--lenient] [--search]
+                             [--as-of-now]
 
-``--root`` defaults to the session's ``spark.checkpoint.dir`` (shared storage
-on a cluster). Submit with ``spark-submit -m jobsight`` or run under a
+``--root`` defaults to the setting ``spark.jobsight.warehouse``. Submit with ``spark-submit -m jobsight`` or run under a
 configured ``SPARK_HOME``.
 """
 
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
 
+from jobsight.functions.classify import SEARCH_PHRASES
 from jobsight.plans import daily_load
 from jobsight.session import build_session
 from jobsight.sources.pages import read_pages
@@ -29,7 +31,9 @@ def main(argv: list[str] | None = None) -> None:
     load.add_argument("--pages", required=True)
     load.add_argument("--as-of", default=None, help="run date ending the lookback window (default: none)")
     load.add_argument("--root", default=None)
-    load.add_argument("--no-search", action="store_true", help="skip the title search predicate")
+    load.add_argument("--search", action="store_true", help="repeat the source's title search on the landed items")
+    load.add_argument("--landing-date", default=None, help="folder column of the landing dates, to skip old folders")
+    load.add_argument("--allow-duplicates", action="store_true", help="accept differing rows of one key")
     load.add_argument("--lenient", action="store_true", help="load items that lack required keys")
     load.add_argument("--multiline", action="store_true", help="one JSON document per file (not JSON lines)")
     marts = sub.add_parser("marts", help="write the seven marts as Parquet")
@@ -45,7 +49,8 @@ def main(argv: list[str] | None = None) -> None:
     stream.add_argument("--landing", required=True)
     stream.add_argument("--root", default=None)
     stream.add_argument("--max-files", type=int, default=None, help="files per micro-batch (bounds one load)")
-    stream.add_argument("--no-search", action="store_true")
+    stream.add_argument("--as-of-now", action="store_true", help="end each load's lookback window at its start")
+    stream.add_argument("--search", action="store_true")
     stream.add_argument("--lenient", action="store_true")
     args = parser.parse_args(argv)
 
@@ -56,8 +61,10 @@ def main(argv: list[str] | None = None) -> None:
             read_pages(spark, args.pages, multiline=args.multiline),
             root=args.root,
             as_of=args.as_of,
-            phrases=None if args.no_search else daily_load.SEARCH_PHRASES,
+            phrases=SEARCH_PHRASES if args.search else None,
+            landing_date=args.landing_date,
             strict=not args.lenient,
+            on_duplicate="allow" if args.allow_duplicates else "error",
         )
     elif args.cmd == "stream":
         from jobsight.streaming.landing import start_landing_ingest
@@ -67,7 +74,8 @@ def main(argv: list[str] | None = None) -> None:
             args.landing,
             root=args.root,
             max_files_per_trigger=args.max_files,
-            phrases=None if args.no_search else daily_load.SEARCH_PHRASES,
+            as_of=(lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)) if args.as_of_now else None,
+            phrases=SEARCH_PHRASES if args.search else None,
             strict=not args.lenient,
         )
         query.awaitTermination()

@@ -45,7 +45,7 @@ EXPERIENCE_GRADES = [
 # Rate to roubles per currency code; any other code has no rate (NULL).
 RUB_RATES = [("RUR", "1"), ("USD", "90"), ("KZT", "0.2"), ("BYR", "28.7")]
 
-# Title phrases the source search asks for.
+# Title phrases the source search asks for (fixed values).
 SEARCH_PHRASES = [
     "Data Engineer",
     "Дата Инженер",
@@ -113,6 +113,14 @@ def effective_grade(grade_col: Column | str, grade_experience_col: Column | str)
 
 
 def title_matches_any(title: Column | str, phrases: list[str] = SEARCH_PHRASES) -> Column:
-    """Case-insensitive contains-any over the search phrases."""
-    lowered = F.lower(_as_col(title))
-    return _any([lowered.contains(p.lower()) for p in phrases])
+    """Contains-any over the search phrases; case, hyphens and the width of gaps do not count.
+
+    The title and the phrases are folded alike, so no spelling that the role
+    rules know for a searched phrase (``Дата-инженер``) is lost.
+    """
+
+    def folded(c: Column) -> Column:
+        return F.regexp_replace(F.lower(c), r"[\s-]+", " ")
+
+    text = folded(_as_col(title))
+    return _any([text.contains(folded(F.lit(p))) for p in phrases])

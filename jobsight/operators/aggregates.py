@@ -14,9 +14,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import wraps
+from threading import Lock
 
-from pyspark import SparkContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobsight.functions.classify import GRADE_SUFFIXES, effective_grade
@@ -44,15 +44,17 @@ def _per_context(build: Callable[[], list[Column]]) -> Callable[[], list[Column]
     same context; a new context (new JVM gateway) builds its own.
     """
     cache: dict[str, list[Column]] = {}
+    lock = Lock()  # marts are published from several threads
 
     @wraps(build)
     def cached() -> list[Column]:
-        sc = SparkContext._active_spark_context
-        key = sc.applicationId if sc is not None else ""  # unique per context, unlike id()
-        if key not in cache:
-            cache.clear()
-            cache[key] = build()
-        return list(cache[key])
+        session = SparkSession.getActiveSession()
+        key = session.sparkContext.applicationId if session is not None else ""  # unique per context, unlike id()
+        with lock:
+            if key not in cache:
+                cache.clear()
+                cache[key] = build()
+            return list(cache[key])
 
     return cached
 
@@ -65,10 +67,10 @@ _TO = "_rub_to"
 def priced(fact: DataFrame, currency: DataFrame) -> DataFrame:
     """Fact rows with the effective grade and salaries in roubles.
 
-    The currency dimension is a short code list: Spark's size check
-    (``operators.joins``) broadcasts it, so the fact is not shuffled for it
-    (a shuffle on the currency would put every rouble-priced row in one
-    task). An unlisted or missing currency leaves the rouble amounts NULL.
+    The currency dimension is a short code list. Pass a stored one: its size is
+    known before planning, so Spark's size check (``operators.joins``)
+    broadcasts it and the fact is not shuffled for it (a shuffle on the
+    currency would put every rouble-priced row in one task). An unlisted or missing currency leaves the rouble amounts NULL.
     """
     rates = lookup(currency, "currency_id", ["to_rub"])
     joined = fact.join(rates, fact["salary_currency"] == rates["currency_id"], "left")
@@ -212,23 +214,6 @@ def grain_stats(fact: DataFrame, currency: DataFrame, key: str) -> DataFrame:
     return level2.select(key, *COUNT_COLS, *stat_final())
 
 
-@_per_context
-def _level1_combine() -> list[Column]:
-    """Re-aggregation of stored level-1 partials: sums add, bounds min/max."""
-    out = [F.sum(c).alias(c) for c in COUNT_COLS]
-    for _, s in GRADE_SUFFIXES:
-        out += [
-            F.sum(f"_s_{s}").alias(f"_s_{s}"),
-            F.sum(f"_c_{s}").alias(f"_c_{s}"),
-            F.min(f"_lof_{s}").alias(f"_lof_{s}"),
-            F.max(f"_hif_{s}").alias(f"_hif_{s}"),
-            F.min(f"_lot_{s}").alias(f"_lot_{s}"),
-            F.max(f"_hit_{s}").alias(f"_hit_{s}"),
-        ]
-    out += [F.min("_lof").alias("_lof"), F.max("_hif").alias("_hif"), F.min("_lot").alias("_lot"), F.max("_hit").alias("_hit")]
-    return out
-
-
 def partial_stats(fact: DataFrame, grains: list[list[str]], keys: list[str]) -> DataFrame:
     """Level 1 for several groupings in one scan: raw-amount partials per
     (``_set``, grouping keys, currency).
@@ -252,11 +237,6 @@ def partial_stats(fact: DataFrame, grains: list[list[str]], keys: list[str]) ->
     return level1.select(set_index.alias("_set"), *[c for c in level1.columns if c != "_gid"])
 
 
-def combine_partials(partials: DataFrame, keys: list[str]) -> DataFrame:
-    """Merge stored partials of the same (``_set``, keys, currency)."""
-    return partials.groupBy("_set", *keys, _CUR).agg(*_level1_combine())
-
-
 def finish_stats(level1: DataFrame, currency: DataFrame, keys: list[str]) -> DataFrame:
     """Level 2: convert the (key, currency) partials to roubles and merge per key."""
     rates = lookup(currency, "currency_id", ["to_rub"])

@@ -9,6 +9,7 @@ boundary (the engine keeps DECIMAL inside), so results compare by value.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -29,6 +30,7 @@ from jobsight.operators.checks import duplicate_keys, nullify_orphans, orphans,
 from jobsight.operators.normalise import distinct_records, missing_required, normalise
 from jobsight.operators.numbering import numbered
 from jobsight.operators.upsert import upsert_table
+from jobsight.plans import daily_load
 from jobsight.plans.marts import MARTS, build_mart, per_key
 from jobsight.schemas import VARCHAR_LIMITS
 from jobsight.session import storage_root
@@ -119,7 +121,9 @@ def q_effective_grade(spark, sf_dir):
 
 def q_salary_rub(spark, sf_dir):
     s = star(spark, sf_dir)
-    rows = A.priced(s.fact, s.currency)
+    # Stored before it is joined, as the load does: its size is known then, and the fact stays where it is.
+    rates = refresh(s.currency, _fresh_root(spark), "dim_currency")
+    rows = A.priced(s.fact, rates)
     return at_boundary(
         rows.select("vacancy_id", F.col("_rub_from").alias("salary_from_rub"), F.col("_rub_to").alias("salary_to_rub"))
     )
@@ -226,22 +230,72 @@ def q_upsert_fact_vacancy(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- checks
+# Every declared constraint over all rows. The violations are the fixture's:
+# each vacancy twice, dimensions with the day-2 names next to the first ones,
+# a star whose dimensions hold day 1 only, and employer names beyond VARCHAR(255).
 def q_chk_unique(spark, sf_dir):
-    _, batch = _days(spark, sf_dir)
-    return duplicate_keys(fact_candidates(duplicated_batch(batch)), "vacancy_id")
+    recs = vacancy_records(spark, sf_dir)
+    return duplicate_keys(fact_candidates(duplicated_batch(recs)), "vacancy_id")
 
 
-def q_chk_fk(spark, sf_dir):
-    recs = vacancy_records(spark, sf_dir)
-    old = first_load(day1_batch(recs))
-    return orphans(first_load(recs).fact, old.dims["employer"], "employer_id").select("vacancy_id", "employer_id")
+def _unique(key, name):
+    def q(spark, sf_dir):
+        recs = vacancy_records(spark, sf_dir)
+        both = dim_candidates(recs, key, name).unionByName(dim_candidates(day2_batch(recs), key, name))
+        return duplicate_keys(both, key)
+
+    return q
+
+
+q_chk_unique_area = _unique("area_id", "area_name")
+q_chk_unique_employer = _unique("employer_id", "employer_name")
+q_chk_unique_experience = _unique("experience_id", "experience_name")
+
+
+def q_chk_unique_currency(spark, sf_dir):
+    dim = as_currency_dim(currency_candidates(vacancy_records(spark, sf_dir)))
+    return duplicate_keys(dim.unionByName(with_changed_rates(dim)).distinct(), "currency_id")
+
+
+# fact column -> (dimension, its key)
+REFERENCES = {
+    "employer_id": ("employer", "employer_id"),
+    "experience_id": ("experience", "experience_id"),
+    "area_id": ("area", "area_id"),
+    "salary_currency": ("currency", "currency_id"),
+}
 
 
-def q_fk_set_null(spark, sf_dir):
+def _partial_dim(spark, sf_dir, column):
+    """The fact of all records, a dimension that lacks some of its keys, and the dimension's key."""
     recs = vacancy_records(spark, sf_dir)
-    old = first_load(day1_batch(recs))
-    fixed = nullify_orphans(first_load(recs).fact, old.dims["employer"], "employer_id")
-    return fixed.select("vacancy_id", "employer_id")
+    fact = first_load(recs).fact
+    if column == "employer_id":
+        old = first_load(day1_batch(recs))
+    else:  # few keys, all seen on day 1: leave out those whose first character has an odd code
+        old = first_load(recs.where(F.ascii(F.col(column).cast("string")) % 2 == 0))
+    dim, key = REFERENCES[column]
+    return fact, old.currency if dim == "currency" else old.dims[dim], key
+
+
+def _fk(column):
+    def q(spark, sf_dir):
+        fact, dim, key = _partial_dim(spark, sf_dir, column)
+        return orphans(fact, dim, column, key).select("vacancy_id", column)
+
+    return q
+
+
+def _set_null(column):
+    def q(spark, sf_dir):
+        fact, dim, key = _partial_dim(spark, sf_dir, column)
+        return nullify_orphans(fact, dim, column, key).select("vacancy_id", column)
+
+    return q
+
+
+q_chk_fk = _fk("employer_id")
+q_fk_set_null = _set_null("employer_id")
 
 
 def q_chk_length(spark, sf_dir):
@@ -249,6 +303,59 @@ def q_chk_length(spark, sf_dir):
     return over_length(recs, VARCHAR_LIMITS["staging"], ["id"])
 
 
+def _dim_length(table):
+    """Dimension rows over their bounds, with names (currency: codes) repeated."""
+
+    def q(spark, sf_dir):
+        recs = vacancy_records(spark, sf_dir)
+        if table == "dim_currency":
+            dim = as_currency_dim(currency_candidates(recs)).select(F.repeat("currency_id", F.lit(4)).alias("currency_id"))
+            return over_length(dim, VARCHAR_LIMITS[table], ["currency_id"])
+        key, name = {"dim_area": ("area_id", "area_name"), "dim_employer": ("employer_id", "employer_name"),
+                     "dim_experience": ("experience_id", "experience_name")}[table]
+        dim = as_dim(dim_candidates(recs, key, name), key, name)
+        # As many repeats as the key's first character says: some names stay within the bound.
+        times = F.ascii(F.col(key).cast("string")) - 20
+        dim = dim.withColumn("name", F.repeat(F.col("name"), times))
+        return over_length(dim, VARCHAR_LIMITS[table], [key])
+
+    return q
+
+
+def q_chk_length_fact(spark, sf_dir):
+    fact = first_load(vacancy_records(spark, sf_dir)).fact
+    fact = fact.withColumn("salary_currency", F.repeat("salary_currency", (F.col("vacancy_id") % 5).cast("int")))
+    return over_length(fact, VARCHAR_LIMITS["fact_vacancy"], ["vacancy_id"])
+
+
+# ---------------------------------------------------------------- stored star
+# The production path: landed pages, daily load into a warehouse folder of its
+# own (fresh for each call), then the marts published from what is stored.
+def _fresh_root(spark):
+    return f"{storage_root(spark)}/stored-{uuid.uuid4().hex[:12]}"
+
+
+def _stored_mart(view):
+    def q(spark, sf_dir):
+        root = _fresh_root(spark)
+        pages = parse_pages(landed_pages(vacancy_records(spark, sf_dir)))
+        daily_load.load(spark, pages, root=root, strict=False, fact_range_width=STORED_RANGE)
+        return at_boundary(daily_load.marts(spark, root, [view])[view])
+
+    return q
+
+
+def q_stored_fact_upsert(spark, sf_dir):
+    """Two days merged into a stored fact; what the folder holds afterwards."""
+    root, recs = _fresh_root(spark), vacancy_records(spark, sf_dir)
+    for batch in (day1_batch(recs), day2_batch(recs)):
+        daily_load.upsert_fact(spark, root, fact_candidates(batch), width=STORED_RANGE)
+    return at_boundary(daily_load.read_fact(spark, root))
+
+
+STORED_RANGE = 50_000
+
+
 # ---------------------------------------------------------------- ingest
 # Pages are landed from the records as API-shaped JSON (fixture), then read
 # back through the same path a real landing takes.
@@ -349,4 +456,14 @@ QUERIES: dict[str, Query] = {
     "chk_fk": q_chk_fk,
     "fk_set_null": q_fk_set_null,
     "chk_length": q_chk_length,
+    "chk_unique_area": q_chk_unique_area,
+    "chk_unique_employer": q_chk_unique_employer,
+    "chk_unique_experience": q_chk_unique_experience,
+    "chk_unique_currency": q_chk_unique_currency,
+    **{f"chk_fk_{c}": _fk(c) for c in REFERENCES if c != "employer_id"},
+    **{f"fk_set_null_{c}": _set_null(c) for c in REFERENCES if c != "employer_id"},
+    **{f"chk_length_{t}": _dim_length(t) for t in ("dim_area", "dim_employer", "dim_experience", "dim_currency")},
+    "chk_length_fact": q_chk_length_fact,
+    **{f"stored_{name}": _stored_mart(spec.view) for name, spec in MARTS.items()},
+    "stored_fact_upsert": q_stored_fact_upsert,
 }

@@ -3,25 +3,26 @@
     pages -> required-key check -> normalise -> search + lookback predicates
           -> DISTINCT -> staging refresh (U1) -> run log (U2)
           -> dim_area, dim_employer, dim_experience, dim_currency (U3-U6)
-          -> fact_vacancy (U7) -> mart partials of the rewritten ranges
+          -> fact_vacancy (U7)
 
-Storage layout under ``root`` (the shared ``spark.checkpoint.dir`` folder by
-default):
+Everything that can reject a batch is checked before the first write, so a
+rejected batch leaves no file and no bookmark.
+
+Storage layout under ``root`` (``session.warehouse_root`` by default):
 
 * staging and the four dimensions are small: each load writes a new version
   directory and commits it in a manifest (``sinks.versioned``); readers see
   either the old or the new version, never a half-written one;
 * the fact grows without bound, so it is not rewritten daily. It is stored
-  partitioned by ``id_range = vacancy_id div fact_range_width``; a load reads
-  only the partitions its batch touches (a semi-join on the partition column,
-  which Spark turns into partition pruning), merges them with the batch,
-  checkpoints the result (cutting the lineage to the partitions about to be
-  replaced) and swaps just those partitions in with dynamic partition
-  overwrite. The fact merge is idempotent (vacancy ids are
-  never NULL, matches always take the source), so a retried load converges;
-* the marts' level-1 partials are stored per id range next to the fact and
-  replaced for the same ranges, so publishing (``marts``) never re-reads the
-  fact.
+  partitioned by ``id_range = vacancy_id div fact_range_width``; a load opens
+  only the folders of the ranges its batch touches, by path (no listing of
+  the others), merges them with the batch, checkpoints the result (cutting
+  the lineage to the partitions about to be replaced) and swaps just those
+  partitions in with dynamic partition overwrite. The fact merge is idempotent
+  (vacancy ids are never NULL, matches always take the source), so a retried
+  load converges;
+* publishing (``marts``) scans the fact once, eight columns of it, and
+  pre-aggregates before its only shuffle.
 """
 
 from __future__ import annotations
@@ -33,7 +34,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsight.functions.classify import SEARCH_PHRASES
 from jobsight.operators.candidates import (
     as_currency_dim,
     as_dim,
@@ -41,12 +41,20 @@ from jobsight.operators.candidates import (
     dim_candidates,
     fact_candidates,
 )
-from jobsight.operators.checks import duplicate_keys, orphans, over_length
+from jobsight.operators.checks import duplicate_keys, over_length
 from jobsight.operators.normalise import distinct_records, missing_required, normalise
 from jobsight.operators.upsert import upsert_table
 from jobsight.schemas import DIM_AREA, DIM_CURRENCY, DIM_EMPLOYER, DIM_EXPERIENCE, FACT_VACANCY, VARCHAR_LIMITS
-from jobsight.session import storage_root
-from jobsight.sinks.versioned import current_path, read_current, read_run_log, record_run, refresh, write_version
+from jobsight.session import storage_root, warehouse_root
+from jobsight.sinks.versioned import (
+    current_path,
+    read_current,
+    read_if_exists,
+    read_run_log,
+    record_run,
+    refresh,
+    write_version,
+)
 from jobsight.sources.pages import (
     flatten_pages,
     has_bookmark,
@@ -58,10 +66,6 @@ from jobsight.sources.pages import (
 
 FACT_RANGE_WIDTH = 1_000_000
 FACT_DIR = "fact_vacancy"
-PARTIALS_DIR = "fact_mart_partials"
-# Written once the partials cover every range; its leading underscore keeps
-# it out of the partials dataset itself.
-PARTIALS_READY = "_complete"
 RANGE_COL = "id_range"
 
 DIMENSIONS = [
@@ -85,26 +89,14 @@ class LoadResult:
     tables: dict[str, str] = field(default_factory=dict)  # table -> path written
 
 
-def _exists_text(spark: SparkSession, path: str) -> bool:
-    """Whether a small marker exists (reads that one path, lists nothing else)."""
-    try:
-        spark.read.text(path)
-    except Exception:  # noqa: BLE001 - missing path
-        return False
-    return True
-
-
 def _fact_path(root: str) -> str:
     return f"{root}/{FACT_DIR}"
 
 
 def read_fact(spark: SparkSession, root: str) -> DataFrame:
-    """The current fact (without the storage-only ``id_range`` column)."""
-    try:
-        df = spark.read.parquet(_fact_path(root))
-    except Exception:  # noqa: BLE001 - no fact yet
-        return spark.createDataFrame([], FACT_VACANCY)
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in FACT_VACANCY.fields])
+    """The current fact (without the storage-only ``id_range`` column); empty only if there is none yet."""
+    df = read_if_exists(spark, FACT_VACANCY, _fact_path(root))
+    return spark.createDataFrame([], FACT_VACANCY) if df is None else df.select(*FACT_VACANCY.names)
 
 
 def read_stored(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -119,16 +111,23 @@ def _range_of(width: int):
     return F.floor(F.col("vacancy_id") / F.lit(width)).cast("bigint")
 
 
-def touched_partitions(stored: DataFrame, source: DataFrame, width: int = FACT_RANGE_WIDTH) -> DataFrame:
-    """The stored fact rows in the id ranges ``source`` touches.
+def touched_partitions(spark: SparkSession, root: str, source: DataFrame, width: int = FACT_RANGE_WIDTH) -> DataFrame:
+    """The stored fact rows in the id ranges ``source`` (computed, e.g. checkpointed) touches.
 
-    A semi-join on the partition column against the (small) set of touched
-    ranges: Spark turns it into dynamic partition pruning, so untouched
-    ranges are never read.
+    The touched ranges (at most one per ``width`` ids of the batch) come to
+    the driver; each range's folder is opened by its path with the declared
+    schema, so neither the other folders nor their parent is listed.
     """
-    touched = source.select(_range_of(width).alias(RANGE_COL)).distinct()
-    target = stored.join(touched, RANGE_COL, "left_semi").drop(RANGE_COL)
-    return target.select(*[F.col(f.name).cast(f.dataType) for f in FACT_VACANCY.fields])
+    touched = source.select(_range_of(width).alias(RANGE_COL)).where(F.col(RANGE_COL).isNotNull()).distinct()
+    target = None
+    found = [
+        path
+        for path in (f"{_fact_path(root)}/{RANGE_COL}={r[0]}" for r in touched.collect())
+        if read_if_exists(spark, FACT_VACANCY, path) is not None
+    ]
+    if found:
+        target = read_if_exists(spark, FACT_VACANCY, *found, basePath=_fact_path(root))
+    return spark.createDataFrame([], FACT_VACANCY) if target is None else target.select(*FACT_VACANCY.names)
 
 
 def upsert_fact(
@@ -140,20 +139,16 @@ def upsert_fact(
 ) -> str:
     """U7 on the range-partitioned fact: merge and replace only touched partitions."""
     path = _fact_path(root)
-    rng = _range_of(width)
     storage_root(spark)
     # The duplicate check, the touched-range probe and the merge all read the
     # batch: compute its DISTINCT candidates once.
     source = source.checkpoint(eager=True)
-    try:
-        target = touched_partitions(spark.read.parquet(path), source, width)
-    except Exception:  # noqa: BLE001 - first load
-        target = spark.createDataFrame([], FACT_VACANCY)
-    merged = upsert_table("fact_vacancy", target, source, on_duplicate).withColumn(RANGE_COL, rng)
+    target = touched_partitions(spark, root, source, width)
+    merged = upsert_table("fact_vacancy", target, source, on_duplicate).withColumn(RANGE_COL, _range_of(width))
     # Reliable checkpoint (shared storage): the rows to write no longer depend
     # on the partitions they replace, and a retried write task re-reads them
-    # instead of re-running the merge. One task writes each range: a range
-    # holds at most ``width`` distinct ids, so no task grows with the data.
+    # instead of re-running the merge. One task writes each range: with
+    # unique ids a range holds at most ``width`` rows, so no task grows with the data.
     rows = merged.checkpoint(eager=True)
     (
         rows.repartition(RANGE_COL)
@@ -165,41 +160,32 @@ def upsert_fact(
         .partitionBy(RANGE_COL)
         .parquet(path)
     )
-    marker = f"{root}/{PARTIALS_DIR}/{PARTIALS_READY}"
-    if _exists_text(spark, marker):
-        # The checkpointed rows are exactly the new content of the touched
-        # ranges: their mart partials need no second read of the fact.
-        write_partials(root, rows)
-    else:
-        # No complete partials yet (first load, or a fact written without
-        # them): build them for every range once, then mark them complete.
-        write_partials(root, spark.read.parquet(path))
-        spark.range(1).selectExpr("'complete' AS value").coalesce(1).write.mode("overwrite").text(marker)
     return path
 
 
-def write_partials(root: str, ranged_rows: DataFrame) -> str:
-    """Store the mart partials of whole id ranges (``ranged_rows`` carries
-    ``id_range`` and holds every fact row of each range it covers).
+def batch_sources(records: DataFrame) -> dict[str, DataFrame]:
+    """What one batch merges into each table (MERGE sources D2-D6)."""
+    out = {t: as_dim(dim_candidates(records, k, n), k, n) for t, (k, n) in DIMENSION_COLUMNS.items()}
+    out["dim_currency"] = as_currency_dim(currency_candidates(records))
+    out["fact_vacancy"] = fact_candidates(records)
+    return out
 
-    The partials are the level-1 aggregates of the marts (sums, counts, min,
-    max of raw amounts per grouping, key and currency) per id range. They are
-    decomposable, so publishing merges them instead of scanning the fact, and
-    a load replaces only the ranges it rewrote.
-    """
-    from jobsight.operators.aggregates import partial_stats
-    from jobsight.plans.marts import MART_GRAINS, MART_KEYS
 
-    partials = partial_stats(ranged_rows, [[RANGE_COL, *g] for g in MART_GRAINS], [RANGE_COL, *MART_KEYS])
-    path = f"{root}/{PARTIALS_DIR}"
-    (
-        partials.repartition(RANGE_COL)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(RANGE_COL)
-        .parquet(path)
-    )
-    return path
+def check_batch(records: DataFrame, on_duplicate: str = "error") -> None:
+    """Reject a batch that the merges would reject, before anything is written.
+
+    A key with several differing rows is refused with ``on_duplicate='error'``:
+    the merge would fail on it where the key is stored already, and where it is
+    not, would store both rows. ``'allow'`` takes them, as the reference's
+    fact does on first insert (it has no unique key); such a vacancy then counts once per row.
+    """
+    if on_duplicate != "error":
+        return
+    keys = {**DIMENSION_KEYS, "fact_vacancy": "vacancy_id"}
+    for table, source in batch_sources(records).items():
+        twice = duplicate_keys(source, keys[table])
+        if not twice.isEmpty():
+            raise BatchRejected(f"{table}: several rows for one {keys[table]}, e.g. {twice.limit(5).collect()}")
 
 
 def load(
@@ -208,27 +194,31 @@ def load(
     root: str | None = None,
     as_of: dt.datetime | str | None = None,
     run_ts: dt.datetime | None = None,
-    phrases: list[str] | None = SEARCH_PHRASES,
+    phrases: list[str] | None = None,
     strict: bool = True,
     on_duplicate: str = "error",
     fact_range_width: int = FACT_RANGE_WIDTH,
-    landing_date: str | None = "date",
+    landing_date: str | None = None,
 ) -> LoadResult:
     """Run one daily load of landed ``pages`` (columns of ``schemas.PAGE``).
 
-    ``as_of`` is the run date the lookback window ends at (None: no window);
-    pages landed in ``<landing_date>=YYYY-MM-DD`` folders outside the window
-    are pruned unread. ``phrases`` is the title search (None: no search).
+    ``as_of`` is the run date the lookback window ends at (None: no window).
+    ``landing_date`` names the folder column of pages landed in
+    ``<landing_date>=YYYY-MM-DD`` folders, to leave folders outside the window
+    unread (None: read all). ``phrases`` repeats the source's title search;
+    by default landed pages count as searched already and nothing is dropped.
     With ``strict``, a page without items, or an item lacking a key the
     reference reads unconditionally (or holding a value its tables reject:
     a non-numeric id or amount, an unparsable time, a string over its VARCHAR
-    bound), stops the load before anything is written.
+    bound), stops the load. So does a key with several differing rows unless
+    ``on_duplicate='allow'``. All checks come before the first write.
     """
-    root = root or storage_root(spark)
+    root = root or warehouse_root(spark)
+    storage_root(spark)
     bookmarked = None
     if as_of is not None:
         bookmarked = has_bookmark(read_run_log(spark, root))
-        if landing_date and landing_date in pages.columns:
+        if landing_date:
             pages = lookback_landing(pages, as_of, bookmarked, landing_date)
     if strict:
         # The checks and the load each read the pages: parse the JSON once
@@ -245,22 +235,23 @@ def load(
     records = normalise(items)
     if strict:
         too_long = over_length(records, VARCHAR_LIMITS["staging"], ["id"])
+        # Staging bounds every string the dimensions and the fact take over, at the same lengths
+        # (VARCHAR_LIMITS); role and grades are the classification's own short values.
         if not too_long.isEmpty():
             raise BatchRejected("values exceed the staging column lengths, e.g. " + str(too_long.limit(5).collect()))
     if phrases:
         records = title_search(records, phrases)
     if as_of is not None:
         records = lookback(records, as_of, bookmarked)
-    staging = refresh(distinct_records(records), root, "staging")
+    # Computed once, into the scratch folder: the checks below, staging and every merge read it.
+    records = distinct_records(records).checkpoint(eager=True)
+    check_batch(records, on_duplicate)
+    staging = refresh(records, root, "staging")
     record_run(spark, root, run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+    sources = batch_sources(staging)
 
     def load_dimension(table: str) -> tuple[str, str]:
-        if table == "dim_currency":
-            source = as_currency_dim(currency_candidates(staging))
-        else:
-            key, name = DIMENSION_COLUMNS[table]
-            source = as_dim(dim_candidates(staging, key, name), key, name)
-        merged = upsert_table(table, read_stored(spark, root, table), source, on_duplicate)
+        merged = upsert_table(table, read_stored(spark, root, table), sources[table], on_duplicate)
         return table, write_version(merged, root, table)
 
     # The four dimensions depend only on staging, not on each other: their
@@ -268,9 +259,7 @@ def load(
     result = LoadResult(staging)
     with ThreadPoolExecutor(max_workers=4) as pool:
         result.tables.update(pool.map(load_dimension, [t for t, *_ in DIMENSIONS] + ["dim_currency"]))
-    result.tables["fact_vacancy"] = upsert_fact(
-        spark, root, fact_candidates(staging), fact_range_width, on_duplicate
-    )
+    result.tables["fact_vacancy"] = upsert_fact(spark, root, sources["fact_vacancy"], fact_range_width, on_duplicate)
     return result
 
 
@@ -294,35 +283,33 @@ def verify(spark: SparkSession, root: str | None = None, fact: DataFrame | None
     check can break a reference: pass them as ``fact`` to check just those
     instead of the whole fact table.
     """
-    root = root or storage_root(spark)
+    root = root or warehouse_root(spark)
     fact = read_fact(spark, root) if fact is None else fact
-    report = {}
-    for table, key in DIMENSION_KEYS.items():
-        report[f"unique:{table}"] = duplicate_keys(read_stored(spark, root, table), key).count()
+    dims = {table: read_stored(spark, root, table) for table in DIMENSION_KEYS}
+    report = {f"unique:{t}": duplicate_keys(dims[t], key).count() for t, key in DIMENSION_KEYS.items()}
+    # All references in one pass over the fact: a dimension's distinct keys joined to it, misses counted.
+    rows, misses = fact.select(*[c for c, _ in FOREIGN_KEYS]), []
     for column, table in FOREIGN_KEYS:
-        dim = read_stored(spark, root, table)
-        report[f"fk:{column}"] = orphans(fact, dim, column, DIMENSION_KEYS[table]).count()
-    return report
+        key = DIMENSION_KEYS[table]
+        known = dims[table].where(F.col(key).isNotNull()).select(F.col(key).alias(f"_{column}")).distinct()
+        rows = rows.join(known, F.col(column) == F.col(f"_{column}"), "left")
+        misses.append(F.count_if(F.col(column).isNotNull() & F.col(f"_{column}").isNull()).alias(f"fk:{column}"))
+    return report | rows.agg(*misses).first().asDict()
 
 
-def marts(spark: SparkSession, root: str | None = None) -> dict[str, DataFrame]:
-    """U8: the seven marts over the stored star, registered as temp views.
+def marts(spark: SparkSession, root: str | None = None, views: list[str] | None = None) -> dict[str, DataFrame]:
+    """U8: the seven marts (or those named in ``views``) over the stored star, registered as temp views.
 
-    Built from the stored per-range partials (no fact scan); falls back to one
-    scan of the fact when there are none.
+    One scan of the fact serves all seven.
     """
-    from jobsight.plans.marts import publish, publish_from_partials
+    from jobsight.plans.marts import publish
 
-    root = root or storage_root(spark)
+    root = root or warehouse_root(spark)
     dims = {
         "area": read_stored(spark, root, "dim_area"),
         "employer": read_stored(spark, root, "dim_employer"),
     }
-    currency = read_stored(spark, root, "dim_currency")
-    if not _exists_text(spark, f"{root}/{PARTIALS_DIR}/{PARTIALS_READY}"):
-        # No complete partials (e.g. a fact written elsewhere): scan the fact once.
-        return publish(spark, read_fact(spark, root), currency, dims)
-    return publish_from_partials(spark, spark.read.parquet(f"{root}/{PARTIALS_DIR}"), currency, dims)
+    return publish(spark, read_fact(spark, root), read_stored(spark, root, "dim_currency"), dims, views)
 
 
 # ---------------------------------------------------------------------------
@@ -348,7 +335,7 @@ def register_tables(spark: SparkSession, root: str | None = None, with_marts: bo
     its views on read; here they are refreshed once per load). Databases are
     created under ``root`` so nothing is written elsewhere.
     """
-    root = root or storage_root(spark)
+    root = root or warehouse_root(spark)
     for db in DATABASES:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}/_catalog/{db}.db'")
     names = []

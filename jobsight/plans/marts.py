@@ -35,8 +35,6 @@ from jobsight.functions.classify import ROLE_DATA_ANALYST, ROLE_DATA_ENGINEER, R
 from jobsight.operators.aggregates import (
     COUNT_COLS,
     STAT_COLS,
-    combine_partials,
-    finish_stats,
     grain_stats,
     grain_stats_sets,
     salary_ratio_final,
@@ -115,30 +113,26 @@ def build_mart(name: str, fact: DataFrame, currency: DataFrame, dims: dict[str,
     return mart(fact, currency, spec.grain_key, spec.role, dim, spec.name_col)
 
 
-# Groupings that serve all seven marts, and their key columns in a fixed order.
+# Groupings that serve all seven marts.
 MART_GRAINS = [["vacancy_name", "area_id"], ["vacancy_name", "employer_id"], ["vacancy_name"]]
-MART_KEYS = ["area_id", "employer_id", "vacancy_name"]
 
 
 def publish(
     spark,
-    fact: DataFrame | None,
+    fact: DataFrame,
     currency: DataFrame,
     dims: dict[str, DataFrame],
-    stats: DataFrame | None = None,
+    views: list[str] | None = None,
 ) -> dict[str, DataFrame]:
-    """U8: all seven marts, registered as temp views named like the reference's.
+    """U8: the seven marts (or those named in ``views``), registered as temp views named like the reference's.
 
     The fact is scanned once: one GROUPING SETS aggregation yields the
     per-key counts and stats for (role, area), (role, employer) and (role),
-    checkpointed (per-key rows only); each mart is a slice of it. ``stats``
-    may instead come from stored partials (``publish_from_partials``).
+    checkpointed (per-key rows only); each mart is a slice of it.
     """
     grains = MART_GRAINS
     storage_root(spark)
-    if stats is None:
-        stats = grain_stats_sets(fact, currency, grains)
-    stats = stats.checkpoint(eager=True)
+    stats = grain_stats_sets(fact, currency, grains).checkpoint(eager=True)
 
     def finish(spec: MartSpec) -> tuple[str, DataFrame]:
         grain = [spec.grain_key] if spec.grain_key == "vacancy_name" else ["vacancy_name", spec.grain_key]
@@ -151,15 +145,7 @@ def publish(
 
     # The seven slices are independent: their (small) jobs run concurrently.
     with ThreadPoolExecutor(max_workers=len(MARTS)) as pool:
-        out = dict(pool.map(finish, MARTS.values()))
+        out = dict(pool.map(finish, [m for m in MARTS.values() if views is None or m.view in views]))
     for view, df in out.items():
         df.createOrReplaceTempView(view)
     return out
-
-
-
-def publish_from_partials(spark, partials: DataFrame, currency: DataFrame, dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """U8 from stored level-1 partials (``partial_stats`` over ``MART_GRAINS``
-    plus any extra key such as the id range): combine, convert, finish."""
-    stats = finish_stats(combine_partials(partials, MART_KEYS), currency, MART_KEYS)
-    return publish(spark, None, currency, dims, stats=stats)

@@ -90,6 +90,10 @@ VARCHAR_LIMITS = {
         "area_name": 255,
         "salary_currency": 10,
     },
+    "dim_area": {"name": 255},
+    "dim_employer": {"name": 255},
+    "dim_experience": {"experience_id": 255, "name": 255},
+    "dim_currency": {"currency_id": 10},
     "fact_vacancy": {
         "vacancy_name": 255,
         "grade": 20,

@@ -1,4 +1,4 @@
-"""Session defaults and the shared storage folder."""
+"""Session defaults, the shared scratch folder and the warehouse root."""
 
 from __future__ import annotations
 
@@ -42,13 +42,18 @@ def build_session(
     return builder.getOrCreate()
 
 
+def _is_local(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def storage_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared scratch folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting points at storage every executor can reach, so
-    versioned datasets and lineage cuts written below it survive executor
-    loss. Only when the session leaves it unset (local tests) is a private
-    folder created and registered as the checkpoint dir.
+    lineage cuts and intermediate tables written below it survive executor
+    loss; leaving it unset there is an error. Only a local session (one
+    process, one disk) gets a private folder of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -58,8 +63,25 @@ def storage_root(spark: SparkSession) -> str:
             return root.rstrip("/")
         raise RuntimeError("set spark.checkpoint.dir to a shared folder") from e
     if not root:
-        root = sc.getCheckpointDir() or tempfile.mkdtemp(prefix="jobsight-")
+        root = sc.getCheckpointDir()
+        if not root and not _is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        root = root or tempfile.mkdtemp(prefix="jobsight-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
+
+
+def warehouse_root(spark: SparkSession) -> str:
+    """Where durable tables (fact, dimensions, run log) live: ``spark.jobsight.warehouse``.
+
+    Checkpoints come and go; the warehouse must not, so it has a setting of its
+    own, required off local mode.
+    """
+    root = spark.conf.get("spark.jobsight.warehouse", None)
+    if root:
+        return root.rstrip("/")
+    if not _is_local(spark):
+        raise RuntimeError("set spark.jobsight.warehouse to the durable folder of the tables")
+    return f"{storage_root(spark)}/warehouse"

@@ -5,7 +5,7 @@ fresh version directory, and only after the write has committed is a manifest
 entry written for it (its own one-row directory). Readers take the newest
 entry. A failed or retried task leaves at most an uncommitted directory
 nobody points at, so the reference's truncate-then-insert retry hazard cannot
-occur. Old versions stay readable until a retention policy removes them.
+occur. Old versions stay readable until ``expire_versions`` removes them.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +34,21 @@ def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
+def read_if_exists(spark: SparkSession, schema: T.StructType, *paths: str, **options: str) -> DataFrame | None:
+    """The Parquet files at ``paths``, or None if there is no such path.
+
+    Only a missing path means "nothing yet". Any other failure (no permission,
+    an unreadable listing, a broken file) is raised: taken for an empty table
+    it would make the next write replace what is stored.
+    """
+    try:
+        return spark.read.schema(schema).options(**options).parquet(*paths)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def new_version_path(root: str, dataset: str) -> str:
     stamp = _now().strftime("%Y%m%dT%H%M%S%f")
     return f"{root}/{dataset}/v={stamp}-{uuid.uuid4().hex[:8]}"
@@ -51,9 +67,8 @@ def commit(spark: SparkSession, root: str, dataset: str, path: str) -> None:
 
 def current_path(spark: SparkSession, root: str, dataset: str) -> str | None:
     """Newest committed version of ``dataset`` (one small aggregate)."""
-    try:
-        manifest = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{root}/{MANIFEST}/{dataset}/*")
-    except Exception:  # noqa: BLE001 - no manifest yet
+    manifest = read_if_exists(spark, MANIFEST_SCHEMA, f"{root}/{MANIFEST}/{dataset}/*")
+    if manifest is None:
         return None
     row = manifest.agg(F.max_by("path", "committed_at").alias("path")).first()
     return None if row is None else row["path"]
@@ -90,6 +105,27 @@ def refresh(df: DataFrame, root: str, dataset: str = "staging") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def expire_versions(spark: SparkSession, root: str, dataset: str, keep: int = 7) -> list[str]:
+    """Remove all but the newest ``keep`` committed versions of ``dataset`` and their manifest entries.
+
+    The entry goes first, so no reader is pointed at files being removed.
+    Returns the paths removed. Uncommitted version folders are left alone: a
+    load may be writing them.
+    """
+    if keep < 1:
+        raise ValueError("the current version cannot expire")
+    entries = read_if_exists(spark, MANIFEST_SCHEMA, f"{root}/{MANIFEST}/{dataset}/*")
+    if entries is None:
+        return []
+    rows = entries.select("path", "committed_at", F.col("_metadata.file_path").alias("entry")).collect()  # one per load
+    old = sorted(rows, key=lambda r: r["committed_at"], reverse=True)[keep:]
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for r in old:
+        for p in (jvm.org.apache.hadoop.fs.Path(r["entry"]).getParent(), jvm.org.apache.hadoop.fs.Path(r["path"])):
+            p.getFileSystem(conf).delete(p, True)
+    return [r["path"] for r in old]
+
+
 # ----------------------------------------------------------------- run log
 def append_bookmark(run_log: DataFrame, ts: dt.datetime | str) -> DataFrame:
     """U2 as a DataFrame: the run log with one more completed run at ``ts``."""
@@ -103,7 +139,5 @@ def record_run(spark: SparkSession, root: str, ts: dt.datetime) -> None:
 
 
 def read_run_log(spark: SparkSession, root: str) -> DataFrame:
-    try:
-        return spark.read.schema(SETUP).parquet(f"{root}/setup")
-    except Exception:  # noqa: BLE001 - no run yet
-        return spark.createDataFrame([], SETUP)
+    runs = read_if_exists(spark, SETUP, f"{root}/setup")
+    return spark.createDataFrame([], SETUP) if runs is None else runs

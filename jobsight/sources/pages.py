@@ -48,7 +48,7 @@ def pages_without_items(pages: DataFrame) -> DataFrame:
 
 
 def title_search(df: DataFrame, phrases: list[str] = SEARCH_PHRASES, title: str = "vacancy_name") -> DataFrame:
-    """Keep rows whose title contains any phrase, case-insensitively."""
+    """Keep rows whose title contains any phrase (``functions.classify.title_matches_any``)."""
     return df.where(title_matches_any(title, phrases))
 
 
@@ -72,12 +72,13 @@ def lookback_landing(
     """S3 on the landing folders: drop pages landed before the window starts.
 
     With pages landed under ``<landing_date>=YYYY-MM-DD/`` folders this is a
-    partition filter, so those folders are never listed or read. It is exact:
-    a page is landed no earlier than its items were published, so a page
-    landed before the window holds only items published before it.
+    partition filter, so those folders are never listed or read. A page is
+    landed no earlier than its items were published, but the folder's date and
+    the items' local times may be of different zones, so the bound leaves a
+    day of margin; ``lookback`` decides about the items.
     """
     start = F.to_date(F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(F.lit(lookback_days(has_bookmark))))
-    return pages.where(F.col(landing_date) >= start)
+    return pages.where(F.col(landing_date) >= F.date_sub(start, 1))
 
 
 def has_bookmark(run_log: DataFrame) -> bool:

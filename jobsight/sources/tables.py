@@ -5,35 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def spread(df: DataFrame, min_partitions: int | None = None, by: list[str] | None = None) -> DataFrame:
-    """Redistribute a scan that yields too few partitions to keep the cluster busy.
-
-    A file that cannot be split (one Parquet row group, a gzip file) is read
-    by one task, and every narrow operator after it runs in that one task.
-    When the scan yields fewer than half of ``min_partitions`` (default: the
-    session's default parallelism), the rows are spread evenly; a large input
-    with many splits is returned untouched, so at scale this adds no shuffle. Every plan that starts from the same spread scan reuses its
-    exchange instead of reading the file again.
-    """
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view of the plan (e.g. a Connect session)
-        return df
-    if have * 2 >= want:
-        return df
-    # Hash on a unique key (``by``; default all columns): deterministic, so a
-    # retried task gets the same rows without the per-partition sort a
-    # round-robin repartition needs, and filters above still reach the scan.
-    # Hashing on a key rather than every column keeps column pruning.
-    return df.repartition(want, *(by or df.columns))
-
-
-def read_table(
-    spark: SparkSession, root: str, name: str, columns: list[str] | None = None, key: list[str] | None = None
-) -> DataFrame:
-    """``root/name.parquet`` with ``columns``, spread on ``key`` if it is unsplittable."""
+def read_table(spark: SparkSession, root: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    """``root/name.parquet``, pruned to ``columns``."""
     df = spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
-    if columns:
-        df = df.select(*columns)
-    return spread(df, by=key)
+    return df.select(*columns) if columns else df

@@ -8,10 +8,10 @@ with exactly-once bookkeeping of which files were processed in the stream's
 checkpoint. Each micro-batch runs the same load as the batch path
 (``plans.daily_load.load``) through ``foreachBatch``.
 
-Replays: a micro-batch retried after a failure re-applies the same pages;
-the fact and non-NULL dimension keys converge (the merge is idempotent on
-them), while a NULL-keyed dimension row is added again, as the reference's
-own MERGE does on every run.
+Replays: each loaded epoch is recorded under the warehouse, and a micro-batch
+whose epoch is recorded already is skipped. A batch that failed half-way is
+applied again whole: the fact and non-NULL dimension keys converge (the merge
+is idempotent on them).
 """
 
 from __future__ import annotations
@@ -20,11 +20,16 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from jobsight.plans.daily_load import load
 from jobsight.schemas import PAGE
-from jobsight.session import storage_root
+from jobsight.session import warehouse_root
+from jobsight.sinks.versioned import read_if_exists
+
+EPOCHS = T.StructType([T.StructField("checkpoint", T.StringType()), T.StructField("epoch", T.LongType())])
 
 
 def page_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -34,6 +39,12 @@ def page_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: in
     return reader.json(landing_dir)
 
 
+def epoch_done(spark: SparkSession, root: str, checkpoint: str, epoch_id: int) -> bool:
+    """Whether the stream with this checkpoint has loaded this micro-batch before."""
+    done = read_if_exists(spark, EPOCHS, f"{root}/_epochs")
+    return done is not None and not done.where((F.col("checkpoint") == checkpoint) & (F.col("epoch") == epoch_id)).isEmpty()
+
+
 def start_landing_ingest(
     spark: SparkSession,
     landing_dir: str,
@@ -49,13 +60,14 @@ def start_landing_ingest(
     ``max_files_per_trigger`` bounds a micro-batch, so a backlog of landed
     pages is worked off in several loads instead of one oversized one.
     """
-    root = root or storage_root(spark)
+    root = root or warehouse_root(spark)
     checkpoint = checkpoint or f"{root}/_streams/landing_ingest"
 
     def run_batch(pages: DataFrame, epoch_id: int) -> None:
-        if pages.isEmpty():
+        if pages.isEmpty() or epoch_done(spark, root, checkpoint, epoch_id):
             return
         load(spark, pages, root=root, as_of=as_of() if as_of else None, **load_options)
+        spark.createDataFrame([(checkpoint, epoch_id)], EPOCHS).coalesce(1).write.mode("append").parquet(f"{root}/_epochs")
 
     writer = page_stream(spark, landing_dir, max_files_per_trigger).writeStream.foreachBatch(run_batch).option(
         "checkpointLocation", checkpoint

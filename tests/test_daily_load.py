@@ -50,11 +50,11 @@ def _partition_files(root):
 def test_two_day_load(spark, scratch):
     pages1, pages2 = _batches(spark)
     with pytest.raises(D.BatchRejected):
-        D.load(spark, pages1, root=scratch, phrases=None)  # fixture items lack keys on purpose
+        D.load(spark, pages1, root=scratch)  # fixture items lack keys on purpose
 
-    D.load(spark, pages1, root=scratch, phrases=None, strict=False, fact_range_width=WIDTH)
+    D.load(spark, pages1, root=scratch, strict=False, fact_range_width=WIDTH)
     before = _partition_files(scratch)
-    D.load(spark, pages2, root=scratch, phrases=None, strict=False, fact_range_width=WIDTH)
+    D.load(spark, pages2, root=scratch, strict=False, fact_range_width=WIDTH)
     after = _partition_files(scratch)
 
     # Only the partitions holding day-2 ids (< 300) were rewritten.
@@ -118,7 +118,7 @@ def test_stream_runs_the_same_load(spark, scratch):
             shutil.copy(f, os.path.join(landing, f"{tag}-{i}.json"))
 
     def run():
-        q = start_landing_ingest(spark, landing, root=root, phrases=None, strict=False, fact_range_width=WIDTH)
+        q = start_landing_ingest(spark, landing, root=root, strict=False, fact_range_width=WIDTH)
         q.awaitTermination(300)
         assert q.exception() is None
 
@@ -146,13 +146,13 @@ def test_command_line(spark, scratch):
     landing = os.path.join(scratch, "landing")
     pages1.select(F.to_json(F.struct("page", "pages", "found", "items")).alias("value")).write.text(landing)
     root = os.path.join(scratch, "wh")
-    main(["load", "--pages", landing, "--root", root, "--no-search", "--lenient"])
+    main(["load", "--pages", landing, "--root", root, "--lenient"])
     main(["marts", "--root", root, "--out", os.path.join(scratch, "marts")])
     written = spark.read.parquet(os.path.join(scratch, "marts", "de_region"))
     assert written.count() > 0 and len(written.columns) == 32
     main(["verify", "--root", root])  # exits non-zero on a violation
     stream_root = os.path.join(scratch, "stream-wh")
-    main(["stream", "--landing", landing, "--root", stream_root, "--no-search", "--lenient"])
+    main(["stream", "--landing", landing, "--root", stream_root, "--lenient"])
     assert D.read_fact(spark, stream_root).count() == D.read_fact(spark, root).count()
     out = os.path.join(scratch, "sql-out")
     main(["sql", "SELECT area_id, cnt_vacancy FROM data_mart.de_region", "--root", root, "--out", out])
@@ -165,29 +165,105 @@ def test_command_line(spark, scratch):
 def test_strict_load_rejects_pages_without_items(spark, scratch):
     pages = parse_pages(spark.createDataFrame([('{"page": 3}',)], "value string"))
     with pytest.raises(D.BatchRejected, match="pages without items"):
-        D.load(spark, pages, root=scratch, phrases=None)
+        D.load(spark, pages, root=scratch)
+
+
+ITEM = {"id": "1", "name": "Data Engineer", "published_at": "2023-11-01T10:00:00+0300", "archived": False,
+        "type": {"id": "open"}, "employer": {"id": "5", "name": "E"}, "experience": {"id": "noExperience", "name": "none"},
+        "area": {"id": "1", "name": "A"}, "salary": None}
+
+
+def _pages_of(spark, *items):
+    return parse_pages(spark.createDataFrame([(json.dumps({"page": 0, "items": list(items)}),)], "value string"))
 
 
 def test_lookback_prunes_landing_folders(spark, scratch):
     from jobsight.sources.pages import read_pages
 
-    item = {"id": "1", "name": "Data Engineer", "published_at": "2023-11-01T10:00:00+0300", "archived": False,
-            "type": {"id": "open"}, "employer": {"id": "5", "name": "E"}, "experience": {"id": "noExperience"},
-            "area": {"id": "1", "name": "A"}, "salary": None}
     landing = os.path.join(scratch, "landing")
-    for day, pid in (("2023-10-01", "1"), ("2023-11-01", "2")):
+    for day, pid, at in (("2023-09-01", "1", "2023-09-01"), ("2023-10-01", "2", "2023-10-02"), ("2023-11-01", "3", "2023-11-01")):
         d = os.path.join(landing, f"date={day}")
         os.makedirs(d)
         with open(os.path.join(d, "p.json"), "w") as f:
-            f.write(json.dumps({"page": 0, "items": [dict(item, id=pid)]}) + "\n")
+            f.write(json.dumps({"page": 0, "items": [dict(ITEM, id=pid, published_at=f"{at}T01:00:00+0300")]}) + "\n")
     pages = read_pages(spark, landing)
-    # First run: a 30-day window ending 2023-11-01 keeps only the second folder.
+    # First run: a 30-day window ending 2023-11-01, and a day of margin for the folders.
     kept = D.lookback_landing(pages, "2023-11-01", has_bookmark=False)
     plan = kept._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"PartitionFilters: \[isnotnull\(date#\d+\), \(date#\d+ >= 2023-10-02\)\]", plan), plan
-    assert kept.count() == 1
-    D.load(spark, pages, root=os.path.join(scratch, "wh"), as_of="2023-11-01", phrases=None)
-    assert [r["vacancy_id"] for r in D.read_fact(spark, os.path.join(scratch, "wh")).collect()] == [2]
+    assert re.search(r"PartitionFilters: \[isnotnull\(date#\d+\), \(date#\d+ >= 2023-10-01\)\]", plan), plan
+    assert kept.count() == 2
+    # The item of local time 2023-10-02 01:00 lies in the folder of the day before, by its UTC time: it stays.
+    for name, option in (("pruned", "date"), ("all", None)):
+        root = os.path.join(scratch, name)
+        D.load(spark, pages, root=root, as_of="2023-11-01", landing_date=option)
+        assert sorted(r["vacancy_id"] for r in D.read_fact(spark, root).collect()) == [2, 3]
+
+
+def test_default_load_keeps_every_title_the_rules_know(spark, scratch):
+    names = ["Дата-инженер", "data инженер", "Data  Engineer", "Python developer"]
+    D.load(spark, _pages_of(spark, *[dict(ITEM, id=str(i), name=n) for i, n in enumerate(names)]), root=scratch)
+    assert D.read_fact(spark, scratch).count() == 4
+    from jobsight.functions.classify import title_matches_any
+
+    df = spark.createDataFrame([(n,) for n in names], "t string")
+    assert [r[0] for r in df.select(title_matches_any("t")).collect()] == [True, False, True, False]
+
+
+def test_unreadable_tables_raise_and_keep_their_rows(spark, scratch):
+    """A stray folder that makes a listing invalid must not count as an empty table."""
+    D.load(spark, _pages_of(spark, *[dict(ITEM, id=str(i)) for i in range(20)]), root=scratch)
+    before = D.read_fact(spark, scratch).count()
+    later = _pages_of(spark, dict(ITEM, id="3", name="Data Analyst"))
+    for table, broken in (
+        ("fact", f"{scratch}/fact_vacancy/id_range=0/part-00000-broken.snappy.parquet"),
+        ("dims", f"{scratch}/_manifest/dim_area/x/part-00000-broken.snappy.parquet"),
+        ("run log", f"{scratch}/setup/part-00000-broken.snappy.parquet"),
+    ):
+        os.makedirs(os.path.dirname(broken), exist_ok=True)
+        with open(broken, "w") as f:
+            f.write("not parquet")
+        with pytest.raises(Exception):  # noqa: B017 - whatever the reader says
+            D.load(spark, later, root=scratch, as_of="2023-11-02")
+        os.replace(broken, os.path.join(scratch, f"was-broken-{table}"))
+        assert D.read_fact(spark, scratch).count() == before
+
+
+def test_rejected_batches_write_nothing(spark, scratch):
+    root = os.path.join(scratch, "wh")
+    twice = _pages_of(spark, ITEM, dict(ITEM, name="Data Analyst"))
+    with pytest.raises(D.BatchRejected, match="vacancy_id"):
+        D.load(spark, twice, root=root)
+    renamed = _pages_of(spark, ITEM, dict(ITEM, id="2", area={"id": "1", "name": "B"}))
+    with pytest.raises(D.BatchRejected, match="area_id"):
+        D.load(spark, renamed, root=root)
+    assert not os.path.exists(root)
+    D.load(spark, twice, root=root, on_duplicate="allow")  # as the reference's fact on first insert
+    assert D.read_fact(spark, root).count() == 2
+
+
+def test_a_replayed_stream_batch_is_skipped(spark, scratch):
+    from jobsight.streaming.landing import EPOCHS, epoch_done
+
+    assert not epoch_done(spark, scratch, "c", 0)
+    spark.createDataFrame([("c", 0)], EPOCHS).write.parquet(f"{scratch}/_epochs")
+    assert epoch_done(spark, scratch, "c", 0) and not epoch_done(spark, scratch, "c", 1) and not epoch_done(spark, scratch, "d", 0)
+
+
+def test_old_versions_expire(spark, scratch):
+    from jobsight.sinks.versioned import current_path, expire_versions, write_version
+
+    paths = [write_version(spark.range(i), scratch, "t") for i in range(1, 5)]
+    assert sorted(expire_versions(spark, scratch, "t", keep=2)) == sorted(paths[:2])
+    assert current_path(spark, scratch, "t") == paths[3] and spark.read.parquet(paths[2]).count() == 3
+    assert not os.path.exists(paths[0])
+
+
+def test_roots_off_local_mode_must_be_set(monkeypatch, spark):
+    import jobsight.session as S
+
+    monkeypatch.setattr(S, "_is_local", lambda _: False)
+    with pytest.raises(RuntimeError, match="warehouse"):
+        S.warehouse_root(spark)
 
 
 def test_strict_load_rejects_over_long_values(spark, scratch):
@@ -196,7 +272,7 @@ def test_strict_load_rejects_over_long_values(spark, scratch):
             "area": {}, "salary": None}
     pages = parse_pages(spark.createDataFrame([(json.dumps({"page": 0, "items": [item]}),)], "value string"))
     with pytest.raises(D.BatchRejected, match="column lengths"):
-        D.load(spark, pages, root=os.path.join(scratch, "wh"), phrases=None)
+        D.load(spark, pages, root=os.path.join(scratch, "wh"))
 
 
 def test_stream_backlog_in_bounded_batches_converges(spark, scratch):
@@ -209,7 +285,7 @@ def test_stream_backlog_in_bounded_batches_converges(spark, scratch):
         shutil.copy(f, os.path.join(landing, f"p{i}.json"))
     root = os.path.join(scratch, "wh")
     q = start_landing_ingest(
-        spark, landing, root=root, phrases=None, strict=False, fact_range_width=WIDTH, max_files_per_trigger=1
+        spark, landing, root=root, strict=False, fact_range_width=WIDTH, max_files_per_trigger=1
     )
     q.awaitTermination(300)
     assert q.exception() is None
@@ -218,28 +294,3 @@ def test_stream_backlog_in_bounded_batches_converges(spark, scratch):
     expected = fact_candidates(_staged(pages1))
     cols = ["vacancy_id", "vacancy_name", "grade", "salary_from", "is_open", "area_id"]
     assert _as_set(D.read_fact(spark, root), cols) == _as_set(expected, cols)
-
-
-def test_marts_from_partials_equal_a_fact_scan(spark, scratch):
-    from jobsight.plans.marts import publish
-
-    pages1, pages2 = _batches(spark)
-    for pages in (pages1, pages2):
-        D.load(spark, pages, root=scratch, phrases=None, strict=False, fact_range_width=WIDTH)
-    from_partials = D.marts(spark, scratch)
-    dims = {"area": D.read_stored(spark, scratch, "dim_area"), "employer": D.read_stored(spark, scratch, "dim_employer")}
-    scanned = publish(spark, D.read_fact(spark, scratch), D.read_stored(spark, scratch, "dim_currency"), dims)
-    for view, df in scanned.items():
-        assert _as_set(from_partials[view], df.columns) == _as_set(df, df.columns), view
-
-
-def test_partials_are_backfilled_for_a_fact_without_them(spark, scratch):
-    pages1, pages2 = _batches(spark)
-    first = os.path.join(scratch, "first")
-    D.load(spark, pages1, root=first, phrases=None, strict=False, fact_range_width=WIDTH)
-    # A warehouse whose fact was written before partials existed.
-    root = os.path.join(scratch, "copy")
-    shutil.copytree(first, root, ignore=shutil.ignore_patterns(D.PARTIALS_DIR))
-    D.load(spark, pages2, root=root, phrases=None, strict=False, fact_range_width=WIDTH)
-    ranges = {r[0] for r in spark.read.parquet(os.path.join(root, D.PARTIALS_DIR)).select("id_range").distinct().collect()}
-    assert ranges == {r[0] for r in spark.read.parquet(os.path.join(root, "fact_vacancy")).select("id_range").distinct().collect()}

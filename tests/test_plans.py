@@ -15,7 +15,7 @@ def _plan(df) -> str:
 
 
 def _stored_star(spark, root):
-    D.load(spark, parse_pages(landed_pages(vacancy_records(spark, SF_SMALL))), root=root, phrases=None, strict=False)
+    D.load(spark, parse_pages(landed_pages(vacancy_records(spark, SF_SMALL))), root=root, strict=False)
     return D.read_fact(spark, root), D.read_stored(spark, root, "dim_currency")
 
 
@@ -41,15 +41,39 @@ def test_upsert_keeps_null_keys_out_of_the_join(spark):
 
 
 def test_fact_upsert_reads_only_touched_ranges(spark, scratch):
+    """Through ``upsert_fact``: files of the other ranges cannot be read, and the merge does not mind."""
+    import glob
+    import os
+
     from pyspark.sql import functions as F
 
     recs = vacancy_records(spark, SF_SMALL)
-    D.load(spark, parse_pages(landed_pages(recs)), root=scratch, phrases=None, strict=False, fact_range_width=100)
-    stored = spark.read.parquet(f"{scratch}/fact_vacancy")
-    source = D.read_fact(spark, scratch).where(F.col("vacancy_id") < 250)
-    target = D.touched_partitions(stored, source, 100)
-    assert "dynamicpruningexpression" in _plan(target)
-    assert target.count() == stored.where(F.col("vacancy_id") < 300).count()
+    D.load(spark, parse_pages(landed_pages(recs)), root=scratch, strict=False, fact_range_width=100)
+    source = D.read_fact(spark, scratch).where(F.col("vacancy_id") < 250).withColumn("grade", F.lit("X")).checkpoint()
+    n = D.read_fact(spark, scratch).count()
+    target = D.touched_partitions(spark, scratch, source, 100)
+    ranges = {os.path.basename(os.path.dirname(f)) for f in target.inputFiles()}
+    assert ranges == {"id_range=0", "id_range=1", "id_range=2"}
+    others = [f for f in glob.glob(f"{scratch}/fact_vacancy/id_range=*/*.parquet") if os.path.basename(os.path.dirname(f)) not in ranges]
+    held = {f: open(f, "rb").read() for f in others}
+    for f in others:
+        with open(f, "wb") as out:
+            out.write(b"unreadable")
+    D.upsert_fact(spark, scratch, source, 100)
+    for f, raw in held.items():
+        with open(f, "wb") as out:
+            out.write(raw)
+    fact = D.read_fact(spark, scratch)
+    assert fact.count() == n and fact.where("grade = 'X'").count() == source.count()
+
+
+def test_rouble_conversion_does_not_shuffle_the_fact(spark):
+    from jobsight.plans.catalog import QUERIES
+
+    df = QUERIES["salary_rub"](spark, SF_SMALL)
+    df.collect()
+    final = _plan(df).split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin" in final and "hashpartitioning(salary_currency" not in final
 
 
 def test_lookback_reaches_the_source_scan(spark):

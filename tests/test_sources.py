@@ -1,15 +1,23 @@
-"""Source helpers: spreading unsplittable scans."""
+"""Source helpers."""
 
-from jobsight.sources.tables import read_table, spread
+from jobsight.sources.fixture import vacancy_records
+from jobsight.sources.tables import read_table
 from tests.conftest import SF_MID
 
 
-def test_spread_only_when_the_scan_is_narrow(spark):
-    orders = spark.read.parquet(f"{SF_MID}/orders.parquet")  # one row group: one scan partition
-    assert orders.rdd.getNumPartitions() == 1
-    spread_out = read_table(spark, SF_MID, "orders", ["o_orderkey", "o_orderdate"], key=["o_orderkey"])
-    assert spread_out.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread_out.count() == orders.count()
-    assert spread_out.agg({"o_orderkey": "sum"}).first()[0] == orders.agg({"o_orderkey": "sum"}).first()[0]
-    wide = spark.range(0, 1000, 1, spark.sparkContext.defaultParallelism * 2)
-    assert spread(wide) is wide  # enough partitions already: untouched, no shuffle
+def test_read_table_prunes_columns(spark):
+    df = read_table(spark, SF_MID, "orders", ["o_orderkey", "o_orderdate"])
+    assert df.columns == ["o_orderkey", "o_orderdate"]
+
+
+def test_records_have_one_plan_whatever_the_splits(spark):
+    def shape(split_bytes):
+        before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+        try:
+            plan = vacancy_records(spark, SF_MID)._jdf.queryExecution().sparkPlan().toString()
+            return [line.strip(" +-:").split(" ")[0].split("#")[0] for line in plan.split("\n")]
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+    assert shape("128m") == shape("8k")
