@@ -1,6 +1,6 @@
 """Quality classifier: a sparse rule ensemble over text statistics.
 
-1. Statistics (``STATS``) of every whole text, computed once.
+1. Statistics (``STATS``) of every whole text.
 2. Rules. Small regression trees grown one after another on what the trees
    before left unexplained, each on its own random rows and statistics; every
    path from a root to a node is a rule, a conjunction of thresholds.
@@ -12,8 +12,8 @@
 
 Fitting happens on the driver over a bounded sample: at most ``max_rows``
 labelled rows in expectation (the ids that hash lowest; all rows while there
-are fewer), ``len(STATS)`` numbers each. Scoring is a projection of the
-statistics table. Only the labels' ids are joined, never texts.
+are fewer), ``len(STATS)`` numbers each; the sample's ids, that many at most,
+are broadcast to find their texts. Scoring is one scan without a shuffle.
 
 Only rows outside ``held_out()`` with a 0/1 label teach; an id labelled more
 than once counts by the mean of its labels. Without labels, or with labels of
@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsight.llm.common import mapped, read, saved, texts
+from jobsight.llm.common import mapped, read, saved, texts, workers_find_package
 from jobsight.llm.langid import held_out
 
 STATS = (
@@ -75,13 +75,12 @@ def _statistics(batches):
     for b in batches:
         rows = [statistics(t) for t in b.column("text").to_pylist()]
         out = {s: [float(r[i]) for r in rows] for i, s in enumerate(STATS)}
-        yield {"doc_id": b.column("doc_id"), "text_key": b.column("text_key"), **out}
+        yield {"doc_id": b.column("doc_id"), **out}
 
 
 def text_statistics(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_key`` (hash of the text) and ``STATS``, one row per row."""
-    own = texts(docs, F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"))
-    return mapped(own, _statistics, "doc_id long, text_key long, " + ", ".join(f"{s} double" for s in STATS))
+    """``doc_id`` and ``STATS``, one row per row."""
+    return mapped(texts(docs), _statistics, "doc_id long, " + ", ".join(f"{s} double" for s in STATS))
 
 
 Rule = tuple[tuple[int, bool, float], ...]  # (statistic, at most?, threshold), in order
@@ -172,48 +171,48 @@ def fit(x: np.ndarray, y: np.ndarray, **how) -> tuple[float, list[tuple[Rule, fl
     return intercept, [(r, float(c)) for r, c in zip(rules, w, strict=True) if abs(c) > 1e-6]
 
 
-def compiled(model: tuple[float, list[tuple[Rule, float]]]) -> F.Column:
-    """The score as a column expression over the columns ``STATS``."""
+def compiled(model: tuple[float, list[tuple[Rule, float]]], value=lambda i: F.col(STATS[i])) -> F.Column:
+    """The score as a column expression; ``value(i)`` is the column of statistic ``i``."""
     intercept, rules = model
     total = F.lit(intercept)
     for rule, weight in rules:
         cond = F.lit(True)
         for s, at_most, cut in rule:
-            cond = cond & (F.col(STATS[s]) <= cut if at_most else F.col(STATS[s]) > cut)
+            cond = cond & (value(s) <= cut if at_most else value(s) > cut)
         total = total + F.when(cond, F.lit(weight)).otherwise(F.lit(0.0))
     return 1 / (1 + F.exp(-total))
 
 
-def learn(stats: DataFrame, labels: DataFrame, max_rows: int = 20_000):
+def learn(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000):
     """The model from ``labels`` (``doc_id, quality``) and the statistics of their documents."""
     marked = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out()).groupBy(
         F.col("doc_id").cast("long").alias("doc_id")
     ).agg((F.avg("quality") >= 0.5).cast("int").alias("quality"))
     n = marked.count()
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
-    rows = stats.join(marked.where(draw < min(1.0, max_rows / max(n, 1))), "doc_id").select("doc_id", "quality", *STATS).collect()
+    sample = saved(marked.where(draw < min(1.0, max_rows / max(n, 1))), "quality-sample")
+    ids = F.broadcast(sample.select(F.col("doc_id").alias("_id")))  # max_rows in expectation
+    stats = text_statistics(docs.join(ids, F.col("doc_id").cast("long") == F.col("_id"), "left_semi"))
+    rows = stats.join(F.broadcast(sample), "doc_id").select("doc_id", "quality", *STATS).collect()
     rows.sort()
     x = np.array([r[2:] for r in rows], float).reshape(len(rows), len(STATS))
     return fit(x, np.array([r[1] for r in rows], float))
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, max_rows: int = 20_000) -> DataFrame:
-    """``doc_id, text_key, held_out, score, predicted`` of every row."""
-    stats = saved(text_statistics(docs), "quality-stats")
-    model = learn(stats, labels, max_rows)
-    scored = stats.select("doc_id", "text_key", held_out().alias("held_out"), compiled(model).alias("score"))
+    """``doc_id, held_out, score, predicted`` of every row."""
+    model = learn(docs, labels, max_rows)
+    scored = text_statistics(docs).select("doc_id", held_out().alias("held_out"), compiled(model).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs`` predicted good. The same statistics and expression as ``score_quality``, joined on id and text."""
-    bad = score_quality(docs, labels, **how).where("predicted = 0").select(
-        F.col("doc_id").alias("_bad_doc"), F.col("text_key").alias("_bad_key")
-    )
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_bad_doc")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_bad_key"))
-    return docs.join(bad, same, "left_anti")
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, max_rows: int = 20_000) -> DataFrame:
+    """The rows of ``docs`` predicted good, by the same statistics and expression as ``score_quality``; no shuffle."""
+    model = learn(docs, labels, max_rows)
+    workers_find_package(docs.sparkSession)
+    measured = docs.withColumn("_stats", F.udf(statistics, "array<double>", useArrow=True)(F.coalesce("text", F.lit(""))))
+    return measured.where(compiled(model, lambda i: F.col("_stats")[i]) >= threshold).drop("_stats")
 
 
 def op7_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
-    return scored.drop("text_key")
+    return score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
