@@ -28,11 +28,12 @@ and passed through by ``drop_leaks``.
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsight.llm.common import mapped, read, saved, texts
+from jobsight.llm.common import mapped, read, texts, workers_find_package
 
 _GAP = re.compile(r"[\W_]+")
 FOUND = "doc_id long, text_key long, item_id long, distance int, budget int, begin long, end long"
@@ -164,12 +165,38 @@ def _blocks(benchmark: DataFrame, min_chars: int, block_chars: int):
         yield some
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs`` in which no item occurs."""
-    hit = find_leaks(docs, benchmark, **how).select(F.col("doc_id").alias("_hit_doc"), F.col("text_key").alias("_hit_key")).distinct()
-    hit = saved(hit, "leaks")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_hit_doc")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_hit_key"))
-    return docs.join(hit, same, "left_anti")
+_MATCHERS: dict[str, Matcher] = {}
+
+
+class _Block:
+    """A broadcast block of items with a name of its own, for the workers' cache."""
+
+    def __init__(self, spark: SparkSession, items: list[tuple[int, str]]):
+        self.id, self._sent = uuid.uuid4().hex, spark.sparkContext.broadcast(items)
+
+    @property
+    def value(self):
+        return self._sent.value
+
+
+def _leaks(sent, rate: float):
+    def has_leak(text):
+        if sent.id not in _MATCHERS:  # one automaton per worker and block
+            _MATCHERS[sent.id] = Matcher(sent.value, rate)
+        return text is not None and next(_MATCHERS[sent.id].find(normal(text)), None) is not None
+
+    return has_leak
+
+
+def drop_leaks(
+    docs: DataFrame, benchmark: DataFrame, rate: float = 0.05, min_chars: int = 40, block_chars: int = 2_000_000
+) -> DataFrame:
+    """The rows of ``docs`` in which ``find_leaks`` finds no item: a filter per block, no shuffle."""
+    workers_find_package(docs.sparkSession)
+    for block in _blocks(benchmark, min_chars, block_chars):
+        sent = _Block(docs.sparkSession, block)
+        docs = docs.where(~F.udf(_leaks(sent, rate), "boolean", useArrow=True)("text"))
+    return docs
 
 
 def op8_edit_matching(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -329,7 +329,7 @@ def _links(sets: DataFrame, edges: DataFrame, percent: int) -> DataFrame:
 def keep_one(docs: DataFrame, percent: int = 80, words: int = WORDS) -> DataFrame:
     """One row of each near-duplicate group of ``docs``: that of the group's smallest id."""
     gone = near_duplicates(docs, percent, words).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    return docs.join(gone.hint("merge"), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,7 +38,7 @@ from collections import Counter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsight.llm.common import mapped, read, saved, texts
+from jobsight.llm.common import mapped, read, saved, texts, workers_find_package
 
 KINDS = ("email", "ip", "card", "phone")
 MIN_TERM = 4
@@ -229,8 +229,9 @@ def sanitise(docs: DataFrame, **how) -> DataFrame:
     same = docs["doc_id"].cast("long").eqNullSafe(found["_pii_doc"]) & (
         F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == found["_pii_key"]
     )
+    workers_find_package(docs.sparkSession)
     fix = F.udf(_replace, "string", useArrow=True)
-    joined = docs.join(found, same, "left")
+    joined = docs.join(found.hint("merge"), same, "left")  # moves texts: the same plan at every size
     clean = fix(docs["text"], F.col("_pii_base"), F.col("_pii_added"))
     cols = [clean.alias("text") if c == "text" else docs[c] for c in docs.columns]
     out = joined.select(*cols)

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsight.llm.common import flat, mapped, mix64, read, slices
+from jobsight.llm.common import flat, mapped, mix64, read, slices, workers_find_package
 
 SPAN, GRAM, SHALLOW = 50, 24, 24
 WIDTH = SPAN - GRAM + 1  # grams in a window
@@ -404,6 +404,7 @@ def _grouped(docs: DataFrame, groups: int) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """``RESULT`` (and ``kept_text``) of every row; ``row`` is a hash of id and text."""
+    workers_find_package(docs.sparkSession)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets, groups = int(size // BUCKET_BYTES) + 1, int(size // GROUP_BYTES) + 1
     own = _grouped(docs, groups)
