@@ -1,8 +1,7 @@
 """Oracle SQL (DuckDB) for every query key with a SQL equivalent.
 
 Written independently of the Spark code: the fixture, the classification and
-the marts are spelled out as SQL in the reference's own shape (stats CTE,
-joins back to the fact, wide GROUP BY). Money is exact: salaries times rates
+the marts are spelled out as SQL. Money is exact: salaries times rates
 in integer 1e-8 units (HUGEINT), half-up rounding as integer division, DOUBLE
 only at the end, so both sides produce the same correctly rounded doubles.
 """
@@ -164,25 +163,32 @@ def _ratio_out(p: str) -> list[str]:
 
 
 def _counts_out(p: str) -> list[str]:
+    """Counts of a group; per-grade counts are NULL rather than 0."""
+    def count(cond: str) -> str:
+        return f"COUNT(*) FILTER (WHERE {cond})"
+
     out = [
-        f"CAST(SUM(CASE WHEN {p}is_open = TRUE THEN 1 ELSE 0 END) AS BIGINT) AS cnt_vacancy",
-        f"CAST(SUM(CASE WHEN {p}salary_from IS NOT NULL OR {p}salary_to IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT)"
-        " AS cnt_vac_salary",
-    ]
-    out += [
-        f"CAST(SUM(CASE WHEN COALESCE({p}grade, {p}grade_experience) = '{g}' THEN 1 END) AS BIGINT) AS {c}"
-        for g, c in COUNTED
+        f"CAST({count(p + 'is_open')} AS BIGINT) AS cnt_vacancy",
+        f"CAST({count(f'{p}salary_from IS NOT NULL OR {p}salary_to IS NOT NULL')} AS BIGINT) AS cnt_vac_salary",
     ]
-    out.append(f"CAST(SUM(CASE WHEN {p}grade = 'Team Lead' THEN 1 END) AS BIGINT) AS cnt_lead")
+    graded = f"COALESCE({p}grade, {p}grade_experience)"
+    out += [f"CAST(NULLIF({count(f"{graded} = '{g}'")}, 0) AS BIGINT) AS {c}" for g, c in COUNTED]
+    lead = count(f"{p}grade = 'Team Lead'")
+    out.append(f"CAST(NULLIF({lead}, 0) AS BIGINT) AS cnt_lead")
     return out
 
 
+COUNT_NAMES = ["cnt_vacancy", "cnt_vac_salary", *(c for _, c in COUNTED), "cnt_lead"]
+
+
 def mart_sql(
     key: str, role: str | None, dim: str | None, name_col: str | None, source: tuple[str, ...] = ()
 ) -> str:
-    """A mart over the records; ``source`` are the CTEs of a view to use in their place."""
-    where = f"WHERE vacancy_name = '{role}'" if role else ""
-    outer_where = f"WHERE vacancy.vacancy_name = '{role}'" if role else ""
+    """A mart over the records; ``source`` are the CTEs of a view to use in their place.
+
+    One aggregation per key. A NULL key has counts but no statistics; keys the
+    dimension lacks fall together under NULL where their statistics agree.
+    """
     ctes = [FACT, CUR]
     if dim:
         ctes.append(DIM_AREA if dim == "dim_area" else DIM_EMPLOYER)
@@ -190,41 +196,21 @@ def mart_sql(
         ctes = [V, *source, *(c.replace("FROM v", "FROM n") for c in ctes)]
     else:
         ctes.insert(0, V)
-    ctes.append(
-        "grade_salary AS (\n  SELECT "
-        + key
-        + ",\n    "
-        + ",\n    ".join(_stats_select())
-        + f"\n  FROM ({PRICED}) vac {where}\n  GROUP BY {key}\n)"
-    )
+    where = f" WHERE vacancy_name = '{role}'" if role else ""
+    figures = ",\n    ".join([*_counts_out(""), *_stats_select()])
+    ctes.append(f"by_key AS (\n  SELECT {key} AS k,\n    {figures}\n  FROM ({PRICED}) p{where}\n  GROUP BY {key}\n)")
+    known = ", ".join(f"CASE WHEN k IS NOT NULL THEN {c} END AS {c}" for c in STAT_RAW)
+    ctes.append(f"keyed AS (SELECT k, {', '.join(COUNT_NAMES)}, {known} FROM by_key)")
     if dim:
-        head = [f"{dim}.{key} AS {key}", f"{dim}.name AS {name_col}"]
-        join = f"LEFT JOIN {dim} ON vacancy.{key} = {dim}.{key}\n"
-        group = [f"{dim}.{key}", f"{dim}.name"]
-        order = f"{dim}.{key}"
+        out_key, names, join = f"d.{key}", [f"d.name AS {name_col}"], f" LEFT JOIN {dim} d ON d.{key} = keyed.k"
     else:
-        head = [f"vacancy.{key} AS {key}"]
-        join = ""
-        group = [f"vacancy.{key}"]
-        order = f"vacancy.{key}"
-    select = (
-        [f"CAST(ROW_NUMBER() OVER (ORDER BY {order} ASC NULLS LAST) AS BIGINT) AS id"]
-        + head
-        + _counts_out("vacancy.")
-        + _stats_out("grade_salary.")
-        + _ratio_out("grade_salary.")
-    )
-    return (
-        _with(*ctes)
-        + "SELECT\n  "
-        + ",\n  ".join(select)
-        + "\nFROM f AS vacancy\n"
-        + join
-        + f"LEFT JOIN grade_salary ON grade_salary.{key} = vacancy.{key}\n"
-        + outer_where
-        + "\nGROUP BY "
-        + ", ".join(group + [f"grade_salary.{c}" for c in STAT_RAW])
-    )
+        out_key, names, join = "keyed.k", [], ""
+    columns = [
+        f"CAST(ROW_NUMBER() OVER (ORDER BY {out_key} ASC NULLS LAST) AS BIGINT) AS id", f"{out_key} AS {key}", *names,
+        *(f"CAST(SUM({c}) AS BIGINT) AS {c}" for c in COUNT_NAMES), *_stats_out(""), *_ratio_out(""),
+    ]
+    group = [out_key, *(["d.name"] if dim else []), *STAT_RAW]
+    return _with(*ctes) + "SELECT\n  " + ",\n  ".join(columns) + f"\nFROM keyed{join}\nGROUP BY " + ", ".join(group)
 
 
 MART_ARGS = {
