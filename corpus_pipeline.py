@@ -38,7 +38,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The same documents with personal data and disclosing terms generalised."""
-    return sanitise(docs)
+    return sanitise(docs, min_term=1)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -68,6 +68,24 @@ def test_a_term_seen_only_with_an_entity_discloses_it(spark):
     assert "[TERM] at [EMAIL] about" in clean[0] and "boss@" not in clean[0] and clean[10] == rows[4][1]
 
 
+def test_terms_of_one_or_two_contexts_disclose(spark):
+    rest = [(100 + i, prose(i + 2000, 40) + " write to or at") for i in range(100)]
+    one = [(1, f"{prose(1, 9)} write to “Li” or order 4711 at li@corp.org {prose(2, 9)}")]
+    two = [(2 + i, f"{prose(3 + i, 9)} write to ÉMILE or Bo at +44 20 7946 0018 {prose(6 + i, 9)}") for i in range(2)]
+    copies = [(10 + i, f"{prose(9, 20)} qqunique mail one@two.net") for i in range(20)]  # one context, a sixth of all
+    docs = documents(spark, one + two + copies + rest)
+    got = {r["doc_id"]: r for r in find_personal_data(docs, min_term=1).collect()}
+    for i, t in one + two:
+        terms = {t[a["start"] : a["end"]] for a in got[i]["added"]}
+        assert ({"Li", "order", "4711"} if i == 1 else {"ÉMILE", "Bo"}) <= terms and not terms & {"write", "to", "or", "at"}
+    assert not any(got[d]["added"] for d, _ in copies + rest)
+    assert "“[TERM]” or [TERM] [TERM] at [EMAIL]" in {r["doc_id"]: r["text"] for r in sanitise(docs, min_term=1).collect()}[1]
+
+
+def test_the_query_adds_spans_on_a_given_table(spark):
+    assert sum("term:" in r["spans"] for r in op9_disclosure(spark, SF_SMALL).collect()) > 0
+
+
 def test_edge_rows(spark):
     rows = [*EDGE, (11, "mail a@b.co"), (11, "mail a@b.co"), (11, "other"), (None, "x@y.zz")]
     docs = documents(spark, rows)
