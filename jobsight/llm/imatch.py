@@ -8,12 +8,18 @@
    however many documents there are: that bound makes it fit to broadcast, and
    ``max_lexicon`` checks it; beyond it the band's lower end is raised until
    it fits.
-2. Each of ``lexicons`` random lexicons is a chain of sub-lexicons, each a
-   random half of the one before. A document uses the smallest of a chain that
-   still holds at least ``terms`` of its terms, sorts those distinct terms and
-   hashes them: so a document of any length is judged by about as many terms,
-   and an edit changes only the signatures whose few terms it touches.
-3. The fingerprint is the list of signatures; likeness is the share of equal
+2. I-Match: ``WHOLE`` fixed lexicons, the whole band and random two thirds of
+   it, are the same for every document. All of a document's distinct terms in
+   such a lexicon are sorted and hashed (all its band terms if none is in it),
+   so every band term enters and any change of them changes the fingerprint.
+3. Beside them, so that likeness also grades larger edits, each of ``lexicons``
+   random lexicons is a chain of sub-lexicons, each a random half of the one
+   before. A document uses the smallest of a chain that still holds at least
+   ``terms`` of its terms, sorts those distinct terms and hashes them: so a
+   document of any length is judged by about as many terms (1.44 a signature
+   with ``TERMS`` 1, near to MinHash), and an edit changes only the signatures
+   whose few terms it touches.
+4. The fingerprint is the list of signatures; likeness is the share of equal
    ones. A document with fewer than ``terms`` terms in the band is fingerprinted
    by all its distinct terms (``x`` and one digest, likeness 1 or 0).
 
@@ -39,6 +45,8 @@ from pyspark.sql import functions as F
 from jobsight.llm.common import mapped, mix64, read, saved, texts
 
 LEXICONS, TERMS = 16, 1
+#: Lexicons hashed whole: the band, then random subsets with this share of its terms.
+WHOLE, KEPT = 4, 2 / 3
 FLUSH_TERMS = 200_000
 #: ASCII other than letters and digits becomes a blank; letters become lower case; other bytes stay.
 _TO_TERMS = bytes(b if b >= 128 else ord(chr(b).lower()) if chr(b).isalnum() else 32 for b in range(256))
@@ -88,6 +96,7 @@ class Fingerprints:
         self.known = set(lexicon_.tolist())
         self.hashes: dict[bytes, int] = {}
         self.seeds = mix64(np.arange(1, lexicons + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        self.whole_seeds = mix64(np.arange(1, WHOLE, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
         self.terms = terms
 
     def band(self, some: set[bytes]) -> np.ndarray:
@@ -106,6 +115,8 @@ class Fingerprints:
         h = self.band(some)
         if len(h) < self.terms:
             return "x" + hashlib.blake2b(b" ".join(sorted(some)), digest_size=8).hexdigest()
+        kept = mix64(h[None, :] ^ self.whole_seeds[:, None]) < np.uint64(int(KEPT * 2**64))
+        out = [hashlib.blake2b(own.tobytes(), digest_size=4).hexdigest() for own in (h, *(h[k] if k.any() else h for k in kept))]
         r = mix64(h[None, :] ^ self.seeds[:, None])  # a term is in sub-lexicon j of chain i if r[i] < 2 ** (64 - j)
         order = np.partition(r, self.terms - 1, axis=1)[:, self.terms - 1]
         # Smallest sub-lexicon with `terms` terms: the power of two above the terms-th smallest value.
@@ -113,7 +124,6 @@ class Fingerprints:
             level = np.where(order == 0, 63, 63 - np.floor(np.log2(order.astype(np.float64))).astype(np.int64)).clip(0, 63)
         bound = (np.uint64(0xFFFFFFFFFFFFFFFF) >> level.astype(np.uint64))
         member = r <= bound[:, None]
-        out = []
         for i in range(len(r)):
             own = np.sort(h[member[i]])
             out.append(hashlib.blake2b(bytes([int(level[i])]) + own.tobytes(), digest_size=4).hexdigest())

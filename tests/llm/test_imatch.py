@@ -39,6 +39,16 @@ def test_equal_texts_equal_fingerprints(spark):
     assert a == b and likeness(a, b) == 1.0 and f.of(set())[0] == "x" and likeness(f.of(set()), a) == 0.0
 
 
+def test_every_band_term_enters_the_fingerprint():
+    words = [b"w%d" % i for i in range(400)]
+    f = Fingerprints(np.sort(np.array([term_hash(t) for t in words], np.int64)))
+    text, own = set(words[:300]), f.of(set(words[:300]))
+    assert f.of(text | {b"outside"}) == own
+    for i in range(60):
+        for other in (text - {words[i]}, (text - {words[i]}) | {words[300 + i]}, text | {words[300 + i]}):
+            assert f.of(other) != own and f.of(other)[:8] != own[:8] and likeness(f.of(other), own) > 0.4
+
+
 def test_edge_rows(spark):
     docs = documents(spark, EDGE)
     lex = lexicon(docs)
