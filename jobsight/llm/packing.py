@@ -47,10 +47,13 @@ class Ids:
     The file's vocabulary lists its tokens in the order of their merges, so the
     ids are also the merge ranks, and ``tiktoken`` run on them gives the ids the
     file's own library gives, four times as fast; the tests hold both against
-    each other. Strings of special tokens in a text are ordinary text.
+    each other. With ``added``, as the query and the pipeline run it, the file's
+    added tokens (``<|endoftext|>``) are found in a text first and get their own
+    ids, as the library does by default; without, they are ordinary text, as
+    under the library's ``encode_special_tokens``.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         import tiktoken
 
         with open(path, encoding="utf-8") as f:
@@ -59,11 +62,17 @@ class Ids:
             raise ValueError(f"{path} is not a plain byte-level BPE tokenizer")
         byte_of = {c: b for b, c in enumerate(_byte_letters())}
         ranks = {bytes(byte_of[c] for c in token): rank for token, rank in file["model"]["vocab"].items()}
-        self.encoding = tiktoken.Encoding(path, pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
+        special = {}
+        for t in file["added_tokens"] if added else ():
+            if t["single_word"] or t["lstrip"] or t["rstrip"] or any(a.startswith(t["content"]) or t["content"].startswith(a) for a in special):
+                raise ValueError(f"{path} has added tokens that are not plain strings apart from each other: {t['content']}")
+            special[t["content"]] = t["id"]
+        self.added = set(special)
+        self.encoding = tiktoken.Encoding(path, pat_str=WORDS, mergeable_ranks=ranks, special_tokens=special)
 
     def batch(self, texts_: list[str]) -> list[np.ndarray]:
         encode = self.encoding.encode_to_numpy
-        return [encode(t, disallowed_special=()).astype("<u4", copy=False) for t in texts_]
+        return [encode(t, allowed_special=self.added, disallowed_special=()).astype("<u4", copy=False) for t in texts_]
 
 
 def _byte_letters() -> list[str]:
@@ -78,7 +87,7 @@ _IDS: dict[str, Ids] = {}
 
 def _tokenise(batches, path: str, length: int, with_ids: bool):
     if path not in _IDS:
-        _IDS[path] = Ids(path)
+        _IDS[path] = Ids(path, added=True)
     for whole in batches:
         for b in slices(whole):
             out = {k: [] for k in ("doc_id", "row", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else []))}

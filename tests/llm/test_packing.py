@@ -25,6 +25,18 @@ def test_ids_equal_the_tokenizers_library(spark):
     assert [x.tolist() for x in Ids(PATH).batch(texts)] == reference(texts)
 
 
+def test_added_tokens_have_their_ids_as_by_the_librarys_default(spark):
+    end = "<|endoftext|>"
+    texts = [*ODD, f"a {end} b", end, end * 3, f"a  {end}  b\n{end}\n", f"<{end}>", "<|endoftext|", f"it{end}'s", f" x \t{end}\u3000漢"]
+    library = Tokenizer.from_file(PATH)
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in Ids(PATH, added=True).batch(texts)] == want and want[len(ODD)] == [64, 220, 50256, 275]
+    rows = pack_documents(documents(spark, list(enumerate(texts))), PATH, with_ids=True).collect()
+    start = {(r["doc_id"], r["start"]): r["ids"] for r in rows}
+    got = {d: sum((start[k] for k in sorted(start) if k[0] == d), []) for d in range(len(texts))}
+    assert got == {d: [*ids, 0] for d, ids in enumerate(want)}
+
+
 def _checked(rows, docs, length):
     ids = {}
     for d, t in docs:
