@@ -17,9 +17,12 @@ exactly the (document, item) pairs with an occurrence within the budget.
 
 Items are the query set and go to every task. They are sent in blocks of at
 most ``block_chars`` characters; a larger benchmark takes one pass over the
-documents per block, so what is broadcast is bounded. Items with fewer than
-``min_chars`` normal characters are too short to tell a leak from chance and
-are left out. Null texts and null items match nothing, as do empty ones.
+documents per block, so what is broadcast is bounded. Every item with a normal
+character is searched. One of fewer than ``SHORT`` characters that has no
+budget (fewer than 20 at 5 %) counts only as whole words: neither end inside a
+run of letters and digits, but for scripts written without blanks, where a word
+may end at any character. Null texts and null items match nothing, as do empty
+ones.
 Equal items each match. Null ids and repeated rows are kept; an empty table on
 either side gives no rows. Extra columns are ignored by ``find_leaks``
 and passed through by ``drop_leaks``.
@@ -36,6 +39,13 @@ from pyspark.sql import functions as F
 from jobsight.llm.common import mapped, read, texts, workers_find_package
 
 _GAP = re.compile(r"[\W_]+")
+#: Items shorter than this that allow no edit are asked for as whole words.
+SHORT = 40
+#: Scripts written without blanks: Thai, Lao, Burmese, Khmer, Han, kana.
+_NO_BLANKS = re.compile(
+    "[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u2fdf\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
+    "\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]"
+)
 FOUND = "doc_id long, text_key long, item_id long, distance int, budget int, begin long, end long"
 
 
@@ -43,6 +53,13 @@ def normal(text: str) -> str:
     return _GAP.sub(" ", text.lower()).strip()
 
 
+def between_words(text: str, at: int) -> bool:
+    """Whether a word may begin or end before character ``at`` of a normal text."""
+    if at in (0, len(text)) or " " in (pair := text[at - 1 : at + 1]):
+        return True
+    return _NO_BLANKS.search(pair) is not None
+
+
 def pieces_of(item: str, budget: int) -> list[tuple[int, str]]:
     """``budget + 1`` pieces of nearly equal length, with their places."""
     n, m = budget + 1, len(item)
@@ -81,6 +98,7 @@ class Matcher:
         import ahocorasick
 
         self.items = [(i, t, int(rate * len(t))) for i, t in items]
+        self.whole_words = [len(t) < SHORT and not k for _, t, k in self.items]
         places: dict[str, list[tuple[int, int]]] = {}
         for n, (_, t, k) in enumerate(self.items):
             for at, piece in pieces_of(t, k):
@@ -95,9 +113,16 @@ class Matcher:
         begins: dict[int, set[int]] = {}
         for last, (size, where) in self.automaton.iter(text):
             for n, at in where:
-                begins.setdefault(n, set()).add(last + 1 - size - at)
+                begin = last + 1 - size - at
+                if not self.whole_words[n]:
+                    begins.setdefault(n, set()).add(begin)
+                elif n not in begins and between_words(text, begin) and between_words(text, last + 1):
+                    begins[n] = {begin}
         for n, some in begins.items():
             item_id, pattern, k = self.items[n]
+            if self.whole_words[n]:
+                yield item_id, 0, 0, min(some), min(some) + len(pattern)
+                continue
             best = None
             for low, high in _merged(sorted(some), k):
                 start = max(0, low - k)
@@ -136,25 +161,25 @@ def _find(batches, sent, rate: float):
 
 
 def find_leaks(
-    docs: DataFrame, benchmark: DataFrame, rate: float = 0.05, min_chars: int = 40, block_chars: int = 2_000_000
+    docs: DataFrame, benchmark: DataFrame, rate: float = 0.05, block_chars: int = 2_000_000
 ) -> DataFrame:
     """One row per (document, item) match: ``FOUND``; ``begin`` and ``end`` count characters of the normal text."""
     spark = docs.sparkSession
     own = texts(docs, F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"))
     out = spark.createDataFrame([], FOUND)
-    for block in _blocks(benchmark, min_chars, block_chars):
+    for block in _blocks(benchmark, block_chars):
         sent = spark.sparkContext.broadcast(block)
         out = out.unionAll(mapped(own, lambda it, sent=sent: _find(it, sent, rate), FOUND))
     return out
 
 
-def _blocks(benchmark: DataFrame, min_chars: int, block_chars: int):
+def _blocks(benchmark: DataFrame, block_chars: int):
     """Items of normal text in blocks of at most ``block_chars`` characters (one longer item is a block)."""
     some, size = [], 0
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text is not null")
     for item_id, text in items.toLocalIterator():
         t = normal(text)
-        if len(t) < min_chars:
+        if not t:
             continue
         if some and size + len(t) > block_chars:
             yield some
@@ -189,11 +214,11 @@ def _leaks(sent, rate: float):
 
 
 def drop_leaks(
-    docs: DataFrame, benchmark: DataFrame, rate: float = 0.05, min_chars: int = 40, block_chars: int = 2_000_000
+    docs: DataFrame, benchmark: DataFrame, rate: float = 0.05, block_chars: int = 2_000_000
 ) -> DataFrame:
     """The rows of ``docs`` in which ``find_leaks`` finds no item: a filter per block, no shuffle."""
     workers_find_package(docs.sparkSession)
-    for block in _blocks(benchmark, min_chars, block_chars):
+    for block in _blocks(benchmark, block_chars):
         sent = _Block(docs.sparkSession, block)
         docs = docs.where(~F.udf(_leaks(sent, rate), "boolean", useArrow=True)("text"))
     return docs

@@ -59,6 +59,20 @@ def test_equals_brute_force_with_edits(spark):
     assert {r["doc_id"] for r in kept.collect()} == {d for d, _ in docs} - {w[0] for w in want} and kept.columns == df.columns
 
 
+def test_short_items_are_searched(spark):
+    items = [(1, "Who wrote Emma?"), (2, "art"), (3, "光合作用是什么"), (4, "which planet is the largest of all"), (5, "x"), (6, "?!"), (7, "5G 手机")]
+    docs = [
+        (1, "Q: who wrote EMMA? A: Austen"), (2, "a party of artists"), (3, "modern art."), (4, "请问光合作用是什么呢"),
+        (5, "tell me which planet is the largast of all, please"), (6, "whowrote emma"), (7, "我的5G手机很好"), (8, "我的5G 手机很好"), (9, "xx 2x"),
+    ]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = find_leaks(documents(spark, docs), bench).collect()
+    assert {(r["doc_id"], r["item_id"], r["distance"]) for r in found} == {(1, 1, 0), (3, 2, 0), (4, 3, 0), (5, 4, 1), (8, 7, 0)}
+    text, item = dict(docs), dict(items)
+    assert all(normal(text[r["doc_id"]])[r["begin"] : r["end"]] == normal(item[r["item_id"]]) for r in found if not r["budget"])
+    assert {r["doc_id"] for r in drop_leaks(documents(spark, docs), bench).collect()} == {2, 6, 7, 9}
+
+
 def test_edge_rows_and_empty_tables(spark):
     bench = spark.createDataFrame([(1, prose(3, 60)), (2, None)], "item_id long, text string")
     docs = documents(spark, EDGE)
