@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from jobsight.llm.decontaminate import op8_edit_matching
+from jobsight.llm.fim import OP11_SQL, op11_wavelet_fim
 from jobsight.llm.imatch import op6_imatch
 from jobsight.llm.langid import op5_naive_bayes
 from jobsight.llm.minhash import op1_minhash
@@ -25,11 +26,13 @@ QUERIES = {
     "op8_edit_matching": op8_edit_matching,
     "op9_disclosure": op9_disclosure,
     "op10_best_fit": op10_best_fit,
+    "op11_wavelet_fim": op11_wavelet_fim,
     "pipeline": corpus_pipeline.run,
 }
 
 SQL: dict[str, str] = {
     "op2_transactions": OP2_SQL,
+    "op11_wavelet_fim": OP11_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
