@@ -6,6 +6,7 @@ import corpus_pipeline
 from jobsight.llm.decontaminate import op8_edit_matching
 from jobsight.llm.fim import OP11_SQL, op11_wavelet_fim
 from jobsight.llm.imatch import op6_imatch
+from jobsight.llm.importance import OP12_SQL, op12_quickselect
 from jobsight.llm.langid import op5_naive_bayes
 from jobsight.llm.minhash import op1_minhash
 from jobsight.llm.packing import op10_best_fit
@@ -27,12 +28,14 @@ QUERIES = {
     "op9_disclosure": op9_disclosure,
     "op10_best_fit": op10_best_fit,
     "op11_wavelet_fim": op11_wavelet_fim,
+    "op12_quickselect": op12_quickselect,
     "pipeline": corpus_pipeline.run,
 }
 
 SQL: dict[str, str] = {
     "op2_transactions": OP2_SQL,
     "op11_wavelet_fim": OP11_SQL,
+    "op12_quickselect": OP12_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
