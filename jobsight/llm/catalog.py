@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from jobsight.llm.bpe import op13_duckdb_bpe
 from jobsight.llm.decontaminate import op8_edit_matching
 from jobsight.llm.fim import OP11_SQL, op11_wavelet_fim
 from jobsight.llm.imatch import op6_imatch
@@ -29,6 +30,7 @@ QUERIES = {
     "op10_best_fit": op10_best_fit,
     "op11_wavelet_fim": op11_wavelet_fim,
     "op12_quickselect": op12_quickselect,
+    "op13_duckdb_bpe": op13_duckdb_bpe,
     "pipeline": corpus_pipeline.run,
 }
 
