@@ -37,6 +37,16 @@ def test_added_tokens_have_their_ids_as_by_the_librarys_default(spark):
     assert got == {d: [*ids, 0] for d, ids in enumerate(want)}
 
 
+def test_long_white_space_has_the_librarys_ids():
+    mixed = "".join(random.Random(3).choices(" \n\t\u3000", k=1_000_000))
+    texts = ["x" + " " * 1_200_000 + "y", "\n" * 2_000_000, "a " + mixed + " b", " " * 5_000_000 + "<|endoftext|>", "x" + "\n" * 99_999 + "y"]
+    for added in (True, False):
+        library = Tokenizer.from_file(PATH)
+        library.encode_special_tokens = not added
+        want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [x.tolist() for x in Ids(PATH, added=added).batch(texts)] == want
+
+
 def _checked(rows, docs, length):
     ids = {}
     for d, t in docs:
