@@ -4,7 +4,7 @@
    The matched value (addresses lower-cased, numbers as bare digits) is the
    protected entity ``e``.
 2. Corpus co-occurrence. The context of a match is the ``window`` terms on
-   either side of it, within the document. Over all documents: ``n(e)`` and
+   either side of it, within the document. Over all documents (rows equal in id and text are one): ``n(e)`` and
    ``n(t)`` count the documents that hold an entity or a term, ``n(t, e)``
    those where ``t`` stands in a context of ``e``.
 3. Disclosure. ``PMI(t; e) = log(n(t,e) N / (n(t) n(e)))`` measures how much
@@ -39,7 +39,8 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_left
-from collections import Counter
+from collections import Counter, defaultdict
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,10 +122,11 @@ def _contexts(text: str, spans: list, window: int, min_term: int):
     starts = [s for s, _ in terms]
     taken = sorted((s, e) for _, s, e, _ in spans)
     taken_starts = [s for s, _ in taken]
+    reach = list(accumulate((e for _, e in taken), max))  # furthest end of the spans up to each
 
     def covered(s: int, e: int) -> bool:
         i = bisect_left(taken_starts, e)
-        return any(b > s for _, b in taken[max(0, i - len(KINDS) * 2) : i])
+        return i > 0 and reach[i - 1] > s
 
     for kind, s, e, entity in spans:
         i, j = bisect_left(starts, s), bisect_left(starts, e)
@@ -158,16 +160,24 @@ def _scan(batches, window: int, min_term: int):
 
 
 def _count_terms(batches, min_term: int):
-    """(term, documents with it) as far as this task has seen; sums over tasks are exact."""
-    seen: Counter = Counter()
+    """(term, copies, rows with it that stand so often) as far as this task has seen; sums over tasks are exact."""
+    seen: defaultdict[int, Counter] = defaultdict(Counter)
+    size = 0
+
+    def rows():
+        for copies, terms in seen.items():
+            yield {"term": list(terms), "copies": [copies] * len(terms), "n": list(terms.values())}
+        seen.clear()
+
     for b in batches:
-        for text in b.column("text").to_pylist():
-            seen.update({low for t in set(_TERM.findall(text)) if len((low := t.lower()).encode()) >= min_term})
-            if len(seen) >= FLUSH_TERMS:
-                yield {"term": list(seen), "n": list(seen.values())}
-                seen = Counter()
-    if seen:
-        yield {"term": list(seen), "n": list(seen.values())}
+        for text, copies in zip(b.column("text").to_pylist(), b.column("copies").to_pylist(), strict=True):
+            size -= len(seen[copies])
+            seen[copies].update({low for t in set(_TERM.findall(text)) if len((low := t.lower()).encode()) >= min_term})
+            size += len(seen[copies])
+            if size >= FLUSH_TERMS:
+                yield from rows()
+                size = 0
+    yield from rows()
 
 
 def find_personal_data(
@@ -190,8 +200,20 @@ def find_personal_data(
         .groupBy("entity", "term").agg(F.count("*").alias("contexts"), F.sum("docs").alias("n_te"))
     )
     n_e = ctx.groupBy("entity").agg(F.count_distinct("doc_id", "text_key").alias("n_e"))
-    n_t = mapped(own.select("text"), lambda it: _count_terms(it, min_term), "term string, n long").groupBy("term").agg(F.sum("n").alias("n_t"))
-    total = found.agg(F.count("*").alias("n_docs"))
+    # A row that stands m times counts once: each of its copies gives a term one m-th.
+    repeated = saved(
+        found.groupBy("doc_id", "text_key").agg(F.count("*").alias("copies")).where("copies > 1")
+        .select(F.col("doc_id").alias("r_doc"), F.col("text_key").alias("r_key"), "copies"), "pii-repeated",
+    )
+    again = F.col("doc_id").eqNullSafe(F.col("r_doc")) & (F.col("text_key") == F.col("r_key"))
+    weighed = own.join(repeated, again, "left").select("text", F.coalesce("copies", F.lit(1)).alias("copies"))
+    n_t = (
+        mapped(weighed, lambda it: _count_terms(it, min_term), "term string, copies long, n long")
+        .groupBy("term", "copies").agg(F.expr("sum(n) div copies").alias("n"))
+        .groupBy("term").agg(F.sum("n").alias("n_t"))
+    )
+    surplus = repeated.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("surplus"))
+    total = found.agg(F.count("*").alias("n_rows")).crossJoin(surplus).select((F.col("n_rows") - F.col("surplus")).alias("n_docs"))  # one row
     support = (F.col("contexts") + 1) / (F.col("contexts") + 2)
     pmi = F.log(support * F.least(F.col("n_te"), F.col("n_t")) * F.col("n_docs") / (F.col("n_t") * F.col("n_e")))
     disclosing = (

@@ -1,6 +1,8 @@
 import hashlib
+import math
 import random
 import re
+from collections import Counter, defaultdict
 
 from jobsight.llm.pii import base_spans, find_personal_data, luhn, op9_disclosure, sanitise
 from tests.conftest import SF_SMALL
@@ -96,3 +98,71 @@ def test_edge_rows(spark):
     assert texts.count("mail [EMAIL]") == 2 and texts.count("[EMAIL]") == 1 and texts.count(None) == 3
     assert all(r["n_chars"] == len(r["text"]) for r in out.collect() if r["text"] is not None)
     assert sanitise(documents(spark, [])).count() == 0
+
+
+def test_repeated_rows_count_once(spark):
+    one = (1, f"{prose(1, 9)} write to zyxwarden or order at li@corp.org {prose(2, 9)}")
+    rest = [(100 + i, prose(i + 2000, 40) + " write to or at order") for i in range(100)]
+    many = [one, *rest]
+
+    def spans(rows):
+        return {r["doc_id"]: [tuple(a) for a in r["added"] or ()] for r in find_personal_data(documents(spark, rows), min_term=1).collect()}
+
+    want = spans(many)
+    assert want[1] and not want[100]
+    assert spans([*many, one, one, one, one]) == spans(many * 2) == want
+
+
+def disclosing(rows, window=8, threshold=0.9):
+    """(entity, term) pairs by counting in plain dictionaries."""
+    n_t, n_e, pairs = Counter(), Counter(), defaultdict(lambda: (set(), set()))
+    rows = set(rows)
+    for d, text in rows:
+        terms = [(m.start(), m.end()) for m in re.finditer(r"[^\W_]+", text)]
+        n_t.update({text[a:b].lower() for a, b in terms})
+        base = base_spans(text)
+        n_e.update({(k, e) for k, _, _, e in base})
+        for k, s, e, entity in base:
+            left, right = [t for t in terms if t[0] < s][-window:], [t for t in terms if t[0] >= e][:window]
+            near = [text[a:b].lower() for a, b in left + right if not any(x < b and y > a for _, x, y, _ in base)]
+            for t in near:
+                pairs[(k, entity), t][0].add(tuple(near))
+                pairs[(k, entity), t][1].add((tuple(near), d, text))
+    out = set()
+    for ((k, e), t), (contexts, docs) in pairs.items():
+        c, n = len(contexts), len(rows)
+        n_te = min(len(docs), n_t[t])
+        if n_e[k, e] < n and math.log((c + 1) / (c + 2) * n_te * n / (n_t[t] * n_e[k, e])) >= threshold * math.log(n / n_e[k, e]):
+            out.add((f"{k}:{e}", t))
+    return out
+
+
+def test_disclosure_equals_plain_counting(spark):
+    r = random.Random(8)
+    names = ["li", "bo", "émile", "x9", "warden", "yotta"]
+    mail = [f"{n}@corp{i}.org" for i, n in enumerate(names)]
+    rows = []
+    for i in range(160):
+        words = prose(i, 25).split()
+        for _ in range(r.randrange(3) if i < 40 else 0):
+            k = r.randrange(len(names))
+            words[r.randrange(25) : 0] = [names[k], mail[k]] if r.random() < 0.8 else [mail[k]]
+            words.insert(r.randrange(len(words)), mail[k])
+        rows.append((i, " ".join(words)))
+    rows += rows[:20]
+    got = set()
+    texts = dict(rows)
+    for row in find_personal_data(documents(spark, rows), min_term=1).collect():
+        text = texts[row["doc_id"]]
+        got |= {text[a["start"] : a["end"]].lower() for a in row["added"] or ()}
+    want = disclosing(rows)
+    assert want and got == {t for _, t in want}
+
+
+def test_a_term_within_many_nested_spans_is_covered(spark):
+    digits = ".".join(["1.2.3.4"] * 12)
+    text = f"see {digits}@corp.org now"
+    (row,) = find_personal_data(documents(spark, [(1, text), *[(2 + i, prose(i, 30)) for i in range(99)]]), min_term=1).where("doc_id = 1").collect()
+    (email,) = [s for s in row["base"].split(",") if s.startswith("email")]
+    start, end = map(int, email.split(":")[1:])
+    assert not any(a["start"] < end and a["end"] > start for a in row["added"] or ())
