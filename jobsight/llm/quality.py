@@ -16,7 +16,8 @@ are fewer), ``len(STATS)`` numbers each; the sample's ids, that many at most,
 are broadcast to find their texts. Scoring is one scan without a shuffle.
 
 Only rows outside ``held_out()`` with a 0/1 label teach; an id labelled more
-than once counts by the mean of its labels. Without labels, or with labels of
+than once counts by the mean of its labels, and of an id's rows one teaches, that
+with the smallest statistics, picked before anything reaches the driver. Without labels, or with labels of
 one class only, the score is ``(ones + 1) / (labels + 1)``: nothing known to
 be bad keeps everything. A null text scores as the empty text. Null ids and
 repeated rows are scored row by row. An empty table gives no rows. Extra
@@ -193,7 +194,8 @@ def learn(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000):
     sample = saved(marked.where(draw < min(1.0, max_rows / max(n, 1))), "quality-sample")
     ids = F.broadcast(sample.select(F.col("doc_id").alias("_id")))  # max_rows in expectation
     stats = text_statistics(docs.join(ids, F.col("doc_id").cast("long") == F.col("_id"), "left_semi"))
-    rows = stats.join(F.broadcast(sample), "doc_id").select("doc_id", "quality", *STATS).collect()
+    each = stats.groupBy("doc_id").agg(F.min(F.struct(*STATS)).alias("s"))  # an id's rows teach as one
+    rows = each.join(F.broadcast(sample), "doc_id").select("doc_id", "quality", "s.*").collect()
     rows.sort()
     x = np.array([r[2:] for r in rows], float).reshape(len(rows), len(STATS))
     return fit(x, np.array([r[1] for r in rows], float))

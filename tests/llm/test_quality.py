@@ -39,3 +39,28 @@ def test_edge_rows(spark):
 
 def test_statistics_of_nothing_are_finite():
     assert all(np.isfinite(statistics(t)).all() for t in ("", " ", "\n", "a", "!!"))
+
+
+def test_one_row_of_an_id_teaches(spark, monkeypatch):
+    from jobsight.llm import quality
+
+    docs = [(i, f"clean words here and there {i}. " * 5 if i % 2 else "!!@@ ## %% " * 9 + str(i)) for i in range(40)]
+    docs += [(1, f"row {i} of one id") for i in range(3000)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda x, y, **how: seen.append(len(x)) or fit(x, y, **how))
+    scored = quality.score_quality(documents(spark, docs), labels, max_rows=40)
+    assert scored.count() == len(docs) and 0 < seen[0] <= 40
+
+
+def test_scores_equal_the_rules_applied_by_hand(spark):
+    from jobsight.llm.quality import learn
+
+    docs = [(i, f"Clean words stand here, line {i}.\n" * (3 + i % 5) if i % 3 else "zz@@ 77## " * (5 + i % 9)) for i in range(300)]
+    table, labels = documents(spark, docs), spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(300)], "doc_id long, quality int")
+    intercept, rules = learn(table, labels)
+    assert rules
+    for r in score_quality(table, labels).collect():
+        x = statistics(docs[r["doc_id"]][1])
+        total = intercept + sum(w for rule, w in rules if all((x[s] <= cut) == at_most for s, at_most, cut in rule))
+        assert abs(r["score"] - 1 / (1 + np.exp(-total))) < 1e-12 and r["predicted"] == (r["score"] >= 0.7)
