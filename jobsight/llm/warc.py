@@ -6,8 +6,8 @@ the response of the page with the smallest id), the *request*, and *metadata*,
 the latter two naming the first in ``WARC-Concurrent-To``. A record is text
 with CRLF line ends and a payload of exactly ``Content-Length`` bytes; Spark's
 text writer writes the files, gzip-compressed, through whatever file system
-the folder is on. A file is one shuffle partition, so it stays near the
-session's advisory partition size and a reader can hold one file.
+the folder is on. A file holds ``FILE_RECORDS`` records at most, and no more
+than one scan split or shuffle partition of pages, so a reader can hold it.
 
 ``read_archives`` parses archives record by record by ``Content-Length`` (a
 payload may hold anything, record headers included). ``assemble`` joins
@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from jobsight.llm.common import mapped, read, saved, scratch_path
 
 MIN_REVISIT = 100
+FILE_RECORDS = 30_000
 #: Version line and the profile name that public WARC 1.1 gives to identical payloads.
 VERSION = "WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -110,7 +111,7 @@ def write_archives(pages: DataFrame, path: str) -> None:
     )
     rec.select(F.explode(F.array(main_record, request, metadata)).alias("value")).write.option("lineSep", "\n").option(
         "compression", "gzip"
-    ).text(path)
+    ).option("maxRecordsPerFile", FILE_RECORDS).text(path)
 
 
 def _records(data: bytes):
@@ -211,29 +212,36 @@ def assemble(records: DataFrame) -> DataFrame:
 
 
 def op2_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's columns, and of the capture's nested parts: ``request_uri, metadata_bytes`` and how many there are."""
     path = scratch_path(spark, "warc")
     write_archives(read(spark, sf_dir, "pages"), path)
     c = assemble(saved(read_archives(spark, path, with_body=False), "warc-records"))  # four joins read it
     again = F.col("capture.type") == "revisit"
+    parts = [F.col(p).isNotNull().cast("int") for p in ("request", "metadata", "original")]
     return c.select(
         F.col("capture.page_id").alias("page_id"),
         F.when(again, F.col("original.body_bytes")).otherwise(F.col("capture.body_bytes")).alias("payload_bytes"),
         F.when(again, F.col("original.body_digest")).otherwise(F.col("capture.body_digest")).alias("payload_digest"),
         F.col("capture.type").alias("record_type"),
         F.when(again, F.col("original.page_id")).alias("refers_to"),
+        F.col("request.target_uri").alias("request_uri"), F.col("metadata.body_bytes").alias("metadata_bytes"),
+        sum(parts, F.lit(1)).alias("n_records"),
     )
 
 
 OP2_SQL = """
 WITH p AS (
-    SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+    SELECT page_id, regexp_replace(coalesce(url, ''), '[\r\n]+', ' ', 'g') AS uri, encode(coalesce(html, '')) AS payload FROM pages
 ), d AS (
-    SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM p
+    SELECT page_id, uri, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM p
 ), f AS (
     SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_page FROM d
+), k AS (
+    SELECT *, payload_bytes >= 100 AND page_id > first_page AS again FROM f
 )
 SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
-       CASE WHEN payload_bytes >= 100 AND page_id > first_page THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN payload_bytes >= 100 AND page_id > first_page THEN first_page END AS refers_to
-FROM f
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN first_page END AS refers_to,
+       trim(uri) AS request_uri, CAST(octet_length(encode('via: ' || uri)) + 2 AS BIGINT) AS metadata_bytes,
+       CASE WHEN again THEN 4 ELSE 3 END AS n_records
+FROM k
 """

@@ -52,3 +52,10 @@ def test_query_matches_sql(spark):
 def test_empty_table(spark, tmp_path):
     write_archives(spark.createDataFrame([], "page_id long, url string, html string"), str(tmp_path / "a"))
     assert assemble(read_archives(spark, str(tmp_path / "a"))).count() == 0
+
+
+def test_the_query_joins_request_metadata_and_original(spark):
+    df = op2_transactions(spark, SF_SMALL)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 3
+    assert {r["n_records"] for r in df.collect()} <= {3, 4}
