@@ -42,48 +42,57 @@ from pyspark.sql import functions as F
 from jobsight.llm.common import mapped, read, slices, texts
 
 LONG = 48
-CACHE = 400_000
+CACHE = 1_000_000
 ROWS = 1 << 18
 #: Words of a text taken at once, and tokens strung together by one aggregate.
 BLOCK_WORDS, BLOCK_TOKENS = 200_000, 1 << 16
 
 ENCODE = """
-WITH RECURSIVE state(word, pos, token, step) AS (
-    SELECT word, pos, token, 0 FROM start
+WITH RECURSIVE state(pos, word, token, step) AS (
+    SELECT pos, word, token, 0 FROM start
     UNION ALL
-    (WITH pair AS (
-        SELECT word, pos, token, step, lag(token) OVER w AS before, lead(token) OVER w AS after, lead(token, 2) OVER w AS beyond,
-               row_number() OVER w AS i
-        FROM state WHERE token >= 0 WINDOW w AS (PARTITION BY word ORDER BY pos)
+    (WITH pair AS ( -- positions are unique over all words; a pair or neighbour is one only inside a word
+        SELECT pos, word, token, step, lead(token) OVER w AS after, lead(pos) OVER w AS next_pos, lead(word) OVER w = word AS inside,
+               CASE WHEN lag(word) OVER w = word THEN lag(token) OVER w END AS before,
+               CASE WHEN lead(word, 2) OVER w = word THEN lead(token, 2) OVER w END AS beyond,
+               CASE WHEN lead(word, 2) OVER w = word THEN lead(pos, 2) OVER w END AS beyond_pos
+        FROM state WHERE token >= 0 WINDOW w AS (ORDER BY pos)
     ), ranked AS MATERIALIZED (
-        SELECT word, pos, i, token, step, before, beyond, merged FROM pair LEFT JOIN merge ON left_token = token AND right_token = after
-    ), least AS (
+        SELECT pos, word, token, step, next_pos, before, beyond, beyond_pos, merged
+        FROM pair LEFT JOIN merge ON left_token = token AND right_token = after AND inside
+    ), least AS MATERIALIZED (
         SELECT word, min(merged) AS merged FROM ranked WHERE merged IS NOT NULL GROUP BY word
-    ), hit AS (
-        SELECT word, i, merged, before, beyond, row_number() OVER (PARTITION BY word ORDER BY i) AS nth
-        FROM ranked JOIN least USING (word, merged)
-    ), apart AS ( -- of hits in a row, which overlap, every other one
-        SELECT word, i, merged, before, beyond FROM hit QUALIFY row_number() OVER (PARTITION BY word, i - nth ORDER BY i) % 2 = 1
-    ), beside AS ( -- the token on the left is the one before, or the new one if the hit before is next to this one
-        SELECT word, i, merged, beyond, CASE WHEN lag(i) OVER (PARTITION BY word ORDER BY i) = i - 2 THEN merged ELSE before END AS before
+    ), hit AS MATERIALIZED (
+        SELECT word, merged, pos, next_pos, before, beyond, beyond_pos FROM ranked JOIN least USING (word, merged)
+    ), several AS MATERIALIZED (
+        SELECT word FROM hit GROUP BY word HAVING count(*) > 1
+    ), chain AS ( -- hits in a row overlap
+        SELECT *, row_number() OVER w AS nth, lag(next_pos) OVER w IS NOT DISTINCT FROM pos AS chained
+        FROM hit SEMI JOIN several USING (word) WINDOW w AS (ORDER BY pos)
+    ), apart AS ( -- every other one of a chain
+        SELECT * FROM chain QUALIFY (nth - max(CASE WHEN NOT chained THEN nth END) OVER (ORDER BY pos)) % 2 = 0
+    ), beside AS MATERIALIZED ( -- the token on the left is the new one if the hit before is next to this one
+        SELECT word, pos, next_pos, merged, beyond, CASE WHEN lag(beyond_pos) OVER (ORDER BY pos) = pos THEN merged ELSE before END AS before
         FROM apart
     ), stop AS ( -- the first hit of a word whose new token makes a pair of a lower rank
-        SELECT word, min(i) AS last_i FROM (
-            SELECT word, i FROM beside JOIN rash ON left_token = before AND right_token = beside.merged WHERE rash.merged < beside.merged
+        SELECT word, min(pos) AS last_pos FROM (
+            SELECT word, pos FROM beside JOIN rash ON left_token = before AND right_token = beside.merged WHERE rash.merged < beside.merged
             UNION ALL
-            SELECT word, i FROM beside JOIN rash ON left_token = beside.merged AND right_token = beyond WHERE rash.merged < beside.merged
+            SELECT word, pos FROM beside JOIN rash ON left_token = beside.merged AND right_token = beyond WHERE rash.merged < beside.merged
         ) GROUP BY word
-    ), taken AS (
-        SELECT word, i, merged FROM beside LEFT JOIN stop USING (word) WHERE last_i IS NULL OR i <= last_i
+    ), taken AS MATERIALIZED (
+        SELECT pos, next_pos, merged FROM hit ANTI JOIN several USING (word)
+        UNION ALL
+        SELECT pos, next_pos, merged FROM beside LEFT JOIN stop USING (word) WHERE last_pos IS NULL OR pos <= last_pos
     ), edit AS (
-        SELECT word, i, merged AS token FROM taken UNION ALL SELECT word, i + 1, -1 FROM taken
+        SELECT pos, merged AS token FROM taken UNION ALL SELECT next_pos, -1 FROM taken
     )
-    SELECT word, pos, coalesce(edit.token, ranked.token), step + 1
-    FROM ranked SEMI JOIN least USING (word) LEFT JOIN edit USING (word, i))
+    SELECT pos, word, coalesce(edit.token, ranked.token), step + 1
+    FROM ranked SEMI JOIN least USING (word) LEFT JOIN edit USING (pos))
 ), last AS (
     SELECT word, max(step) AS step FROM state GROUP BY word
 )
-SELECT word, token FROM state SEMI JOIN last USING (word, step) WHERE token >= 0 ORDER BY word, pos
+SELECT word, token FROM state SEMI JOIN last USING (word, step) WHERE token >= 0 ORDER BY pos
 """
 
 DECODE = """
@@ -125,6 +134,7 @@ class Bpe:
             self.db.execute(f"CREATE TABLE {name} AS FROM given")
             self.db.unregister("given")
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         self._spans = None
 
     # ------------------------------------------------------------- encoding
@@ -155,8 +165,7 @@ class Bpe:
         data = np.frombuffer(b"".join(parts), np.uint8)
         start = pa.table({
             "word": np.repeat(np.arange(len(parts), dtype=np.int32), n),
-            "pos": (np.arange(len(data)) - np.repeat(np.cumsum(n) - n, n)).astype(np.int32),
-            "token": self.of_byte[data],
+            "pos": np.arange(len(data), dtype=np.int32), "token": self.of_byte[data],
         })
         self.db.register("start", start)
         out = self.db.execute(ENCODE).fetchnumpy()
@@ -166,21 +175,18 @@ class Bpe:
         return [ids[a:b].tobytes() for a, b in zip(at, at[1:], strict=False)]
 
     def _encode_words(self, words: list[bytes]) -> list[bytes]:
-        cut = [self._cut(w) for w in words]
-        ids: dict[bytes, bytes | None] = {p: self._single(p) for parts in cut for p in parts if len(parts) > 1}
-        ids.update((parts[0], None) for parts in cut if len(parts) == 1)
+        cut = {w: self._cut(w) for w in words if len(w) > LONG}
+        ids: dict[bytes, bytes] = {}
         some, size = [], 0
-        todo = [p for p, i in ids.items() if i is None]
-        for k, p in enumerate(todo):
+        for p in (*(w for w in words if len(w) <= LONG), *{p for parts in cut.values() for p in parts}):
             some.append(p)
             size += len(p)
-            if size >= ROWS or k == len(todo) - 1:
+            if size >= ROWS:
                 ids.update(zip(some, self._query(some), strict=True))
                 some, size = [], 0
-        return [b"".join(ids[p] for p in parts) for parts in cut]
-
-    def _single(self, part: bytes) -> bytes | None:
-        return self.of_byte[part[0]].astype("<u4").tobytes() if len(part) == 1 else None
+        if some:
+            ids.update(zip(some, self._query(some), strict=True))
+        return [b"".join(ids[p] for p in cut[w]) if w in cut else ids[w] for w in words]
 
     def encode(self, texts_: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers."""
@@ -189,12 +195,13 @@ class Bpe:
         count = 0
 
         def flush():
-            known = self.known
-            fresh = {w for _, ws in held for w in ws}.difference(known)
-            if len(known) + len(fresh) > CACHE:
-                known.clear()
-                fresh = {w for _, ws in held for w in ws}
-            raw = {w: w.encode() for w in fresh}
+            met = {w for _, ws in held for w in ws}
+            if len(self.known) + len(met) > CACHE // 2:  # words not met since the last time are forgotten
+                self.before, self.known = self.known, {}
+            known, before = self.known, self.before
+            fresh = met.difference(known)
+            known.update((w, before[w]) for w in fresh.intersection(before))
+            raw = {w: w.encode() for w in fresh.difference(before)}
             known.update((w, self.ranks[r].to_bytes(4, "little")) for w, r in raw.items() if r in self.ranks)
             new = [w for w, r in raw.items() if r not in self.ranks]
             known.update(zip(new, self._encode_words([raw[w] for w in new]), strict=True))
