@@ -2,7 +2,7 @@
 
 Every aggregate here is algebraic (sum / count / min / max), so Spark runs a
 partial aggregate before the shuffle on the grain key: a key holding a third
-of all rows still leaves each map task with one row per key, and no group is
+of all rows still leaves each map task with a few rows per key, and no group is
 ever collected into one task.
 
 ``grain_stats`` computes all counts (A5-A8) and stats (A1-A4) per grain key
@@ -88,40 +88,14 @@ def _is(grade_value: str) -> Column:
 
 
 # A1: ROUND(AVG(COALESCE(to, from)), 2) per grade (upper bound preferred),
-# from the exact sums and counts of ``grain_stats``. A2-A4 (MIN of the lower
+# from the exact sums and counts of ``_level2_aggs``. A2-A4 (MIN of the lower
 # bound, MAX of the upper bound per grade, and both over all rows) come out
-# of ``grain_stats`` directly.
+# of it directly.
 @_per_context
 def salary_avg_final() -> list[Column]:
     return [avg_from_units(F.col(f"_sum_{s}"), F.col(f"_n_{s}")).alias(f"avg_sal_{s}") for _, s in GRADE_SUFFIXES]
 
 
-# A5: open vacancies; 0 when none.
-def open_count_aggs() -> list[Column]:
-    return [F.sum(F.when(F.col("is_open"), 1).otherwise(0)).alias("cnt_vacancy")]
-
-
-# Vacancies with any raw salary bound (unlisted currencies count too).
-def salary_count_aggs() -> list[Column]:
-    has_salary = F.col("salary_from").isNotNull() | F.col("salary_to").isNotNull()
-    return [F.sum(F.when(has_salary, 1).otherwise(0)).alias("cnt_vac_salary")]
-
-
-# Vacancies per effective grade; NULL (not 0) when none.
-def grade_count_aggs() -> list[Column]:
-    return [F.sum(F.when(_is(g), 1)).alias(c) for g, c in COUNTED_GRADES]
-
-
-# Vacancies whose title grade is Team Lead; NULL when none.
-def lead_count_aggs() -> list[Column]:
-    return [F.sum(F.when(F.col("grade") == LEAD_GRADE, 1)).alias("cnt_lead")]
-
-
-@_per_context
-def count_aggs() -> list[Column]:
-    return open_count_aggs() + salary_count_aggs() + grade_count_aggs() + lead_count_aggs()
-
-
 @_per_context
 def stat_final() -> list[Column]:
     """The 17 published stat columns from the aggregated ones."""
@@ -136,66 +110,94 @@ def salary_ratio_final() -> list[Column]:
 
 
 # ---------------------------------------------------------------------------
-# Two-level form used by the marts: aggregate raw amounts per (key, currency),
-# convert the aggregated rows, then aggregate per key.
+# Two-level form used by the marts. Level 1 groups the fact by (key, currency,
+# effective grade) with nine plain aggregates; level 2 works on those groups
+# only: it converts to roubles and spreads the grades over columns.
 #
 # Exact, because decimal arithmetic is: SUM(s * r) = r * SUM(s), and for
 # r >= 0 MIN(s * r) = r * MIN(s) (for r < 0 the bounds swap; a NULL rate gives
 # NULL, which MIN/MAX/COUNT skip, as they skip the per-row NULL products).
 # Per fact row only long-backed DECIMAL(18,2) sums, counts and comparisons
-# remain; wide decimal products happen once per (key, currency) group, and
-# the fact is never joined to the currency table.
+# remain, none of them conditional on a grade; wide decimal products happen
+# once per group, and the fact is never joined to the currency table.
 # ---------------------------------------------------------------------------
 _CUR = "salary_currency"
+#: Level 1 columns that add up, and those that take the least or the greatest.
+ADDED = ["n", "n_open", "n_paid", "n_lead", "pay"]
+LEAST, GREATEST = ["lo_from", "lo_to"], ["hi_from", "hi_to"]
+
+
+def graded(fact: DataFrame) -> DataFrame:
+    return fact.withColumn(_GRADE, effective_grade("grade", "grade_experience"))
+
+
+def row_measures(sign: Column | None = None) -> list[Column]:
+    """What one fact row adds to its group's ``ADDED`` columns, times ``sign``.
+
+    ``n_open`` is A5, ``n_paid`` A6 (any raw bound: unlisted currencies count
+    too), ``n`` A7 by effective grade, ``n_lead`` A8 by title grade; ``pay`` over
+    ``n_paid`` makes A1.
+    """
+    s = F.lit(1) if sign is None else sign
+    one = s.cast("bigint")
+    frm, to = F.col("salary_from"), F.col("salary_to")
+
+    def count_if(c: Column) -> Column:
+        return F.when(c, one).otherwise(F.lit(0).cast("bigint"))
+
+    paid = frm.isNotNull() | to.isNotNull()
+    pay = F.coalesce(to, frm)
+    return [
+        one.alias("n"), count_if(F.col("is_open")).alias("n_open"), count_if(paid).alias("n_paid"),
+        count_if(F.col("grade") == LEAD_GRADE).alias("n_lead"),
+        (pay if sign is None else pay * s.cast("decimal(1,0)")).cast("decimal(18,2)").alias("pay"),
+    ]
 
 
 @_per_context
 def _level1_aggs() -> list[Column]:
-    pay = F.coalesce(F.col("salary_to"), F.col("salary_from"))
+    # A plain row's measures, aggregated without first being made columns.
+    sums = [F.sum(c).alias(n) for c, n in zip(row_measures(), ADDED, strict=True)]
     frm, to = F.col("salary_from"), F.col("salary_to")
-    out = count_aggs()
-    for g, s in GRADE_SUFFIXES:
-        out += [
-            F.sum(F.when(_is(g), pay)).alias(f"_s_{s}"),
-            F.count(F.when(_is(g), pay)).alias(f"_c_{s}"),
-            F.min(F.when(_is(g), frm)).alias(f"_lof_{s}"),
-            F.max(F.when(_is(g), frm)).alias(f"_hif_{s}"),
-            F.min(F.when(_is(g), to)).alias(f"_lot_{s}"),
-            F.max(F.when(_is(g), to)).alias(f"_hit_{s}"),
-        ]
-    out += [F.min(frm).alias("_lof"), F.max(frm).alias("_hif"), F.min(to).alias("_lot"), F.max(to).alias("_hit")]
-    return out
+    return sums + [F.min(frm).alias("lo_from"), F.min(to).alias("lo_to"), F.max(frm).alias("hi_from"), F.max(to).alias("hi_to")]
 
 
-def _low(lo: str, hi: str) -> Column:
-    r = F.col("to_rub")
-    return F.when(r >= 0, F.col(lo) * r).otherwise(F.col(hi) * r)
+@_per_context
+def merge_aggs() -> list[Column]:
+    """Level 1 groups merged into coarser ones."""
+    return [f(c).alias(c) for f, cols in ((F.sum, ADDED), (F.min, LEAST), (F.max, GREATEST)) for c in cols]
 
 
-def _high(lo: str, hi: str) -> Column:
+def _priced_groups(level1: DataFrame, currency: DataFrame) -> DataFrame:
+    """Level 1 groups with their sum as an exact integer of 1e-8 roubles and their bounds in roubles."""
+    rates = lookup(currency, "currency_id", ["to_rub"])
     r = F.col("to_rub")
-    return F.when(r >= 0, F.col(hi) * r).otherwise(F.col(lo) * r)
-
-
-def _units_of_sum(total: str) -> Column:
-    """SUM(s) * rate as an exact integer of 1e-8 roubles."""
-    cents = (F.col(total) * F.lit(100)).cast("decimal(38,0)")
-    micro_rate = (F.col("to_rub") * F.lit(1_000_000)).cast("decimal(38,0)")
-    return cents * micro_rate
+    units = (F.col("pay") * F.lit(100)).cast("decimal(38,0)") * (r * F.lit(1_000_000)).cast("decimal(38,0)")
+    return level1.join(rates, level1[_CUR] == rates["currency_id"], "left").withColumns(
+        {
+            "_units": units,
+            "_n_rub": F.when(r.isNotNull(), F.col("n_paid")).otherwise(F.lit(0)),
+            "_low": F.when(r >= 0, F.col("lo_from") * r).otherwise(F.col("hi_from") * r),
+            "_high": F.when(r >= 0, F.col("hi_to") * r).otherwise(F.col("lo_to") * r),
+        }
+    )
 
 
 @_per_context
 def _level2_aggs() -> list[Column]:
-    has_rate = F.col("to_rub").isNotNull()
-    out = [F.sum(c).alias(c) for c in COUNT_COLS]
-    for _, s in GRADE_SUFFIXES:
+    lead = F.col("n_lead")
+    # A5 and A6 are 0 when none, A7 and A8 NULL.
+    out = [F.sum("n_open").alias("cnt_vacancy"), F.sum("n_paid").alias("cnt_vac_salary")]
+    out += [F.sum(F.when(_is(g), F.col("n"))).alias(c) for g, c in COUNTED_GRADES]
+    out += [F.sum(F.when(lead > 0, lead)).alias("cnt_lead")]
+    for g, s in GRADE_SUFFIXES:
         out += [
-            F.sum(_units_of_sum(f"_s_{s}")).alias(f"_sum_{s}"),
-            F.sum(F.when(has_rate, F.col(f"_c_{s}")).otherwise(F.lit(0))).alias(f"_n_{s}"),
+            F.sum(F.when(_is(g), F.col("_units"))).alias(f"_sum_{s}"),
+            F.sum(F.when(_is(g), F.col("_n_rub")).otherwise(F.lit(0))).alias(f"_n_{s}"),
         ]
-    out += [F.min(_low(f"_lof_{s}", f"_hif_{s}")).alias(f"min_sal_{s}") for _, s in GRADE_SUFFIXES]
-    out += [F.max(_high(f"_lot_{s}", f"_hit_{s}")).alias(f"max_sal_{s}") for _, s in GRADE_SUFFIXES]
-    out += [F.min(_low("_lof", "_hif")).alias("min_salary"), F.max(_high("_lot", "_hit")).alias("max_salary")]
+    out += [F.min(F.when(_is(g), F.col("_low"))).alias(f"min_sal_{s}") for g, s in GRADE_SUFFIXES]
+    out += [F.max(F.when(_is(g), F.col("_high"))).alias(f"max_sal_{s}") for g, s in GRADE_SUFFIXES]
+    out += [F.min("_low").alias("min_salary"), F.max("_high").alias("max_salary")]
     return out
 
 
@@ -203,33 +205,36 @@ def grain_stats(fact: DataFrame, currency: DataFrame, key: str) -> DataFrame:
     """The 7 counts (A5-A8) and 17 stats (A1-A4) per grain key.
 
     The NULL key is a group with its stats, as in the reference's stats CTE.
-    Two exchanges: (key, currency) after a map-side partial aggregate of the
-    fact, then key over the already aggregated rows.
+    Two exchanges: (key, currency, grade) after a map-side partial aggregate of
+    the fact, then key over the already aggregated rows.
     """
-    graded = fact.withColumn(_GRADE, effective_grade("grade", "grade_experience"))
-    level1 = graded.groupBy(key, _CUR).agg(*_level1_aggs())
-    rates = lookup(currency, "currency_id", ["to_rub"])
-    priced_groups = level1.join(rates, level1[_CUR] == rates["currency_id"], "left")
-    level2 = priced_groups.groupBy(key).agg(*_level2_aggs())
+    level1 = graded(fact).groupBy(key, _CUR, _GRADE).agg(*_level1_aggs())
+    level2 = _priced_groups(level1, currency).groupBy(key).agg(*_level2_aggs())
     return level2.select(key, *COUNT_COLS, *stat_final())
 
 
-def partial_stats(fact: DataFrame, grains: list[list[str]], keys: list[str]) -> DataFrame:
-    """Level 1 for several groupings in one scan: raw-amount partials per
-    (``_set``, grouping keys, currency).
+def group_keys(grains: list[list[str]]) -> list[str]:
+    return sorted({k for g in grains for k in g})
+
+
+def group_partials(fact: DataFrame, keys: list[str]) -> DataFrame:
+    """Level 1 by all ``keys``, currency and grade at once: groups that every coarser grain can be merged from."""
+    return graded(fact).groupBy(*keys, _CUR, _GRADE).agg(*_level1_aggs())
 
-    ``keys`` lists every key column in a fixed order (each grouping in
-    ``grains`` is a subset); columns a grouping does not use are NULL, and
-    ``_set`` is the grouping's index in ``grains``. GROUPING SETS expands each
-    fact row once per grouping in memory before one partial aggregate, so
-    the fact is read and shuffled once for all groupings.
+
+def _by_sets(rows: DataFrame, grains: list[list[str]], aggs: list[Column]) -> DataFrame:
+    """``aggs`` for several groupings (and currency and grade) in one scan of ``rows``.
+
+    The result has every key column (NULL where a grouping does not use it) and
+    ``_set``, the grouping's index in ``grains``. GROUPING SETS expands each row
+    once per grouping in memory before one partial aggregate, so the rows are
+    read and shuffled once for all groupings.
     """
-    graded = fact.withColumn(_GRADE, effective_grade("grade", "grade_experience"))
-    sets = [[*g, _CUR] for g in grains]
-    level1 = graded.groupingSets(sets, *keys, _CUR).agg(F.grouping_id().alias("_gid"), *_level1_aggs())
-    # grouping_id sets bit i (from the left of ``keys + [currency]``) when that
+    keys = group_keys(grains)
+    level1 = rows.groupingSets([[*g, _CUR, _GRADE] for g in grains], *keys, _CUR, _GRADE).agg(F.grouping_id().alias("_gid"), *aggs)
+    # grouping_id sets bit i (from the left of ``keys + [currency, grade]``) when that
     # column is not grouped; map each bit pattern back to its grouping.
-    width = len(keys) + 1
+    width = len(keys) + 2
     gid_of = {
         sum(1 << (width - 1 - i) for i, k in enumerate(keys) if k not in g): n for n, g in enumerate(grains)
     }
@@ -237,19 +242,16 @@ def partial_stats(fact: DataFrame, grains: list[list[str]], keys: list[str]) ->
     return level1.select(set_index.alias("_set"), *[c for c in level1.columns if c != "_gid"])
 
 
-def finish_stats(level1: DataFrame, currency: DataFrame, keys: list[str]) -> DataFrame:
-    """Level 2: convert the (key, currency) partials to roubles and merge per key."""
-    rates = lookup(currency, "currency_id", ["to_rub"])
-    priced_groups = level1.join(rates, level1[_CUR] == rates["currency_id"], "left")
-    level2 = priced_groups.groupBy("_set", *keys).agg(*_level2_aggs())
+def _finish_sets(level1: DataFrame, currency: DataFrame, keys: list[str]) -> DataFrame:
+    level2 = _priced_groups(level1, currency).groupBy("_set", *keys).agg(*_level2_aggs())
     return level2.select("_set", *keys, *COUNT_COLS, *stat_final())
 
 
 def grain_stats_sets(fact: DataFrame, currency: DataFrame, grains: list[list[str]]) -> DataFrame:
-    """``grain_stats`` for several groupings in one scan of the fact.
+    """``grain_stats`` for several groupings in one scan of the fact."""
+    return _finish_sets(_by_sets(graded(fact), grains, _level1_aggs()), currency, group_keys(grains))
 
-    The result has every key column (NULL where a grouping does not use it),
-    ``_set`` (the index into ``grains``) and the 7 counts and 17 stats.
-    """
-    keys = sorted({k for g in grains for k in g})
-    return finish_stats(partial_stats(fact, grains, keys), currency, keys)
+
+def partial_stats_sets(partials: DataFrame, currency: DataFrame, grains: list[list[str]]) -> DataFrame:
+    """``grain_stats_sets`` from stored ``group_partials``, without the fact."""
+    return _finish_sets(_by_sets(partials, grains, merge_aggs()), currency, group_keys(grains))
