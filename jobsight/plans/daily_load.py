@@ -31,6 +31,8 @@ import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,13 +45,27 @@ from jobsight.operators.candidates import (
 )
 from jobsight.operators.checks import duplicate_keys, over_length
 from jobsight.operators.normalise import distinct_records, missing_required, normalise
-from jobsight.operators.upsert import upsert_table
+from jobsight.operators.upsert import DUPLICATE, LOADS, merge_rows
+from jobsight.plans import mart_feed
+from jobsight.plans.fact_store import (
+    FACT_RANGE_WIDTH,
+    FOREIGN_KEYS,
+    IMAGE,
+    RANGE_COL,
+    fact_path,
+    marked,
+    merge_fact,
+    ranges_holding,
+    read_fact,
+    read_ranges,
+    read_ranges_with_id,
+    rebuild_keys,
+    touched_ranges,
+)
 from jobsight.schemas import DIM_AREA, DIM_CURRENCY, DIM_EMPLOYER, DIM_EXPERIENCE, FACT_VACANCY, VARCHAR_LIMITS
 from jobsight.session import storage_root, warehouse_root
 from jobsight.sinks.versioned import (
-    current_path,
     read_current,
-    read_if_exists,
     read_run_log,
     record_run,
     refresh,
@@ -64,10 +80,6 @@ from jobsight.sources.pages import (
     title_search,
 )
 
-FACT_RANGE_WIDTH = 1_000_000
-FACT_DIR = "fact_vacancy"
-RANGE_COL = "id_range"
-
 DIMENSIONS = [
     # (table, key, staging name column, schema)
     ("dim_area", "area_id", "area_name", DIM_AREA),
@@ -89,16 +101,6 @@ class LoadResult:
     tables: dict[str, str] = field(default_factory=dict)  # table -> path written
 
 
-def _fact_path(root: str) -> str:
-    return f"{root}/{FACT_DIR}"
-
-
-def read_fact(spark: SparkSession, root: str) -> DataFrame:
-    """The current fact (without the storage-only ``id_range`` column); empty only if there is none yet."""
-    df = read_if_exists(spark, FACT_VACANCY, _fact_path(root))
-    return spark.createDataFrame([], FACT_VACANCY) if df is None else df.select(*FACT_VACANCY.names)
-
-
 def read_stored(spark: SparkSession, root: str, table: str) -> DataFrame:
     schemas = {t: s for t, _, _, s in DIMENSIONS}
     schemas["dim_currency"] = DIM_CURRENCY
@@ -107,27 +109,9 @@ def read_stored(spark: SparkSession, root: str, table: str) -> DataFrame:
     return read_current(spark, root, table, schemas[table])
 
 
-def _range_of(width: int):
-    return F.floor(F.col("vacancy_id") / F.lit(width)).cast("bigint")
-
-
 def touched_partitions(spark: SparkSession, root: str, source: DataFrame, width: int = FACT_RANGE_WIDTH) -> DataFrame:
-    """The stored fact rows in the id ranges ``source`` (computed, e.g. checkpointed) touches.
-
-    The touched ranges (at most one per ``width`` ids of the batch) come to
-    the driver; each range's folder is opened by its path with the declared
-    schema, so neither the other folders nor their parent is listed.
-    """
-    touched = source.select(_range_of(width).alias(RANGE_COL)).where(F.col(RANGE_COL).isNotNull()).distinct()
-    target = None
-    found = [
-        path
-        for path in (f"{_fact_path(root)}/{RANGE_COL}={r[0]}" for r in touched.collect())
-        if read_if_exists(spark, FACT_VACANCY, path) is not None
-    ]
-    if found:
-        target = read_if_exists(spark, FACT_VACANCY, *found, basePath=_fact_path(root))
-    return spark.createDataFrame([], FACT_VACANCY) if target is None else target.select(*FACT_VACANCY.names)
+    """The stored fact rows in the id ranges ``source`` (computed, e.g. checkpointed) touches."""
+    return read_ranges(spark, root, touched_ranges(source, width))
 
 
 def upsert_fact(
@@ -137,30 +121,9 @@ def upsert_fact(
     width: int = FACT_RANGE_WIDTH,
     on_duplicate: str = "error",
 ) -> str:
-    """U7 on the range-partitioned fact: merge and replace only touched partitions."""
-    path = _fact_path(root)
-    storage_root(spark)
-    # The duplicate check, the touched-range probe and the merge all read the
-    # batch: compute its DISTINCT candidates once.
-    source = source.checkpoint(eager=True)
-    target = touched_partitions(spark, root, source, width)
-    merged = upsert_table("fact_vacancy", target, source, on_duplicate).withColumn(RANGE_COL, _range_of(width))
-    # Reliable checkpoint (shared storage): the rows to write no longer depend
-    # on the partitions they replace, and a retried write task re-reads them
-    # instead of re-running the merge. One task writes each range: with
-    # unique ids a range holds at most ``width`` rows, so no task grows with the data.
-    rows = merged.checkpoint(eager=True)
-    (
-        rows.repartition(RANGE_COL)
-        # Role-clustered row groups: a mart's pushed role filter skips the
-        # row groups of other roles by their min/max statistics.
-        .sortWithinPartitions(RANGE_COL, "vacancy_name")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(RANGE_COL)
-        .parquet(path)
-    )
-    return path
+    """U7 on the range-partitioned fact: merge, replace only touched ranges, keep the marts' groups current."""
+    mart_feed.apply_change(spark, root, merge_fact(spark, root, source, width, on_duplicate))
+    return fact_path(root)
 
 
 def batch_sources(records: DataFrame) -> dict[str, DataFrame]:
@@ -171,21 +134,30 @@ def batch_sources(records: DataFrame) -> dict[str, DataFrame]:
     return out
 
 
-def check_batch(records: DataFrame, on_duplicate: str = "error") -> None:
-    """Reject a batch that the merges would reject, before anything is written.
+def merge_batch(
+    spark: SparkSession, root: str, records: DataFrame, width: int, on_duplicate: str
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """What every table holds after the batch, computed but not written: the dimensions, and the fact's touched ranges.
 
-    A key with several differing rows is refused with ``on_duplicate='error'``:
-    the merge would fail on it where the key is stored already, and where it is
-    not, would store both rows. ``'allow'`` takes them, as the reference's
-    fact does on first insert (it has no unique key); such a vacancy then counts once per row.
+    The merges find the duplicates they refuse as they run, so a batch is
+    rejected before anything is written, without a check job for each table.
     """
-    if on_duplicate != "error":
-        return
-    keys = {**DIMENSION_KEYS, "fact_vacancy": "vacancy_id"}
-    for table, source in batch_sources(records).items():
-        twice = duplicate_keys(source, keys[table])
-        if not twice.isEmpty():
-            raise BatchRejected(f"{table}: several rows for one {keys[table]}, e.g. {twice.limit(5).collect()}")
+    sources = batch_sources(records)
+
+    def dimension(table: str) -> tuple[str, DataFrame]:
+        key, changed, unique = LOADS[table]
+        merged = merge_rows(read_stored(spark, root, table), sources[table], key, changed, on_duplicate, unique)
+        return table, merged.drop("_op").checkpoint(eager=True)
+
+    try:
+        # The four dimensions depend only on the batch, not on each other: their jobs run concurrently.
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            dims = dict(pool.map(dimension, [t for t, *_ in DIMENSIONS] + ["dim_currency"]))
+        return dims, merge_fact(spark, root, sources["fact_vacancy"], width, on_duplicate)
+    except (PySparkException, Py4JJavaError) as e:
+        if (at := str(e).find(DUPLICATE)) >= 0:
+            raise BatchRejected(str(e)[at:].splitlines()[0]) from e
+        raise
 
 
 def load(
@@ -243,34 +215,52 @@ def load(
         records = title_search(records, phrases)
     if as_of is not None:
         records = lookback(records, as_of, bookmarked)
-    # Computed once, into the scratch folder: the checks below, staging and every merge read it.
+    # Computed once, into the scratch folder: staging and every merge read it.
     records = distinct_records(records).checkpoint(eager=True)
-    check_batch(records, on_duplicate)
+    dims, fact_rows = merge_batch(spark, root, records, fact_range_width, on_duplicate)
     staging = refresh(records, root, "staging")
     record_run(spark, root, run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
-    sources = batch_sources(staging)
-
-    def load_dimension(table: str) -> tuple[str, str]:
-        merged = upsert_table(table, read_stored(spark, root, table), sources[table], on_duplicate)
-        return table, write_version(merged, root, table)
-
-    # The four dimensions depend only on staging, not on each other: their
-    # jobs run concurrently. The fact follows them, as its references require.
     result = LoadResult(staging)
     with ThreadPoolExecutor(max_workers=4) as pool:
-        result.tables.update(pool.map(load_dimension, [t for t, *_ in DIMENSIONS] + ["dim_currency"]))
-    result.tables["fact_vacancy"] = upsert_fact(spark, root, sources["fact_vacancy"], fact_range_width, on_duplicate)
+        result.tables.update(pool.map(lambda t: (t, write_version(dims[t], root, t)), dims))
+    # The fact follows the dimensions, as its references require, and the marts' figures follow the fact.
+    mart_feed.apply_change(spark, root, fact_rows)
+    mart_feed.refresh_stats(spark, root)
+    result.tables["fact_vacancy"] = fact_path(root)
     return result
 
 
+def delete_dimension_rows(spark: SparkSession, root: str, table: str, keys: DataFrame) -> list[int]:
+    """Remove the rows of ``keys`` (one column) from a stored dimension; the fact's references become NULL (Q3).
+
+    Only the id ranges that hold one of the keys are read and rewritten
+    (returned). The fact goes first: a run that ends in between leaves no
+    reference without its row, and is repeated as it is.
+    """
+    (column,) = [c for c, t in FOREIGN_KEYS if t == table]
+    storage_root(spark)
+    key, schema = DIMENSION_KEYS[table], FACT_VACANCY[column].dataType
+    gone = keys.select(F.col(keys.columns[0]).cast(schema).alias("_gone")).where("_gone is not null").distinct().checkpoint(eager=True)
+    if marked(spark, root):
+        rebuild_keys(spark, root)
+    ranges = ranges_holding(spark, root, column, gone)
+    if ranges:
+        rows = read_ranges_with_id(spark, root, ranges).join(gone, F.col(column) == F.col("_gone"), "left")
+        hit = F.col("_gone").isNotNull()
+        rows = rows.select(
+            *[F.when(~hit, F.col(c)).alias(c) if c == column else F.col(c) for c in FACT_VACANCY.names], RANGE_COL,
+            F.when(hit, F.lit("update")).otherwise(F.lit("keep")).alias("_op"),
+            F.when(hit, F.struct(*IMAGE)).alias("_before"),
+        )
+        mart_feed.apply_change(spark, root, rows.checkpoint(eager=True))
+    dim = read_stored(spark, root, table).join(gone, F.col(key) == F.col("_gone"), "left_anti")
+    write_version(dim.checkpoint(eager=True), root, table)
+    mart_feed.refresh_stats(spark, root)
+    return ranges
+
+
 # Declared integrity of the stored star: unique dimension keys and the fact's
 # four references (NULL keys exempt in both).
-FOREIGN_KEYS = [
-    ("employer_id", "dim_employer"),
-    ("experience_id", "dim_experience"),
-    ("area_id", "dim_area"),
-    ("salary_currency", "dim_currency"),
-]
 DIMENSION_KEYS = {"dim_area": "area_id", "dim_employer": "employer_id", "dim_experience": "experience_id",
                   "dim_currency": "currency_id"}
 
@@ -300,7 +290,8 @@ def verify(spark: SparkSession, root: str | None = None, fact: DataFrame | None
 def marts(spark: SparkSession, root: str | None = None, views: list[str] | None = None) -> dict[str, DataFrame]:
     """U8: the seven marts (or those named in ``views``) over the stored star, registered as temp views.
 
-    One scan of the fact serves all seven.
+    From the figures the loads keep current; where a run ended in between and
+    they are not, from one scan of the fact that serves all seven.
     """
     from jobsight.plans.marts import publish
 
@@ -309,51 +300,13 @@ def marts(spark: SparkSession, root: str | None = None, views: list[str] | None
         "area": read_stored(spark, root, "dim_area"),
         "employer": read_stored(spark, root, "dim_employer"),
     }
-    return publish(spark, read_fact(spark, root), read_stored(spark, root, "dim_currency"), dims, views)
-
-
-# ---------------------------------------------------------------------------
-# SQL surface: the reference's schema-qualified names as external tables.
-# ---------------------------------------------------------------------------
-DATABASES = ["staging", "settings", "core", "data_mart"]
-
-
-def _external(spark: SparkSession, name: str, path: str, partitioned: bool = False) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: the files stay
-    spark.catalog.createTable(name, path=path, source="parquet")
-    if partitioned:
-        spark.catalog.recoverPartitions(name)
+    stats = mart_feed.stored_stats(spark, root) if mart_feed.current(spark, root) else None
+    return publish(spark, read_fact(spark, root), read_stored(spark, root, "dim_currency"), dims, views, stats)
 
 
+# SQL surface: see ``plans.warehouse_sql``.
 def register_tables(spark: SparkSession, root: str | None = None, with_marts: bool = True) -> list[str]:
-    """Expose the stored star under the reference's names for Spark SQL.
-
-    ``staging.vacancy``, ``settings.setup``, ``core.dim_*``, ``core.fact_vacancy``
-    and (with ``with_marts``) ``data_mart.<view>`` become external tables over
-    the current versions, so SQL written against those names runs unchanged.
-    The marts are materialised as new versions first (the reference computes
-    its views on read; here they are refreshed once per load). Databases are
-    created under ``root`` so nothing is written elsewhere.
-    """
-    root = root or warehouse_root(spark)
-    for db in DATABASES:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}/_catalog/{db}.db'")
-    names = []
-    staging = current_path(spark, root, "staging")
-    if staging:
-        _external(spark, "staging.vacancy", staging)
-        names.append("staging.vacancy")
-    _external(spark, "settings.setup", f"{root}/setup")
-    names.append("settings.setup")
-    for table in [t for t, *_ in DIMENSIONS] + ["dim_currency"]:
-        path = current_path(spark, root, table)
-        if path:
-            _external(spark, f"core.{table}", path)
-            names.append(f"core.{table}")
-    _external(spark, "core.fact_vacancy", _fact_path(root), partitioned=True)
-    names.append("core.fact_vacancy")
-    if with_marts:
-        for view, df in marts(spark, root).items():
-            _external(spark, f"data_mart.{view}", write_version(df, root, f"data_mart_{view}"))
-            names.append(f"data_mart.{view}")
-    return names
+    """Expose the stored star and the marts under the reference's names for Spark SQL; see ``plans.warehouse_sql``."""
+    from jobsight.plans.warehouse_sql import register
+
+    return register(spark, root or warehouse_root(spark), with_marts)

@@ -117,26 +117,35 @@ def build_mart(name: str, fact: DataFrame, currency: DataFrame, dims: dict[str,
 MART_GRAINS = [["vacancy_name", "area_id"], ["vacancy_name", "employer_id"], ["vacancy_name"]]
 
 
+def _grain(spec: MartSpec) -> list[str]:
+    return [spec.grain_key] if spec.grain_key == "vacancy_name" else ["vacancy_name", spec.grain_key]
+
+
 def publish(
     spark,
     fact: DataFrame,
     currency: DataFrame,
     dims: dict[str, DataFrame],
     views: list[str] | None = None,
+    stats: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """U8: the seven marts (or those named in ``views``), registered as temp views named like the reference's.
 
     The fact is scanned once: one GROUPING SETS aggregation yields the
-    per-key counts and stats for (role, area), (role, employer) and (role),
-    checkpointed (per-key rows only); each mart is a slice of it.
+    per-key counts and stats of the groupings that the wanted marts need,
+    checkpointed (per-key rows only); each mart is a slice of it. With
+    ``stats`` (``_set`` an index into ``MART_GRAINS``) the fact is not read.
     """
-    grains = MART_GRAINS
-    storage_root(spark)
-    stats = grain_stats_sets(fact, currency, grains).checkpoint(eager=True)
+    wanted = [m for m in MARTS.values() if views is None or m.view in views]
+    if stats is None:
+        grains = [g for g in MART_GRAINS if any(_grain(m) == g for m in wanted)]
+        storage_root(spark)
+        stats = grain_stats_sets(fact, currency, grains).checkpoint(eager=True)
+    else:
+        grains = MART_GRAINS
 
     def finish(spec: MartSpec) -> tuple[str, DataFrame]:
-        grain = [spec.grain_key] if spec.grain_key == "vacancy_name" else ["vacancy_name", spec.grain_key]
-        rows = stats.where(F.col("_set") == grains.index(grain))
+        rows = stats.where(F.col("_set") == grains.index(_grain(spec)))
         if spec.role is not None:
             rows = rows.where(F.col("vacancy_name") == spec.role)
         keyed = _blank_null_key(rows, spec.grain_key)
@@ -145,7 +154,7 @@ def publish(
 
     # The seven slices are independent: their (small) jobs run concurrently.
     with ThreadPoolExecutor(max_workers=len(MARTS)) as pool:
-        out = dict(pool.map(finish, [m for m in MARTS.values() if views is None or m.view in views]))
+        out = dict(pool.map(finish, wanted))
     for view, df in out.items():
         df.createOrReplaceTempView(view)
     return out
