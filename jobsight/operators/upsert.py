@@ -107,6 +107,7 @@ def merge_rows(
         v = changed.value(sc)
         s = s.withColumns({"_n": F.count(v).over(same_key), "_low": F.min(v).over(same_key), "_high": F.max(v).over(same_key)})
         s = s.withColumns({f"_n{e}": F.count(F.when(v == F.col(e), 1)).over(same_key) for e in ("_low", "_high")})
+        s = s.withColumn("_nth", F.row_number().over(same_key.orderBy(sc(key))))
 
     joined = t.join(s, tc(key) == sc(key), "full_outer")
     here, there = tc(key).isNotNull(), sc(key).isNotNull()
@@ -117,8 +118,11 @@ def merge_rows(
         else:  # source rows of the key whose value differs from the target row's
             v, n, low, high = changed.value(tc), F.col("_n"), F.col("_low"), F.col("_high")
             hits = (
-                F.when(low == high, n).when(v == low, n - F.col("_n_low")).when(v == high, n - F.col("_n_high")).otherwise(F.lit(2))
+                F.when(v.isNull() | (n == 0), F.lit(0)).when(low == high, F.when(v == low, F.lit(0)).otherwise(n))
+                .when(v == low, n - F.col("_n_low")).when(v == high, n - F.col("_n_high")).otherwise(F.lit(2))
             )
+            # A target row met by several source rows stays one row: the updated one, or the first of those that change nothing.
+            joined = joined.where(~(here & there) | update | ((hits == 0) & (F.col("_nth") == 1)))
         bad = update & (hits > 1)
         if unique:
             bad = bad | (~here & there & (F.col("_rows") > 1))
