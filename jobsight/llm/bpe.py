@@ -44,6 +44,8 @@ from jobsight.llm.common import mapped, read, slices, texts
 LONG = 48
 CACHE = 1_000_000
 ROWS = 1 << 18
+#: Bytes of text taken at once: the more, the fewer queries.
+SLICE = 8 << 20
 #: Words of a text taken at once, and tokens strung together by one aggregate.
 BLOCK_WORDS, BLOCK_TOKENS = 200_000, 1 << 16
 
@@ -271,7 +273,7 @@ def _model(path: str, pattern: str) -> Bpe:
 
 def _encode(batches, path: str, pattern: str, decoded: bool):
     for whole in batches:
-        for b in slices(whole):
+        for b in slices(whole, limit=SLICE):
             ids = _model(path, pattern).encode(b.column("text").to_pylist())
             out = {"doc_id": b.column("doc_id"), "n_tokens": [len(x) // 4 for x in ids], "ids": pa.array(ids, pa.binary())}
             if decoded:
@@ -281,7 +283,7 @@ def _encode(batches, path: str, pattern: str, decoded: bool):
 
 def _decode(batches, path: str, pattern: str):
     for whole in batches:
-        for b in slices(whole, "ids"):
+        for b in slices(whole, "ids", SLICE):
             yield {"doc_id": b.column("doc_id"), "decoded": pa.array(_model(path, pattern).decode(b.column("ids").to_pylist()), pa.binary())}
 
 
