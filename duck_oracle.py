@@ -422,6 +422,9 @@ SQL: dict[str, str] = {
     "upsert_dim_employer": _dim_merge(
         "employer_id", "employer_name", ",\n  CAST(NULL AS BOOLEAN) AS is_accredited_it_employer"
     ),
+    "upsert_dim_employer_exact": _dim_merge(
+        "employer_id", "employer_name", ",\n  CAST(NULL AS BOOLEAN) AS is_accredited_it_employer"
+    ),
     "upsert_dim_experience": _dim_merge("experience_id", "experience_name"),
     "upsert_dim_currency": CUR_MERGE,
     "upsert_fact_vacancy": _fact_merge(),
@@ -474,4 +477,10 @@ SQL: dict[str, str] = {
     # The stored star holds what the pages carry: NORM applies, day 1 and 2 as above.
     **{f"stored_{k}": mart_sql(*a, source=(NORM_EXACT,)) for k, a in MART_ARGS.items()},
     "stored_fact_upsert": _fact_merge(),
+    # Two loads end in the star of all records; names and functions show that.
+    **{f"named_{k}": mart_sql(*MART_ARGS[k], source=(NORM_EXACT,)) for k in ("mart_de_region", "mart_da_employer", "mart_vacancies")},
+    "function_mart_region": mart_sql(*MART_ARGS["mart_ds_region"], source=(NORM_EXACT,)),
+    "stored_set_null_area": _with(V, NORM_EXACT, fact_cte("f", "n"))
+    + "SELECT * REPLACE (CASE WHEN area_id % 5 <> 0 THEN area_id END AS area_id, CAST(salary_from AS DOUBLE) AS salary_from,"
+    " CAST(salary_to AS DOUBLE) AS salary_to) FROM f",
 }

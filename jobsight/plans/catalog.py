@@ -204,6 +204,14 @@ def _days(spark, sf_dir):
     return first_load(day1_batch(recs)), day2_batch(recs)
 
 
+def q_upsert_dim_employer_exact(spark, sf_dir):
+    """Day 2 beside the stored names of its keys: two source rows a key, at most one of which updates, as MERGE takes them."""
+    old, batch = _days(spark, sf_dir)
+    source = as_dim(dim_candidates(batch, "employer_id", "employer_name"), "employer_id", "employer_name")
+    again = old.dims["employer"].select("employer_id", "name").join(source.select("employer_id").distinct(), "employer_id", "left_semi")
+    return upsert_table("dim_employer", old.dims["employer"], source.unionByName(again), on_duplicate="merge")
+
+
 def _dim_upsert(table, dim, key, name):
     def q(spark, sf_dir):
         old, batch = _days(spark, sf_dir)
@@ -356,6 +364,42 @@ def q_stored_fact_upsert(spark, sf_dir):
 STORED_RANGE = 50_000
 
 
+def _loaded_over_two_days(spark, sf_dir, names=False):
+    """A warehouse whose second load brings what the first lacked or held otherwise; SQL names made in between."""
+    root, recs = _fresh_root(spark), vacancy_records(spark, sf_dir)
+    late, other = F.col("id") % 7 == 0, F.col("id") % 3 == 0
+    before = recs.where(~late).withColumns(
+        {
+            "salary_from": F.when(other, F.col("salary_from") / 2).otherwise(F.col("salary_from")).cast("decimal(18,2)"),
+            "salary_to": F.when(other, F.col("salary_to") * 2).otherwise(F.col("salary_to")).cast("decimal(18,2)"),
+            "is_open": F.when(other, ~F.col("is_open")).otherwise(F.col("is_open")),
+        }
+    )
+    for day, batch in enumerate((before, recs.where(late | other))):
+        daily_load.load(spark, parse_pages(landed_pages(batch)), root=root, strict=False, fact_range_width=STORED_RANGE)
+        if names and not day:
+            daily_load.register_tables(spark, root)
+    return root
+
+
+def _by_name(query):
+    """SQL over names that were made after the first of two loads."""
+
+    def q(spark, sf_dir):
+        _loaded_over_two_days(spark, sf_dir, names=True)
+        return at_boundary(spark.sql(query))
+
+    return q
+
+
+def q_stored_set_null_area(spark, sf_dir):
+    """Areas deleted from the stored star; the fact afterwards."""
+    root = _loaded_over_two_days(spark, sf_dir)
+    gone = daily_load.read_stored(spark, root, "dim_area").where("area_id % 5 = 0").select("area_id")
+    daily_load.delete_dimension_rows(spark, root, "dim_area", gone)
+    return at_boundary(daily_load.read_fact(spark, root))
+
+
 # ---------------------------------------------------------------- ingest
 # Pages are landed from the records as API-shaped JSON (fixture), then read
 # back through the same path a real landing takes.
@@ -466,4 +510,8 @@ QUERIES: dict[str, Query] = {
     "chk_length_fact": q_chk_length_fact,
     **{f"stored_{name}": _stored_mart(spec.view) for name, spec in MARTS.items()},
     "stored_fact_upsert": q_stored_fact_upsert,
+    "upsert_dim_employer_exact": q_upsert_dim_employer_exact,
+    **{f"named_{m}": _by_name(f"SELECT * FROM data_mart.{MARTS[m].view}") for m in ("mart_de_region", "mart_da_employer", "mart_vacancies")},
+    "function_mart_region": _by_name("SELECT * FROM mart_region('Data scientist')"),
+    "stored_set_null_area": q_stored_set_null_area,
 }
