@@ -72,29 +72,34 @@ def _count(batches):
         yield {"term": [term_hash(t) for t in seen], "n": list(seen.values())}
 
 
-def lexicon(docs: DataFrame, min_share: float = 0.002, max_share: float = 0.2, max_lexicon: int = 500_000) -> np.ndarray:
-    """Sorted hashes of the terms in the band."""
+def lexicon(docs: DataFrame, min_share: float = 0.002, max_share: float = 0.2) -> np.ndarray:
+    """Sorted hashes of the terms in the band.
+
+    A band term stands in at least ``min_share`` of all documents, so there are at
+    most (mean distinct terms of a document) / ``min_share`` of them, 8 bytes
+    each: a bound that does not grow with the number of documents.
+    """
     own = texts(docs)
     n = own.count()
     counted = mapped(own.select("text"), _count, "term long, n long").groupBy("term").agg(F.sum("n").alias("df"))
-    band = saved(counted.where((F.col("df") >= max(2, math.ceil(min_share * n))) & (F.col("df") <= max_share * n)), "lexicon")
-    # Frequencies come in few values; take whole values from the top until the bound.
-    by_df = band.groupBy("df").agg(F.count("*").alias("terms")).orderBy(F.desc("df")).limit(max_lexicon)
-    total, least = 0, 0
-    for r in by_df.toLocalIterator():
-        if total + r["terms"] > max_lexicon:
-            break
-        total, least = total + r["terms"], r["df"]
-    rows = band.where(F.col("df") >= least).select("term").collect() if total else []  # max_lexicon rows at most
-    return np.sort(np.array([r[0] for r in rows], np.int64))
+    band = counted.where((F.col("df") >= max(2, math.ceil(min_share * n))) & (F.col("df") <= max_share * n))
+    return np.sort(np.array([r[0] for r in band.select("term").collect()], np.int64))
+
+
+class Hashes(dict):
+    """Hashes of terms, kept for those met."""
+
+    def __missing__(self, term: bytes) -> int:
+        self[term] = h = term_hash(term)
+        return h
 
 
 class Fingerprints:
     """Fingerprints of texts under one lexicon; term hashes of a worker are kept up to ``FLUSH_TERMS``."""
 
     def __init__(self, lexicon_: np.ndarray, lexicons: int = LEXICONS, terms: int = TERMS):
-        self.known = set(lexicon_.tolist())
-        self.hashes: dict[bytes, int] = {}
+        self.known = lexicon_
+        self.hashes = Hashes()
         self.seeds = mix64(np.arange(1, lexicons + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         self.whole_seeds = mix64(np.arange(1, WHOLE, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
         self.terms = terms
@@ -102,14 +107,11 @@ class Fingerprints:
     def band(self, some: set[bytes]) -> np.ndarray:
         if len(self.hashes) > FLUSH_TERMS:
             self.hashes.clear()
-        out = []
-        for t in some:
-            h = self.hashes.get(t)
-            if h is None:
-                h = self.hashes[t] = term_hash(t)
-            if h in self.known:
-                out.append(h)
-        return np.array(sorted(out), np.int64).view(np.uint64)
+        h = np.sort(np.fromiter(map(self.hashes.__getitem__, some), np.int64, len(some)))
+        if not len(self.known):
+            return h[:0].view(np.uint64)
+        at = np.searchsorted(self.known, h)
+        return h[self.known[np.minimum(at, len(self.known) - 1)] == h].view(np.uint64)
 
     def of(self, some: set[bytes]) -> str:
         h = self.band(some)
