@@ -17,7 +17,8 @@ the start and its smallest id stands for it. For the classes:
    different components, may hold links that no centre shows. Its members are
    dealt into chunks of about ``CHUNK``; a task holds two chunks, compares
    signatures with numpy, and where they agree on nearly the threshold the
-   sets, only across components, uniting as it goes. A pair counts in its
+   full sets, only across components, uniting as it goes; so components are
+   united on links alone and none is passed over for a pair that is no link. A pair counts in its
    first common bucket. What leaves the task are at most as many links as it
    has members, confirmed on the full sets like the others. So no bucket is
    capped, and no pair list of a bucket is ever made.
@@ -192,8 +193,7 @@ def _confirm(batches, percent: int):
             p, q = np.frombuffer(p.as_buffer(), np.uint64), np.frombuffer(q.as_buffer(), np.uint64)
             if 100 * min(len(p), len(q)) < percent * max(len(p), len(q)):
                 continue
-            both = len(np.intersect1d(p, q, assume_unique=True))
-            if 100 * both >= percent * (len(p) + len(q) - both):
+            if _linked(p, q, percent):
                 a_.append(x)
                 b_.append(y)
         yield {"a": a_, "b": b_}
@@ -204,10 +204,9 @@ def _first_common(x: np.ndarray, y: np.ndarray, bands: int, rows: int) -> np.nda
     return same.argmax(1)
 
 
-def _near(p: np.ndarray, q: np.ndarray, n: int, m: int, percent: int) -> bool:
-    """Whether sets of ``n`` and ``m`` elements may reach the threshold by the 32-bit halves of their hashes; never too strict."""
-    both = len(np.intersect1d(p, q, assume_unique=True)) + (n - len(p)) + (m - len(q))
-    return 100 * both >= percent * (n + m - both)
+def _linked(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(p, q, assume_unique=True))
+    return 100 * both >= percent * (len(p) + len(q) - both)
 
 
 def _compare(batches, percent: int, bands: int, rows: int):
@@ -217,9 +216,8 @@ def _compare(batches, percent: int, bands: int, rows: int):
 
     def links(rows_: list):
         side, rep, comp = (np.array([r[k] for r in rows_]) for k in (1, 2, 3))
-        sets = [np.frombuffer(r[4], np.uint32) for r in rows_]
-        halves = [np.unique(x) for x in sets]
-        sig = np.stack([signature(x.astype(np.uint64) << np.uint64(32), draws) for x in sets])
+        sets = [np.frombuffer(r[4], np.uint64) for r in rows_]
+        sig = np.stack([signature(x, draws) for x in sets])
         left, right = np.flatnonzero(side <= 1), np.flatnonzero(side >= 1)  # side 1: a chunk with itself
         for i in left:
             js = right[(comp[right] != comp[i]) & ((side[right] != 1) | (right > i))]
@@ -230,7 +228,7 @@ def _compare(batches, percent: int, bands: int, rows: int):
             # A pair meets in every bucket it shares; it counts in the first.
             js = js[_first_common(sig[js], np.broadcast_to(sig[i], (len(js), BINS)), bands, rows) == rows_[0][5]]
             for j in js.tolist():
-                if comp[i] != comp[j] and _near(halves[i], halves[j], len(sets[i]), len(sets[j]), percent):
+                if comp[i] != comp[j] and _linked(sets[i], sets[j], percent):
                     yield rep[i], rep[j]
                     comp[comp == max(comp[i], comp[j])] = min(comp[i], comp[j])
 
@@ -251,12 +249,6 @@ def _compare(batches, percent: int, bands: int, rows: int):
         yield from done(held)
 
 
-def _halves(batches):
-    for b in batches:
-        items = [(np.frombuffer(x, np.uint64) >> np.uint64(32)).astype(np.uint32).tobytes() for x in b.column("items").to_pylist()]
-        yield {"rep": b.column("rep"), "items": items}
-
-
 def near_duplicates(docs: DataFrame, percent: int = 80, words: int = WORDS) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row; ``kept`` is ``doc_id = component_id``."""
     bands, rows = bands_for(percent)
@@ -298,8 +290,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = WORDS) -> D
         F.when(F.col("mine") == F.col("other"), 1).when(F.col("mine") < F.col("other"), 0).otherwise(2).alias("side"),
         F.col("rep").alias("member"), "component", F.col("key").bitwiseAND(F.lit((1 << BAND_BITS) - 1)).cast("int").alias("band"),
     )
-    halves = mapped(sets, _halves, "rep long, items binary")
-    filled = dealt.join(halves.hint("merge"), F.col("member") == F.col("rep")).select("task", "side", "rep", "component", "items", "band")
+    filled = dealt.join(sets.hint("merge"), F.col("member") == F.col("rep")).select("task", "side", "rep", "component", "items", "band")
     more = mapped(
         filled.repartition("task").sortWithinPartitions("task", "side"),
         lambda it: _compare(it, percent, bands, rows), "a long, b long",
