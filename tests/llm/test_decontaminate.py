@@ -44,13 +44,16 @@ def _edit(text, n, seed):
 def test_equals_brute_force_with_edits(spark):
     items = [(i, prose(100 + i, 18)) for i in range(4)] + [(9, None), (10, ""), (11, "short one"), (12, prose(100, 18))]
     docs = [(i, prose(i, 30) + "\n" + _edit(items[i % 4][1], i, i).upper() + "! " + prose(i + 50, 30)) for i in range(12)]
+    docs += [(20, prose(70, 9) + " Short, ONE " + prose(71, 9)), (21, prose(72, 9) + " ashort one " + prose(73, 9)), (22, "short one")]
     bench = spark.createDataFrame(items, "item_id long, text string")
     want = set()
     for d, t in docs:
         for i, x in items:
             n = normal(x or "")
-            if len(n) >= 40 and distance(n, normal(t)) <= int(0.05 * len(n)):
+            budget = int(0.05 * len(n))
+            if n and (distance(n, normal(t)) <= budget if budget else f" {n} " in f" {normal(t)} "):
                 want.add((d, i, distance(n, normal(t))))
+    assert {(20, 11, 0), (22, 11, 0)} <= want
     df = documents(spark, docs)
     for block in (2_000_000, 100):  # one block, and a block per item
         got = {(r["doc_id"], r["item_id"], r["distance"]) for r in find_leaks(df, bench, block_chars=block).collect()}
