@@ -30,6 +30,7 @@ from __future__ import annotations
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -53,6 +54,7 @@ from jobsight.plans.fact_store import (
     IMAGE,
     RANGE_COL,
     fact_path,
+    key_counts,
     marked,
     merge_fact,
     ranges_holding,
@@ -265,19 +267,28 @@ DIMENSION_KEYS = {"dim_area": "area_id", "dim_employer": "employer_id", "dim_exp
                   "dim_currency": "currency_id"}
 
 
-def verify(spark: SparkSession, root: str | None = None, fact: DataFrame | None = None) -> dict[str, int]:
+def verify(spark: SparkSession, root: str | None = None, fact: DataFrame | None = None, full: bool = False) -> dict[str, int]:
     """Q1/Q2 over the stored star: duplicate dimension keys and orphan fact keys.
 
     Returns the number of violations per constraint (all 0 for a healthy
-    star). Dimensions never lose rows, so only facts written since the last
-    check can break a reference: pass them as ``fact`` to check just those
-    instead of the whole fact table.
+    star). The references are checked on ``fact_keys``, which every load keeps
+    with the ranges it touches: the fact is not read. It is with ``full``, and
+    where a change of the fact did not end; ``fact`` checks just those rows.
     """
     root = root or warehouse_root(spark)
-    fact = read_fact(spark, root) if fact is None else fact
     dims = {table: read_stored(spark, root, table) for table in DIMENSION_KEYS}
     report = {f"unique:{t}": duplicate_keys(dims[t], key).count() for t, key in DIMENSION_KEYS.items()}
+    counts = None if full or fact is not None else key_counts(spark, root)
+    if counts is not None:
+        known = reduce(
+            DataFrame.unionByName,
+            [dims[t].select(F.lit(c).alias("column"), F.col(DIMENSION_KEYS[t]).cast("string").alias("key")) for c, t in FOREIGN_KEYS],
+        )
+        loose = counts.where("key is not null").join(known.distinct(), ["column", "key"], "left_anti").groupBy("column").agg(F.sum("n").alias("n"))
+        found = {r["column"]: r["n"] for r in loose.collect()}
+        return report | {f"fk:{c}": found.get(c, 0) for c, _ in FOREIGN_KEYS}
     # All references in one pass over the fact: a dimension's distinct keys joined to it, misses counted.
+    fact = read_fact(spark, root) if fact is None else fact
     rows, misses = fact.select(*[c for c, _ in FOREIGN_KEYS]), []
     for column, table in FOREIGN_KEYS:
         key = DIMENSION_KEYS[table]

@@ -4,10 +4,11 @@
 A merge opens the ranges its batch touches, computes their new rows with the
 images of what changed (a reliable checkpoint), and swaps those ranges in.
 
-``fact_keys/id_range=<n>`` beside it lists the distinct dimension keys in each
-range. It is written with its range and answers which ranges hold a key, so
-that a deleted dimension row (``ON DELETE SET NULL``) or a group to recompute
-costs its ranges and not the fact.
+``fact_keys/id_range=<n>`` beside it counts the rows of each dimension key in
+each range. It is written with its range and answers which ranges hold a key,
+so that a deleted dimension row (``ON DELETE SET NULL``) or a group to recompute
+costs its ranges and not the fact, and how many rows refer to a key that no
+dimension has, so that the references are checked without reading the fact.
 
 While a change is being written the warehouse is marked as such (``marked``);
 where a run ended in between, nothing trusts ``fact_keys`` or what was derived
@@ -37,7 +38,7 @@ FOREIGN_KEYS = [
 ]
 #: What the marts read of a fact row: the columns of a change's images.
 IMAGE = ["vacancy_name", "grade", "grade_experience", "is_open", "employer_id", "area_id", "salary_from", "salary_to", "salary_currency"]
-FACT_KEYS = T.StructType([T.StructField("column", T.StringType()), T.StructField("key", T.StringType()), T.StructField(RANGE_COL, T.LongType())])
+FACT_KEYS = T.StructType([T.StructField("column", T.StringType()), T.StructField("key", T.StringType()), T.StructField("n", T.LongType()), T.StructField(RANGE_COL, T.LongType())])
 STORED_FACT = T.StructType([*FACT_VACANCY.fields, T.StructField(RANGE_COL, T.LongType())])
 STATE = "fact_state"
 #: Touched ranges from which one listing of their parent is cheaper than asking for each.
@@ -139,7 +140,7 @@ def write_ranges(spark: SparkSession, root: str, rows: DataFrame) -> None:
 
 def _keys(rows: DataFrame) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("key")) for c, _ in FOREIGN_KEYS])
-    return rows.select(RANGE_COL, F.explode(pairs).alias("p")).select("p.column", "p.key", RANGE_COL).distinct()
+    return rows.select(RANGE_COL, F.explode(pairs).alias("p")).groupBy("p.column", "p.key", RANGE_COL).agg(F.count(F.lit(1)).alias("n"))
 
 
 def _swap(rows: DataFrame, path: str) -> None:
@@ -153,6 +154,11 @@ def rebuild_keys(spark: SparkSession, root: str) -> None:
         _swap(_keys(stored).repartition(RANGE_COL).sortWithinPartitions(RANGE_COL, "column", "key"), f"{root}/{KEYS_DIR}")
 
 
+def key_counts(spark: SparkSession, root: str) -> DataFrame | None:
+    """``column, key, n, id_range`` of the stored fact; None without one, or while a change has not ended."""
+    return None if marked(spark, root) else read_if_exists(spark, FACT_KEYS, f"{root}/{KEYS_DIR}")
+
+
 def ranges_holding(spark: SparkSession, root: str, column: str, keys: DataFrame) -> list[int]:
     """The id ranges whose rows hold any of ``keys`` (one column; NULL is a key) in ``column``."""
     index = read_if_exists(spark, FACT_KEYS, f"{root}/{KEYS_DIR}")

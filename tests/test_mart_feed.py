@@ -16,8 +16,8 @@ from jobsight.operators.upsert import DUPLICATE, Differs, merge_rows, name_chang
 from jobsight.plans import daily_load as D
 from jobsight.plans import fact_store as S
 from jobsight.plans import mart_feed as M
-from jobsight.schemas import FACT_VACANCY
-from jobsight.sinks.versioned import expire_versions
+from jobsight.schemas import DIM_AREA, DIM_CURRENCY, FACT_VACANCY
+from jobsight.sinks.versioned import expire_versions, write_version
 from jobsight.sources.fixture import landed_pages, vacancy_records
 from jobsight.sources.pages import parse_pages
 from tests.conftest import SF_SMALL
@@ -66,6 +66,22 @@ def test_groups_follow_random_days(spark, scratch):
     assert looked and all(looked)  # some bounds left with the rows that held them
 
 
+def test_references_checked_without_the_fact(spark, scratch, monkeypatch):
+    r = random.Random(4)
+    for day, areas in enumerate(([(1, "a")], [(1, "a"), (1, "twice"), (None, None), (2, "b")])):
+        D.upsert_fact(spark, scratch, spark.createDataFrame(_fact_rows(r, r.sample(range(40), 20)), FACT_VACANCY), WIDTH)
+        write_version(spark.createDataFrame(areas, DIM_AREA), scratch, "dim_area")
+        write_version(spark.createDataFrame([("RUR", Decimal(1))], DIM_CURRENCY), scratch, "dim_currency")
+        want = D.verify(spark, scratch, full=True)
+        with monkeypatch.context() as m:
+            m.setattr(D, "read_fact", None)  # not to be read
+            assert D.verify(spark, scratch) == want
+        assert want["unique:dim_area"] == day and want["fk:employer_id"] > 0 and want["fk:salary_currency"] > 0
+        assert (want["fk:area_id"] > 0) == (day == 0)
+    S.reached(spark, scratch, "writing")
+    assert D.verify(spark, scratch) == want  # nothing trusts the counts now: from the fact
+
+
 def test_a_change_that_did_not_end_is_made_good(spark, scratch):
     r = random.Random(2)
     D.upsert_fact(spark, scratch, spark.createDataFrame(_fact_rows(r, range(30)), FACT_VACANCY), WIDTH)
