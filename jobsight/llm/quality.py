@@ -175,12 +175,15 @@ def fit(x: np.ndarray, y: np.ndarray, **how) -> tuple[float, list[tuple[Rule, fl
 def compiled(model: tuple[float, list[tuple[Rule, float]]], value=lambda i: F.col(STATS[i])) -> F.Column:
     """The score as a column expression; ``value(i)`` is the column of statistic ``i``."""
     intercept, rules = model
-    total = F.lit(intercept)
+    terms = [F.lit(intercept)]
     for rule, weight in rules:
         cond = F.lit(True)
         for s, at_most, cut in rule:
             cond = cond & (value(s) <= cut if at_most else value(s) > cut)
-        total = total + F.when(cond, F.lit(weight)).otherwise(F.lit(0.0))
+        terms.append(F.when(cond, F.lit(weight)).otherwise(F.lit(0.0)))
+    while len(terms) > 1:  # a sum as deep as its terms are many is more than the code generator's stack holds
+        terms = [a + b for a, b in zip(terms[::2], terms[1::2], strict=False)] + terms[len(terms) & ~1 :]
+    (total,) = terms
     return 1 / (1 + F.exp(-total))
 
 
