@@ -11,9 +11,10 @@ Stored beside the star, as versioned datasets:
 A load hands over the images of the rows it changed. Counts and sums follow by
 adding the after images and taking off the before images. A least or greatest
 value follows too, unless it left with a before image and no after image
-reaches it; only such groups are computed again, from the id ranges that
-``fact_keys`` names for their employers. So a day costs its batch, the ranges
-it touches and the group table, whatever the fact holds.
+reaches it; such a group is marked (``_lost``) and, when the figures are next
+wanted, computed again from the id ranges that ``fact_keys`` names for its
+employer. So a day costs its batch, the ranges it touches and the group table,
+whatever the fact holds.
 
 If a run ended while the fact was being changed, or there are no groups yet, the
 groups are built from the whole fact once.
@@ -51,12 +52,15 @@ _SIGN = "_sign"
 BOUNDS = {c: "salary_" + c.partition("_")[2] for c in [*LEAST, *GREATEST]}
 
 
-def _groups_schema(spark: SparkSession):
-    return group_partials(spark.createDataFrame([], FACT_VACANCY), KEYS).schema
+LOST = "_lost"
+
+
+def _fresh(fact: DataFrame) -> DataFrame:
+    return group_partials(fact, KEYS).withColumn(LOST, F.lit(False))
 
 
 def stored_groups(spark: SparkSession, root: str) -> DataFrame:
-    return read_current(spark, root, GROUPS, _groups_schema(spark))
+    return read_current(spark, root, GROUPS, _fresh(spark.createDataFrame([], FACT_VACANCY)).schema)
 
 
 def _bound(c: str, value: Column) -> Column:
@@ -77,7 +81,7 @@ def delta(rows: DataFrame) -> DataFrame:
 
 
 def apply_delta(groups: DataFrame, change: DataFrame) -> DataFrame:
-    """``groups`` after ``change``, with ``_lost``: a bound left and must be looked for; emptied groups are gone."""
+    """``groups`` after ``change``; where a bound left and must be looked for, ``_lost``. Emptied groups are gone."""
     d = change.select(*[F.col(c).alias(f"_{c}" if c in GROUP else c) for c in change.columns])
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in GROUP])
     zero = F.lit(0)
@@ -86,14 +90,14 @@ def apply_delta(groups: DataFrame, change: DataFrame) -> DataFrame:
         # SUM(pay) of a group without any pay is NULL in a fresh aggregate; 0 counts for nothing either.
         (F.coalesce(F.col(c), zero) + F.coalesce(F.col(f"d_{c}"), zero)).cast(groups.schema[c].dataType).alias(c) for c in ADDED
     ]
-    lost = F.lit(False)
+    lost = F.coalesce(F.col(LOST), F.lit(False))
     for c in BOUNDS:
         now, came, went = F.col(c), F.col(f"in_{c}"), F.col(f"out_{c}")
         pick, reaches = (F.least, came <= now) if c in LEAST else (F.greatest, came >= now)
         left = F.coalesce(went <= now if c in LEAST else went >= now, F.lit(False))
         out.append(pick(now, came).alias(c))  # if the bound left, right only where another one reaches it
         lost = lost | (left & ~F.coalesce(reaches, F.lit(False)))
-    return groups.join(d, same, "full_outer").select(*out, lost.alias("_lost")).where("n > 0")
+    return groups.join(d, same, "full_outer").select(*out, lost.alias(LOST)).where("n > 0")
 
 
 def _of_groups(spark: SparkSession, root: str, lost: DataFrame) -> DataFrame:
@@ -102,7 +106,7 @@ def _of_groups(spark: SparkSession, root: str, lost: DataFrame) -> DataFrame:
     names = lost.select(*[F.col(c).alias(f"_{c}") for c in GROUP])
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in GROUP])
     fact = graded(S.read_ranges(spark, root, ranges)).join(names, same, "left_semi")
-    return group_partials(fact.drop("_grade"), KEYS)
+    return _fresh(fact.drop("_grade"))
 
 
 def apply_change(spark: SparkSession, root: str, rows: DataFrame) -> None:
@@ -114,28 +118,35 @@ def apply_change(spark: SparkSession, root: str, rows: DataFrame) -> None:
     S.write_ranges(spark, root, rows)
     if whole:
         S.rebuild_keys(spark, root)
-        write_version(group_partials(S.read_fact(spark, root), KEYS), root, GROUPS)
+        groups = _fresh(S.read_fact(spark, root))
     else:
-        after = apply_delta(stored_groups(spark, root), change).checkpoint(eager=True)
-        lost = after.where("_lost").select(*GROUP)
-        kept = after.where("not _lost").drop("_lost")
-        again = None if lost.isEmpty() else _of_groups(spark, root, lost)
-        write_version(kept if again is None else kept.unionByName(again), root, GROUPS)
+        groups = apply_delta(stored_groups(spark, root), change)
+    write_version(groups, root, GROUPS)
     S.reached(spark, root, "groups")
 
 
 def rebuild(spark: SparkSession, root: str) -> None:
     """Everything derived from the stored fact, built from it."""
     S.rebuild_keys(spark, root)
-    write_version(group_partials(S.read_fact(spark, root), KEYS), root, GROUPS)
+    write_version(_fresh(S.read_fact(spark, root)), root, GROUPS)
     S.reached(spark, root, "groups")
     refresh_stats(spark, root)
 
 
+def settle(spark: SparkSession, root: str) -> DataFrame:
+    """The stored groups with every lost bound found again (and stored so)."""
+    groups = stored_groups(spark, root)
+    lost = groups.where(LOST).select(*GROUP)
+    if not lost.isEmpty():
+        write_version(groups.where(~F.col(LOST)).unionByName(_of_groups(spark, root, lost)), root, GROUPS)
+        groups = stored_groups(spark, root)
+    return groups.drop(LOST)
+
+
 def refresh_stats(spark: SparkSession, root: str) -> None:
     """``mart_stats`` of the stored groups at the stored rates."""
     currency = read_current(spark, root, "dim_currency", DIM_CURRENCY)
-    write_version(partial_stats_sets(stored_groups(spark, root), currency, MART_GRAINS), root, STATS)
+    write_version(partial_stats_sets(settle(spark, root), currency, MART_GRAINS), root, STATS)
     S.reached(spark, root, "stats")
 
 

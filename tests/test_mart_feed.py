@@ -60,7 +60,7 @@ def test_groups_follow_random_days(spark, scratch):
             ids = r.sample(range(60), 45 if day == 0 else 12)
             D.upsert_fact(spark, scratch, spark.createDataFrame(_fact_rows(r, ids), FACT_VACANCY), WIDTH)
             fact = D.read_fact(spark, scratch)
-            assert _bag(M.stored_groups(spark, scratch)) == _bag(group_partials(fact, M.KEYS)), day
+            assert _bag(M.settle(spark, scratch)) == _bag(group_partials(fact, M.KEYS)), day
     finally:
         S.ranges_holding = found
     assert looked and all(looked)  # some bounds left with the rows that held them
@@ -90,7 +90,7 @@ def test_a_change_that_did_not_end_is_made_good(spark, scratch):
     S.write_ranges(spark, scratch, rows)  # ... and here the run ended: the groups are those of the day before
     assert S.marked(spark, scratch) and not M.current(spark, scratch)
     D.upsert_fact(spark, scratch, spark.createDataFrame(_fact_rows(r, range(7, 12)), FACT_VACANCY), WIDTH)
-    assert _bag(M.stored_groups(spark, scratch)) == _bag(group_partials(D.read_fact(spark, scratch), M.KEYS))
+    assert _bag(M.settle(spark, scratch)) == _bag(group_partials(D.read_fact(spark, scratch), M.KEYS))
 
 
 def _two_days(spark):
