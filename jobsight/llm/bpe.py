@@ -53,24 +53,26 @@ ENCODE = """
 WITH RECURSIVE state(pos, word, token, step) AS (
     SELECT pos, word, token, 0 FROM start
     UNION ALL
-    (WITH pair AS ( -- positions are unique over all words; a pair or neighbour is one only inside a word
-        SELECT pos, word, token, step, lead(token) OVER w AS after, lead(pos) OVER w AS next_pos, lead(word) OVER w = word AS inside,
-               CASE WHEN lag(word) OVER w = word THEN lag(token) OVER w END AS before,
-               CASE WHEN lead(word, 2) OVER w = word THEN lead(token, 2) OVER w END AS beyond,
-               CASE WHEN lead(word, 2) OVER w = word THEN lead(pos, 2) OVER w END AS beyond_pos
-        FROM state WHERE token >= 0 WINDOW w AS (ORDER BY pos)
+    (WITH pair AS ( -- positions are unique over all words; a pair is one only inside a word
+        SELECT pos, word, token, step, lead(token) OVER w AS after, lead(pos) OVER w AS next_pos, lead(word) OVER w = word AS inside
+        FROM state WHERE token >= 0 AND step >= 0 WINDOW w AS (ORDER BY pos)
     ), ranked AS MATERIALIZED (
-        SELECT pos, word, token, step, next_pos, before, beyond, beyond_pos, merged
+        SELECT pos, word, token, step, next_pos, merged
         FROM pair LEFT JOIN merge ON left_token = token AND right_token = after AND inside
     ), least AS MATERIALIZED (
         SELECT word, min(merged) AS merged FROM ranked WHERE merged IS NOT NULL GROUP BY word
     ), hit AS MATERIALIZED (
-        SELECT word, merged, pos, next_pos, before, beyond, beyond_pos FROM ranked JOIN least USING (word, merged)
+        SELECT word, merged, pos, next_pos FROM ranked JOIN least USING (word, merged)
     ), several AS MATERIALIZED (
         SELECT word FROM hit GROUP BY word HAVING count(*) > 1
+    ), around AS (
+        SELECT pos, CASE WHEN lag(word) OVER w = word THEN lag(token) OVER w END AS before,
+               CASE WHEN lead(word, 2) OVER w = word THEN lead(token, 2) OVER w END AS beyond,
+               CASE WHEN lead(word, 2) OVER w = word THEN lead(pos, 2) OVER w END AS beyond_pos
+        FROM ranked SEMI JOIN several USING (word) WINDOW w AS (ORDER BY pos)
     ), chain AS ( -- hits in a row overlap
         SELECT *, row_number() OVER w AS nth, lag(next_pos) OVER w IS NOT DISTINCT FROM pos AS chained
-        FROM hit SEMI JOIN several USING (word) WINDOW w AS (ORDER BY pos)
+        FROM hit JOIN around USING (pos) WINDOW w AS (ORDER BY pos)
     ), apart AS ( -- every other one of a chain
         SELECT * FROM chain QUALIFY (nth - max(CASE WHEN NOT chained THEN nth END) OVER (ORDER BY pos)) % 2 = 0
     ), beside AS MATERIALIZED ( -- the token on the left is the new one if the hit before is next to this one
@@ -89,12 +91,10 @@ WITH RECURSIVE state(pos, word, token, step) AS (
     ), edit AS (
         SELECT pos, merged AS token FROM taken UNION ALL SELECT next_pos, -1 FROM taken
     )
-    SELECT pos, word, coalesce(edit.token, ranked.token), step + 1
-    FROM ranked SEMI JOIN least USING (word) LEFT JOIN edit USING (pos))
-), last AS (
-    SELECT word, max(step) AS step FROM state GROUP BY word
+    SELECT pos, ranked.word, coalesce(edit.token, ranked.token), CASE WHEN least.word IS NULL THEN -1 ELSE step + 1 END
+    FROM ranked LEFT JOIN least USING (word) LEFT JOIN edit USING (pos))
 )
-SELECT word, token FROM state SEMI JOIN last USING (word, step) WHERE token >= 0 ORDER BY pos
+SELECT word, token FROM state WHERE step < 0 ORDER BY pos -- words that found no more merge
 """
 
 DECODE = """
@@ -128,7 +128,7 @@ class Bpe:
         tables = {
             "merge": columns(merges),
             "rash": columns([m for m in merges if m[2] < max(m[:2])]),  # those that rank below a part of theirs
-            "vocabulary": {"token": pa.array(ranks.values(), pa.int32()), "piece": [t.hex() for t in ranks]},
+            "vocabulary": {"token": pa.array(ranks.values(), pa.int32()), "piece": [t.decode("latin-1") for t in ranks]},
         }
         self.db = duckdb.connect(config={"threads": 1, "temp_directory": ""})
         for name, given in tables.items():
@@ -197,7 +197,7 @@ class Bpe:
         count = 0
 
         def flush():
-            met = {w for _, ws in held for w in ws}
+            met = set().union(*(ws for _, ws in held))
             if len(self.known) + len(met) > CACHE // 2:  # words not met since the last time are forgotten
                 self.before, self.known = self.known, {}
             known, before = self.known, self.before
@@ -259,7 +259,7 @@ class Bpe:
         self.db.unregister("ids")
         if any(unknown for *_, unknown in rows):
             raise ValueError("an id that the vocabulary does not hold")
-        return [bytes.fromhex(x) for _, x, _ in rows]
+        return [x.encode("latin-1") for _, x, _ in rows]  # a character a byte
 
 
 _BPE: dict[tuple[str, str], Bpe] = {}
